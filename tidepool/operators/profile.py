@@ -266,16 +266,21 @@ def quality_notes(graded: DataFrame, keys: list[str]) -> DataFrame:
     comp = F.col("completeness_pct")
     dup_pct = F.col("duplicate_rows") / F.greatest(F.col("rows"), F.lit(1)) * 100.0
     out_pct = F.col("total_outliers") / F.greatest(F.col("total_cells"), F.lit(1)) * 100.0
+
+    def note(kind, cond, text):
+        return F.when(cond, F.struct(F.lit(kind).alias("kind"), text.alias("note")))
+
     notes = F.array_compact(
         F.array(
-            F.when(comp < fixed.NOTE_COMPLETENESS_BELOW,
-                   F.format_string("Completeness is %s%% - consider investigating missing values", comp.cast("string"))),
-            F.when(dup_pct > 0, F.format_string("%d duplicate rows detected (%.1f%%)", F.col("duplicate_rows"), dup_pct)),
-            F.when(out_pct > fixed.NOTE_OUTLIERS_ABOVE_PCT,
-                   F.format_string("%d statistical outliers detected across numeric columns", F.col("total_outliers"))),
+            note("completeness", comp < fixed.NOTE_COMPLETENESS_BELOW,
+                 F.format_string("Completeness is %s%% - consider investigating missing values", comp.cast("string"))),
+            note("duplicates", dup_pct > 0,
+                 F.format_string("%d duplicate rows detected (%.1f%%)", F.col("duplicate_rows"), dup_pct)),
+            note("outliers", out_pct > fixed.NOTE_OUTLIERS_ABOVE_PCT,
+                 F.format_string("%d statistical outliers detected across numeric columns", F.col("total_outliers"))),
         )
     )
-    return graded.select(*keys, F.posexplode(notes).alias("note_no", "note"))
+    return graded.select(*keys, F.explode(notes).alias("_n")).select(*keys, "_n.kind", "_n.note")
 
 
 def missing_by_column(long: DataFrame, keys: list[str]) -> DataFrame:
