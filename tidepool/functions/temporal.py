@@ -54,6 +54,18 @@ def strptime_to_java(fmt: str) -> str:
     return "".join(out)
 
 
+# --- Fixed values: a two-digit year at or above this is read as 19xx (POSIX) --
+TWO_DIGIT_YEAR_PIVOT = 69
+
+
+def _try_layout(s: Column, java: str) -> Column:
+    """Parse with one Java pattern; two-digit years pivot as strptime does (69-99 -> 19xx)."""
+    t = F.try_to_timestamp(s, F.lit(java))
+    if "yy" in java and "yyy" not in java:
+        t = F.when(F.year(t) >= 2000 + TWO_DIGIT_YEAR_PIVOT, t - F.expr("INTERVAL 100 YEARS")).otherwise(t)
+    return t
+
+
 def parse_timestamp(c: Column, fmt: str | None = None, formats=AUTO_FORMATS) -> Column:
     """T1 (explicit format) / T2, T3 (``auto``: ISO first, then each layout in order).
 
@@ -62,8 +74,8 @@ def parse_timestamp(c: Column, fmt: str | None = None, formats=AUTO_FORMATS) ->
     s = F.trim(c.cast("string"))
     if fmt and fmt != "auto":
         java = strptime_to_java(fmt) if "%" in fmt else fmt
-        return F.try_to_timestamp(s, F.lit(java))
-    tries = [F.try_to_timestamp(s)] + [F.try_to_timestamp(s, F.lit(f)) for f in formats]
+        return _try_layout(s, java)
+    tries = [F.try_to_timestamp(s)] + [_try_layout(s, f) for f in formats]
     return F.coalesce(*tries)
 
 

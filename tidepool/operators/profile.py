@@ -315,3 +315,57 @@ def spatial_coverage(lat: Column, lon: Column, df: DataFrame, keys: list[str]) -
         round4(F.col("e")).alias("east_lon"),
         F.col("unique_positions").cast("long").alias("unique_positions"),
     )
+
+
+def numeric_share(long: DataFrame, keys: list[str]) -> DataFrame:
+    """N2 as a report: rows, non-null, numeric-convertible and the majority verdict per group.
+
+    Numeric when every non-null value converts, or when convertible values are
+    more than half of all rows (an all-missing column counts as numeric).
+    """
+    v = F.col("value")
+    res = long.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(v).alias("non_null"), F.count(to_number(v)).alias("numeric")
+    )
+    verdict = (F.col("non_null") == F.col("numeric")) | (F.col("numeric") / F.greatest(F.col("rows"), F.lit(1)) > 0.5)
+    return res.select(*keys, "rows", "non_null", "numeric", verdict.alias("is_numeric"))
+
+
+def time_column_test(df: DataFrame, dataset: str, columns: list[str] | None = None) -> DataFrame:
+    """T5 as a report, one row per column: name keyword, parse share, year bounds, verdict.
+
+    Typed numeric columns are never temporal; the share is over all non-null
+    values of the column (order-free), not the first ten.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = columns or df.columns
+    parts = []
+    for c in cols:
+        dt = types[c]
+        numeric = isinstance(dt, T.NumericType)
+        s = F.col(f"`{c}`").cast("string")
+        t = as_timestamp(F.col(f"`{c}`"), dt) if not numeric else F.lit(None).cast("timestamp")
+        parts.append(
+            df.select(
+                F.lit(dataset).alias("dataset"), F.lit(c).alias("column"),
+                F.lit(has_time_keyword(c)).alias("name_match"), F.lit(numeric).alias("numeric_type"),
+                s.alias("_s"), t.alias("_t"),
+            )
+        )
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    agg = long.groupBy("dataset", "column", "name_match", "numeric_type").agg(
+        F.count("_s").alias("non_null"), F.count("_t").alias("parsed"),
+        F.min(F.year("_t")).alias("min_year"), F.max(F.year("_t")).alias("max_year"),
+    )
+    share = F.when(F.col("non_null") > 0, F.col("parsed") / F.col("non_null"))
+    verdict = (
+        F.col("name_match") & ~F.col("numeric_type") & (F.col("parsed") > 0)
+        & (F.col("min_year") >= fixed.MIN_PLAUSIBLE_YEAR) & (F.col("max_year") <= fixed.MAX_PLAUSIBLE_YEAR)
+        & (share > 0.5)
+    )
+    return agg.select(
+        "dataset", "column", "name_match", "non_null", "parsed", F.round(share, 4).alias("parsed_share"),
+        "min_year", "max_year", F.coalesce(verdict, F.lit(False)).alias("is_temporal"),
+    )

@@ -15,6 +15,7 @@ REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 MODULES = (
     "tidepool.plans.profiling",
     "tidepool.plans.quality",
+    "tidepool.plans.cleaning",
 )
 
 
