@@ -16,6 +16,7 @@ MODULES = (
     "tidepool.plans.profiling",
     "tidepool.plans.quality",
     "tidepool.plans.cleaning",
+    "tidepool.plans.validation",
 )
 
 
