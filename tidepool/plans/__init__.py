@@ -17,6 +17,7 @@ MODULES = (
     "tidepool.plans.quality",
     "tidepool.plans.cleaning",
     "tidepool.plans.validation",
+    "tidepool.plans.fixity",
 )
 
 
