@@ -18,6 +18,7 @@ MODULES = (
     "tidepool.plans.cleaning",
     "tidepool.plans.validation",
     "tidepool.plans.fixity",
+    "tidepool.plans.extent",
 )
 
 
