@@ -19,6 +19,7 @@ MODULES = (
     "tidepool.plans.validation",
     "tidepool.plans.fixity",
     "tidepool.plans.extent",
+    "tidepool.plans.records",
 )
 
 
