@@ -20,6 +20,7 @@ MODULES = (
     "tidepool.plans.fixity",
     "tidepool.plans.extent",
     "tidepool.plans.records",
+    "tidepool.plans.sources",
 )
 
 
