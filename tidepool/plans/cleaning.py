@@ -252,7 +252,8 @@ long AS (SELECT 'ts_text' AS "column", ts_text AS s FROM t UNION ALL SELECT 'eve
          UNION ALL SELECT 'update_type', update_type FROM t UNION ALL SELECT 'date_mixed', date_mixed FROM t
          UNION ALL SELECT 'time_old', time_old FROM t),
 p AS (SELECT "column", s, TRY_CAST(s AS TIMESTAMP) AS ts FROM long),
-a AS (SELECT "column", count(s) AS non_null, count(ts) AS parsed, min(year(ts)) AS min_year, max(year(ts)) AS max_year
+a AS (SELECT "column", count(s) AS non_null, count(ts) AS parsed, CAST(min(year(ts)) AS INTEGER) AS min_year,
+             CAST(max(year(ts)) AS INTEGER) AS max_year
       FROM p GROUP BY "column")
 SELECT 'events' AS dataset, "column",
        ("column" LIKE '%date%' OR "column" LIKE '%time%') AS name_match, non_null, parsed,
@@ -352,3 +353,32 @@ def shape_compare(spark, sf_dir):
                     (F.col("raw_rows") == F.col("clean_rows")).alias("same_rows"))
 
 
+
+
+# ---------------------------------------------------------------- transform --
+@query("transform_table", f"""
+WITH r AS ({_RENDERED_SQL.replace("CASE WHEN o_orderkey % 7 = 0 THEN '??' ELSE '' END ||", "")}),
+t AS (SELECT r.o_orderkey, r.raw_text, o.o_orderpriority, o.o_totalprice FROM r JOIN orders o USING (o_orderkey))
+SELECT o_orderkey AS order_key,
+       strftime({_PARSE_SQL}, '%Y-%m-%dT%H:%M:%SZ') AS datetime,
+       CASE WHEN {sql_strip("'  ' || o_orderpriority || chr(9)")} = 'nan' THEN ''
+            ELSE {sql_strip("'  ' || o_orderpriority || chr(9)")} END AS priority_code,
+       o_totalprice AS total_price_usd,
+       CAST(((o_orderkey * 37) % 180) - 90 AS DOUBLE) AS latitude_n
+FROM t
+""")
+def transform_table(spark, sf_dir):
+    """§3.1 end to end: messy headers and text, mixed-format dates, text latitude -> cleaned table."""
+    from tidepool.operators.transform import transform
+
+    r = _rendered(spark, sf_dir, corrupt=False)
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    t = r.join(o, "o_orderkey").select(
+        F.col("o_orderkey").alias("Order  Key"),
+        F.col("raw_text").alias("Date/Time"),
+        F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit("\t")).alias("Priority-Code"),
+        F.col("o_totalprice").alias("Total Price (USD)"),
+        ((F.col("o_orderkey") * 37) % 180 - 90).cast("string").alias("Latitude (°N)"),
+    )
+    cleaned, _ = transform(t)
+    return cleaned

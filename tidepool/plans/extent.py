@@ -89,8 +89,10 @@ def extent_merge(spark, sf_dir):
 
 _COVERAGE_SQL = """
 SELECT event_type,
-       min((user_id * 37) % 180 - 90.0) AS geospatial_lat_min, max((user_id * 37) % 180 - 90.0) AS geospatial_lat_max,
-       min((user_id * 53) % 360 - 180.0) AS geospatial_lon_min, max((user_id * 53) % 360 - 180.0) AS geospatial_lon_max,
+       min(CAST((user_id * 37) % 180 - 90 AS DOUBLE)) AS geospatial_lat_min,
+       max(CAST((user_id * 37) % 180 - 90 AS DOUBLE)) AS geospatial_lat_max,
+       min(CAST((user_id * 53) % 360 - 180 AS DOUBLE)) AS geospatial_lon_min,
+       max(CAST((user_id * 53) % 360 - 180 AS DOUBLE)) AS geospatial_lon_max,
        min(value) AS geospatial_vertical_min, max(value) AS geospatial_vertical_max,
        strftime(min(ts), '%Y-%m-%dT%H:%M:%SZ') AS time_coverage_start,
        strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS time_coverage_end

@@ -63,9 +63,9 @@ SELECT source AS dataset_id, 'Text collection ' || source AS title,
        snum % 5 <> 0 AS license_section, snum % 2 = 1 AS temporal_section,
        CASE WHEN snum % 4 <> 3 THEN 3 ELSE 0 END AS lineage_steps,
        (snum % 6 = 0 OR snum % 3 = 2) AS acquisition_section,
-       CASE WHEN snum % 3 <> 0 THEN -CAST(lo_chars % 180 AS DOUBLE) ELSE -180.0 END AS west_lon,
-       CASE WHEN snum % 3 <> 0 THEN CAST(hi_chars % 180 AS DOUBLE) ELSE 180.0 END AS east_lon,
-       -90.0 AS south_lat, 90.0 AS north_lat
+       CASE WHEN snum % 3 <> 0 THEN -CAST(lo_chars % 180 AS DOUBLE) ELSE CAST(-180.0 AS DOUBLE) END AS west_lon,
+       CASE WHEN snum % 3 <> 0 THEN CAST(hi_chars % 180 AS DOUBLE) ELSE CAST(180.0 AS DOUBLE) END AS east_lon,
+       CAST(-90.0 AS DOUBLE) AS south_lat, CAST(90.0 AS DOUBLE) AS north_lat
 FROM s
 """)
 def record_assembly(spark, sf_dir):
