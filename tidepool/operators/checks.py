@@ -47,23 +47,30 @@ def required_columns(catalogue: DataFrame, rules: DataFrame, keys: list[str]) ->
     )
 
 
-def value_ranges(long: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
+def value_ranges(long: DataFrame, rules: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """J-3 + A5 + P7: ``range_{c}`` per file and matched rule.
 
-    ``long`` is ``keys + (variable, value)`` with ``variable`` the file's raw
-    column names; ``rules`` is ``(column, lo, hi)`` resolved to raw names by
-    normalised equality. Rules whose column is absent give no row.
+    ``long`` is ``keys + (variable, value)`` over the raw ``columns``; each rule
+    ``(column, lo, hi)`` is resolved once against the column catalogue (first
+    normalised-equal name by position, P3) and joined to the values as a
+    broadcast of at most one row per rule. Rules whose column is absent give
+    no row.
     """
+    spark = long.sparkSession
+    cat = spark.createDataFrame(list(enumerate(columns)), "ordinal int, variable string")
+    cat = cat.select("ordinal", "variable", normalize_header(F.col("variable")).alias("_norm"))
     r = rules.select(
         F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"),
         F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"),
     )
+    resolved = cat.join(r, on="_norm").groupBy("_target", "lo", "hi").agg(
+        F.min_by("variable", "ordinal").alias("variable")
+    )
     x = to_number(F.col("value"))
-    lj = long.select(*keys, "variable", normalize_header(F.col("variable")).alias("_norm"), x.alias("_x"))
-    j = lj.join(F.broadcast(r), on="_norm")
+    j = long.join(F.broadcast(resolved), on="variable")
     agg = j.groupBy(*keys, "_target", "lo", "hi").agg(
-        F.count("_x").alias("numeric_values"),
-        F.count_if(out_of_range(F.col("_x"), F.col("lo"), F.col("hi"))).alias("out_of_range"),
+        F.count(x).alias("numeric_values"),
+        F.count_if(out_of_range(x, F.col("lo"), F.col("hi"))).alias("out_of_range"),
     )
     bounds = F.format_string("[%s, %s]", _fmt_bound(F.col("lo")), _fmt_bound(F.col("hi")))
     none = F.col("numeric_values") == 0

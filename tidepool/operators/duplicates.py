@@ -28,11 +28,19 @@ def duplicate_members(df: DataFrame, keys: list[str], subset: list[str]) -> Data
 
 
 def duplicate_extras(df: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
-    """Rows that repeat an earlier row on ``columns`` (default all), i.e. rows minus distinct rows."""
+    """Rows that repeat an earlier row on ``columns`` (default all), i.e. rows minus distinct rows.
+
+    A 64-bit row hash is grouped first (little shuffle); only rows whose hash
+    repeats are grouped exactly on their full values.
+    """
+    from tidepool.operators.profile import _exact_extras, row_hash
+
     cols = columns or [c for c in df.columns if c not in keys]
-    per_row = df.groupBy(*keys, *[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    res = per_row.groupBy(*keys).agg(F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("duplicate_rows"))
-    return res.select(*keys, F.col("rows").cast("long").alias("rows"), F.col("duplicate_rows").cast("long").alias("duplicate_rows"))
+    by_hash = df.groupBy(*keys, row_hash(cols).alias("_h")).agg(F.count(F.lit(1)).alias("_k"))
+    rows = by_hash.groupBy(*keys).agg(F.sum("_k").alias("rows"))
+    res = rows.join(_exact_extras(df, by_hash, keys, cols), on=keys, how="left")
+    return res.select(*keys, F.col("rows").cast("long").alias("rows"),
+                      F.coalesce(F.col("duplicate_rows"), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
 def matched_keys(columns: list[str], wanted: list[str]) -> list[str]:

@@ -15,7 +15,8 @@ from tidepool import fixed
 from tidepool.functions.numeric import pct, round4, to_number
 from tidepool.functions.temporal import as_timestamp, epoch_seconds, has_time_keyword
 from tidepool.functions.text import is_nonblank
-from tidepool.operators.quantiles import exact_quantiles
+from tidepool.operators.quantiles import SEED_ACCURACY, exact_quantiles, seed_probabilities
+from tidepool.session import pin
 
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
@@ -42,12 +43,15 @@ def to_long(df: DataFrame, columns: list[str], ids: list[str], kind: str = "numb
 
 
 # ---------------------------------------------------------------- numeric ----
-def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True) -> DataFrame:
+def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True, seed: bool = False) -> DataFrame:
     """A8 + P9: counts, moments, quartiles, IQR fences and outliers per group.
 
     ``exact`` uses :func:`exact_quantiles`; ``exact=False`` uses the bounded-memory
-    ``percentile_approx`` sketch in the same pass as the moments.
+    ``percentile_approx`` sketch in the same pass as the moments. ``seed`` adds
+    that sketch to the exact search as a starting band (saves a pass on very
+    large inputs, costs more than it saves on small ones).
     """
+    long = long.select(*keys, "value")
     v = F.col("value")
     aggs = [
         F.count(F.lit(1)).alias("total"),
@@ -57,14 +61,14 @@ def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True) -> Dat
         F.min(v).alias("_lo"),
         F.max(v).alias("_hi"),
     ]
-    if not exact:
-        aggs.append(F.percentile_approx(v, list(QUARTILES.values()), 10000).alias("_q"))
-    stats = long.groupBy(*keys).agg(*aggs)
-    stats = stats.withColumn("_n", F.col("valid"))
+    if exact and seed:  # bounded-memory sketch seeds the exact search with narrow bands
+        aggs.append(F.percentile_approx(v, seed_probabilities(QUARTILES), SEED_ACCURACY).alias("_seed"))
+    elif not exact:
+        aggs.append(F.percentile_approx(v, list(QUARTILES.values()), SEED_ACCURACY).alias("_q"))
+    stats = pin(long.groupBy(*keys).agg(*aggs).withColumn("_n", F.col("valid")))
     if exact:
-        stats = stats.cache()
         q = exact_quantiles(long, keys, "value", QUARTILES, stats=stats.where(F.col("valid") > 0))
-        stats = stats.join(q, on=keys, how="left")
+        stats = stats.join(q, on=keys, how="left").drop("_seed", "_n")
     else:
         stats = stats.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(QUARTILES)]).drop("_q")
     iqr = F.col("p75") - F.col("p25")
@@ -80,7 +84,7 @@ def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True) -> Dat
     res = stats.join(outl, on=keys, how="left")
     missing = F.col("total") - F.col("valid")
     has = F.col("valid") > 0
-    return res.select(
+    res = res.select(
         *keys,
         "total",
         "valid",
@@ -97,6 +101,7 @@ def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True) -> Dat
         F.when(has, F.coalesce(F.col("outliers"), F.lit(0))).alias("outliers"),
         F.when(has, pct(F.coalesce(F.col("outliers"), F.lit(0)), F.col("valid"))).alias("outlier_pct"),
     )
+    return pin(res)
 
 
 # ------------------------------------------------------------ categorical ----
@@ -208,19 +213,19 @@ def classify_columns(df: DataFrame) -> dict[str, str]:
 def file_profile(df: DataFrame, keys: list[str]) -> DataFrame:
     """A1 + A3 + A7: rows, columns, cells, missing cells, completeness, duplicate rows.
 
-    Duplicate rows = rows minus distinct rows, by an exact group-by over all
-    columns (partial aggregation collapses repeated rows before the shuffle).
+    Duplicates are exact but shuffle little: pass one groups by a 64-bit hash
+    of the whole row (8 bytes per row move, not the row); only rows whose hash
+    repeats go through the exact group-by on every column in pass two.
     """
     data_cols = [c for c in df.columns if c not in keys]
     ncols = len(data_cols)
     miss = sum((F.col(f"`{c}`").isNull().cast("long") for c in data_cols), F.lit(0).cast("long"))
-    per_row = df.select(*keys, miss.alias("_m"), *[F.col(f"`{c}`") for c in data_cols])
-    dup = per_row.groupBy(*keys, *[f"`{c}`" for c in data_cols]).agg(
-        F.count(F.lit(1)).alias("_k"), F.sum("_m").alias("_mm")
-    )
-    res = dup.groupBy(*keys).agg(
-        F.sum("_k").alias("rows"), F.sum("_mm").alias("total_missing"), F.sum(F.col("_k") - 1).alias("duplicate_rows")
+    by_hash = df.groupBy(*keys, row_hash(data_cols).alias("_h")).agg(
+        F.count(F.lit(1)).alias("_k"), F.sum(miss).alias("_mm")
     )
+    totals = by_hash.groupBy(*keys).agg(F.sum("_k").alias("rows"), F.sum("_mm").alias("total_missing"))
+    dups = _exact_extras(df, by_hash, keys, data_cols)
+    res = totals.join(dups, on=keys, how="left")
     cells = F.col("rows") * F.lit(ncols)
     return res.select(
         *keys,
@@ -229,10 +234,27 @@ def file_profile(df: DataFrame, keys: list[str]) -> DataFrame:
         cells.cast("long").alias("total_cells"),
         F.col("total_missing").cast("long").alias("total_missing"),
         F.when(cells > 0, F.round((F.lit(1.0) - F.col("total_missing") / cells) * 100.0, 2)).alias("completeness_pct"),
-        F.col("duplicate_rows").cast("long").alias("duplicate_rows"),
+        F.coalesce(F.col("duplicate_rows"), F.lit(0)).cast("long").alias("duplicate_rows"),
     )
 
 
+def row_hash(columns: list[str]) -> Column:
+    """64-bit hash of a row; nulls are tagged so (a, null) and (null, a) differ."""
+    parts = []
+    for c in columns:
+        parts += [F.col(f"`{c}`"), F.col(f"`{c}`").isNull()]
+    return F.xxhash64(*parts)
+
+
+def _exact_extras(df: DataFrame, by_hash: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Rows minus distinct rows, checked exactly among rows whose hash repeats."""
+    cand = by_hash.where(F.col("_k") > 1).select(*keys, "_h")
+    rows = df.select(*keys, *[F.col(f"`{c}`") for c in cols], row_hash(cols).alias("_h"))
+    hit = rows.join(cand, on=[*keys, "_h"], how="left_semi")
+    exact = hit.groupBy(*keys, *[f"`{c}`" for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+    return exact.groupBy(*keys).agg(F.sum(F.col("_n") - 1).alias("duplicate_rows"))
+
+
 def grade_files(files: DataFrame, outliers: DataFrame, keys: list[str]) -> DataFrame:
     """A13 + A21: grade A-D from completeness, duplicate % and outlier % of cells.
 
@@ -335,27 +357,21 @@ def time_column_test(df: DataFrame, dataset: str, columns: list[str] | None = No
     """T5 as a report, one row per column: name keyword, parse share, year bounds, verdict.
 
     Typed numeric columns are never temporal; the share is over all non-null
-    values of the column (order-free), not the first ten.
+    values of the column (order-free), not the first ten. One scan: the
+    parsed values are unpivoted next to the raw text.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = columns or df.columns
-    parts = []
+    structs = []
     for c in cols:
         dt = types[c]
         numeric = isinstance(dt, T.NumericType)
-        s = F.col(f"`{c}`").cast("string")
         t = as_timestamp(F.col(f"`{c}`"), dt) if not numeric else F.lit(None).cast("timestamp")
-        parts.append(
-            df.select(
-                F.lit(dataset).alias("dataset"), F.lit(c).alias("column"),
-                F.lit(has_time_keyword(c)).alias("name_match"), F.lit(numeric).alias("numeric_type"),
-                s.alias("_s"), t.alias("_t"),
-            )
-        )
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    agg = long.groupBy("dataset", "column", "name_match", "numeric_type").agg(
+        structs.append(F.struct(F.lit(c).alias("column"), F.lit(has_time_keyword(c)).alias("name_match"),
+                                F.lit(numeric).alias("numeric_type"), F.col(f"`{c}`").cast("string").alias("_s"),
+                                t.alias("_t")))
+    long = df.select(F.explode(F.array(*structs)).alias("_x")).select("_x.*")
+    agg = long.groupBy("column", "name_match", "numeric_type").agg(
         F.count("_s").alias("non_null"), F.count("_t").alias("parsed"),
         F.min(F.year("_t")).alias("min_year"), F.max(F.year("_t")).alias("max_year"),
     )
@@ -366,6 +382,7 @@ def time_column_test(df: DataFrame, dataset: str, columns: list[str] | None = No
         & (share > 0.5)
     )
     return agg.select(
-        "dataset", "column", "name_match", "non_null", "parsed", F.round(share, 4).alias("parsed_share"),
-        "min_year", "max_year", F.coalesce(verdict, F.lit(False)).alias("is_temporal"),
+        F.lit(dataset).alias("dataset"), "column", "name_match", "non_null", "parsed",
+        F.round(share, 4).alias("parsed_share"), "min_year", "max_year", "numeric_type",
+        F.coalesce(verdict, F.lit(False)).alias("is_temporal"),
     )

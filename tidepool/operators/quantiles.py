@@ -14,7 +14,15 @@ Here each wanted rank is found by narrowing a value range:
 
 A range whose ``min == max`` is solved. Each round shrinks a range by the
 bucket factor (or to fewer distinct values), so doubles resolve in a few
-rounds. The small state table is checkpointed each round to cut lineage.
+rounds. The small state table is re-pinned each round (local relation when
+small, reliable checkpoint when large) to cut lineage.
+
+Seeding: when the caller's ``stats`` carry a ``_seed`` array (bounded-memory
+``percentile_approx`` values just below and above each probability), the
+first range of each rank is that narrow band. The first round then counts
+every row, with sentinel buckets for values below and above the band, so the
+result stays exact even if a sketch bound were off: the rank simply falls in
+a sentinel bucket and narrowing continues from there.
 """
 
 from __future__ import annotations
@@ -22,36 +30,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.session import cut_lineage
+from tidepool.session import pin
 
 BROADCAST_STATE_ROWS = 200_000
 LOCAL_STATE_ROWS = 20_000
 
 
 def _materialize(df: DataFrame) -> DataFrame:
-    """Pin a small state table as a local relation; checkpoint it when large.
+    """Pin a state table: one row per (group, rank), never data rows.
 
-    The state has one row per (group, rank), never data rows; above
-    ``LOCAL_STATE_ROWS`` it goes to the shared checkpoint folder instead.
+    Local relation up to ``LOCAL_STATE_ROWS`` rows, above that a reliable
+    checkpoint in the shared checkpoint folder.
     """
-    rows = df.limit(LOCAL_STATE_ROWS + 1).collect()
-    if len(rows) <= LOCAL_STATE_ROWS:
-        return df.sparkSession.createDataFrame(rows, df.schema)
-    return cut_lineage(df)
+    return pin(df, LOCAL_STATE_ROWS)
+
+
+SEED_ACCURACY = 10000
+
+
+def seed_probabilities(probs: dict[str, float], accuracy: int = SEED_ACCURACY) -> list[float]:
+    """Probabilities of the seed band: ``p -/+ 3/accuracy`` for each wanted ``p`` (clamped)."""
+    d = 3.0 / accuracy
+    out = []
+    for p in probs.values():
+        out += [max(0.0, p - d), min(1.0, p + d)]
+    return out
 
 
 def _targets(stats: DataFrame, gkeys: list[str], probs: dict[str, float]) -> DataFrame:
     parts = []
     n = F.col("_n")
-    for name, p in probs.items():
+    seeded = "_seed" in stats.columns
+    for i, (name, p) in enumerate(probs.items()):
         pos = F.lit(float(p)) * (n - 1).cast("double")
         lo = F.floor(pos).cast("long")
         hi = F.ceil(pos).cast("long")
         frac = pos - F.floor(pos)
-        parts.append(F.struct(F.lit(name).alias("name"), lo.alias("k"), hi.alias("k1"), frac.alias("frac")))
-    return stats.select(*gkeys, "_n", "_lo", "_hi", F.explode(F.array(*parts)).alias("_t")).select(
-        *gkeys, "_lo", "_hi", "_t.*"
-    )
+        blo = F.col("_seed")[2 * i] if seeded else F.col("_lo")
+        bhi = F.col("_seed")[2 * i + 1] if seeded else F.col("_hi")
+        below = F.lit(None).cast("long") if seeded else F.lit(0).cast("long")
+        parts.append(F.struct(F.lit(name).alias("name"), lo.alias("k"), hi.alias("k1"), frac.alias("frac"),
+                              blo.alias("_blo"), bhi.alias("_bhi"), below.alias("_bbelow")))
+    return stats.select(*gkeys, "_n", F.explode(F.array(*parts)).alias("_t")).select(*gkeys, "_t.*")
 
 
 def exact_quantiles(
@@ -85,34 +105,41 @@ def exact_quantiles(
             F.sum("_w").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
         )
     targets = _materialize(_targets(stats, gkeys, probs))
-    ranks = targets.select(*gkeys, "k", "_lo", "_hi").unionByName(
-        targets.select(*gkeys, F.col("k1").alias("k"), "_lo", "_hi")
-    )
-    state = _materialize(ranks.distinct().withColumn("_below", F.lit(0).cast("long")))
+    band = [F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), F.col("_bbelow").alias("_below")]
+    ranks = targets.select(*gkeys, "k", *band).unionByName(targets.select(*gkeys, F.col("k1").alias("k"), *band))
+    state = _materialize(ranks.dropDuplicates([*gkeys, "k"]))
 
     for _ in range(max_rounds):
-        open_ = state.where(F.col("_lo") < F.col("_hi"))
+        # Open: a range still holding several values, or a seed band not yet counted.
+        open_ = state.where((F.col("_lo") < F.col("_hi")) | F.col("_below").isNull())
         # Ranks that share a range share one histogram (round one: one per group).
         ranges = open_.select(*gkeys, "_lo", "_hi", "_below").distinct()
         n_open = ranges.count()
         if n_open == 0:
             break
         side = F.broadcast(ranges) if n_open <= BROADCAST_STATE_ROWS else ranges
-        cand = base.join(side, on=gkeys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+        unseen = F.col("_below").isNull()  # seed band: every row counts, outside rows in sentinels
+        cand = base.join(side, on=gkeys).where(unseen | ((v >= lo) & (v <= hi)))
         # Halves keep the width finite for ranges spanning most of the doubles.
-        span = F.col("_hi") / 2 - F.col("_lo") / 2
-        b = F.least(F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / span * buckets).cast("long"), F.lit(buckets - 1))
+        span = hi / 2 - lo / 2
+        inner = F.when(span > 0, F.least(F.floor((v / 2 - lo / 2) / span * buckets).cast("long"), F.lit(buckets - 1)))
+        b = F.when(v < lo, F.lit(-1)).when(v > hi, F.lit(buckets)).otherwise(F.coalesce(inner, F.lit(0)))
         rkeys = [*gkeys, "_lo", "_hi", "_below"]
         hist = cand.groupBy(*rkeys, b.alias("_b")).agg(
             F.sum("_w").alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
         )
         w = Window.partitionBy(*rkeys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_start", F.col("_below") + F.coalesce(F.sum("_c").over(w), F.lit(0)))
+        hist = hist.withColumn("_start", F.coalesce(F.col("_below"), F.lit(0)) + F.coalesce(F.sum("_c").over(w), F.lit(0)))
+        # Renamed keys: the histogram descends from the state, so a plain self-join would be ambiguous.
+        hist = hist.select(*[F.col(c).alias(f"_h{c}") for c in rkeys], "_c", "_bmin", "_bmax", "_start")
         start = F.col("_start")
-        chosen = open_.join(hist, on=rkeys).where((start <= F.col("k")) & (F.col("k") < start + F.col("_c"))).select(
+        chosen = open_.join(hist, [open_[c].eqNullSafe(hist[f"_h{c}"]) for c in rkeys])
+        chosen = chosen.where((start <= F.col("k")) & (F.col("k") < start + F.col("_c"))).select(
             *gkeys, "k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), start.alias("_below")
         )
-        state = _materialize(state.where(F.col("_lo") >= F.col("_hi")).unionByName(chosen))
+        done = state.where((F.col("_lo") >= F.col("_hi")) & F.col("_below").isNotNull())
+        state = _materialize(done.unionByName(chosen))
     else:
         raise RuntimeError("exact_quantiles did not converge")
 

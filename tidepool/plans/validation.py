@@ -86,10 +86,9 @@ FROM a
 @query("value_ranges", _RANGE_SQL)
 def value_ranges(spark, sf_dir):
     """J-3 + A5 + P7: range rules on lineitem measures, one file per return flag."""
-    li = read_table(spark, sf_dir, "lineitem")
-    long = P.to_long(li.withColumnRenamed("l_returnflag", "file"),
-                     ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], ["file"])
-    return C.value_ranges(long, _rules_range(spark), ["file"])
+    li = read_table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "file")
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return C.value_ranges(P.to_long(li, columns, ["file"]), _rules_range(spark), ["file"], columns)
 
 
 # --------------------------------------------------------------- empty rows --

@@ -81,3 +81,11 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def pin(df: DataFrame, local_rows: int = 20_000) -> DataFrame:
+    """Materialise a small result: local relation up to ``local_rows`` rows, else a reliable checkpoint."""
+    rows = df.limit(local_rows + 1).collect()
+    if len(rows) <= local_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    return cut_lineage(df)
