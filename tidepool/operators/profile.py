@@ -15,7 +15,7 @@ from tidepool import fixed
 from tidepool.functions.numeric import pct, round4, to_number
 from tidepool.functions.temporal import as_timestamp, epoch_seconds, has_time_keyword
 from tidepool.functions.text import is_nonblank
-from tidepool.operators.quantiles import SEED_ACCURACY, exact_quantiles, seed_probabilities
+from tidepool.operators.quantiles import BROADCAST_STATE_ROWS, SEED_ACCURACY, exact_quantiles, seed_probabilities
 from tidepool.session import pin
 
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
@@ -76,8 +76,9 @@ def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True, seed:
         "_uf", F.col("p75") + fixed.OUTLIER_IQR_FACTOR * iqr
     )
     fences = stats.where(F.col("valid") > 0).select(*keys, "_lf", "_uf")
+    small = stats.count() <= BROADCAST_STATE_ROWS  # one row per group: broadcast only below the limit
     outl = (
-        long.join(F.broadcast(fences) if len(keys) <= 3 else fences, on=keys)
+        long.join(F.broadcast(fences) if small else fences, on=keys)
         .groupBy(*keys)
         .agg(F.count_if((v < F.col("_lf")) | (v > F.col("_uf"))).alias("outliers"))
     )

@@ -80,7 +80,25 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Read one driver table; spread it when the scan yields fewer tasks than cores.
+
+    A table stored as one file with one row group is scanned by a single task,
+    and every row-level expression after it would run on one core. Such an
+    input is round-robin spread once (``tidepool.spread`` = false turns this
+    off). Large inputs arrive in many splits and are never touched.
+    """
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    if spark.conf.get("tidepool.spread", "true") != "true":
+        return df
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def pin(df: DataFrame, local_rows: int = 20_000) -> DataFrame:
