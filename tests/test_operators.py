@@ -129,3 +129,45 @@ def test_transform_order_and_types(spark):
     assert mapping["Date/Time"] == "datetime" and mapping["Temperature (°C)"] == "temperature_c"
     r = cleaned.first()
     assert r.datetime == "2021-07-18T06:00:00Z" and r.latitude == 27.5 and r.station == "GOM-001"
+
+
+def test_manifest_snapshots_keep_keys(spark):
+    base = f"{checkpoint_dir(spark)}/manifest-{uuid.uuid4().hex}"
+    files = spark.createDataFrame([("raw/a.csv", "x", 10), ("docs/b.md", "y", 5)], "path string, sha256 string, size_bytes long")
+    info = spark.createDataFrame([("dataset", "ds1"), ("version", "1")], "key string, value string")
+    X.write_manifest(spark, base, X.manifest_rows(files), info)
+    X.write_manifest(spark, base, X.manifest_rows(files.limit(1)),
+                     spark.createDataFrame([("version", "2")], "key string, value string"))
+    kv = {r.key: r.value for r in spark.read.parquet(f"{base}/info").where("v = 2").collect()}
+    assert kv == {"dataset": "ds1", "version": "2", "total_files": "1", "total_bytes": "10"}
+
+
+def test_maps_and_grade_summary(spark):
+    top = spark.createDataFrame([("v", "a", 3), ("v", "b", 1)], "variable string, value string, n long")
+    m = P.top_values_map(top, ["variable"]).first().top_values
+    assert m == {"a": 3, "b": 1}
+    hm = spark.range(1).select(P.header_map(["Date/Time"], ["datetime"]).alias("m")).first().m
+    assert hm == {"Date/Time": "datetime"}
+    g = spark.createDataFrame([("d", "b.csv", "B"), ("d", "a.csv", "A")], "ds string, file string, grade string")
+    r = P.grade_summary(g, ["ds"], "file").first()
+    assert r.grades == "a.csv: A | b.csv: B" and r.files == 2
+
+
+def test_dataset_attributes_defaults(spark):
+    from tidepool.operators.vocabulary import dataset_attributes
+
+    rows = spark.createDataFrame([("d1", None, ["ocean"]), ("d2", "T", None)],
+                                 "dataset_id string, title string, theme_keywords array<string>")
+    got = {r.dataset_id: r for r in dataset_attributes(rows).collect()}
+    assert got["d1"].title == "Untitled Dataset" and got["d1"].keywords == "ocean"
+    assert got["d2"].keywords is None and got["d2"].keywords_vocabulary is None and got["d2"].license == "CC-BY-4.0"
+
+
+def test_json_report_sink(spark):
+    from tidepool.sources.text_tables import write_json_report
+
+    out = f"{checkpoint_dir(spark)}/report-{uuid.uuid4().hex}"
+    df = spark.createDataFrame([("f", [("c", True)])], "file string, checks array<struct<check:string,passed:boolean>>")
+    write_json_report(df, out)
+    back = spark.read.json(out).first()
+    assert back.file == "f" and back.checks[0].check == "c"

@@ -91,3 +91,51 @@ def expected_presence(expected: DataFrame, present: DataFrame, keys: list[str])
 def missing_artefacts(required: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """J-7: required artefacts (``keys + path, description``) absent from ``present`` (``keys + path``)."""
     return required.join(present.select(*keys, "path").distinct(), on=[*keys, "path"], how="left_anti")
+
+
+def ingest_inventory(expected: DataFrame, present: DataFrame) -> DataFrame:
+    """Per configured file its original and archive path, formats, description, size, digest, role.
+
+    ``expected``: ``name, source_path, format, target_format, description``;
+    ``present``: ``source_path, size_bytes, sha256``. The target format falls
+    back to the format; absent files keep null size and digest.
+    """
+    j = expected.join(present, on="source_path", how="left")
+    archive = F.concat(F.lit("raw/"), F.col("name"))
+    return j.select(
+        F.col("source_path").alias("original_path"), archive.alias("archive_path"), "name", "format",
+        F.coalesce(F.col("target_format"), F.col("format")).alias("target_format"), "description",
+        "size_bytes", "sha256", role_of(archive).alias("role"),
+    )
+
+
+def write_manifest(spark: SparkSession, path: str, files: DataFrame, info: DataFrame | None = None) -> str:
+    """A new manifest snapshot: earlier top-level keys kept, ``files`` replaced, totals added.
+
+    A manifest is a folder of snapshots ``v=<n>`` holding ``files`` (Parquet)
+    and ``info`` (key/value). The newest snapshot's keys are carried over,
+    overridden by ``info``; totals come from a grouped count of ``files``.
+    Returns the snapshot path.
+    """
+    import os
+
+    from pyspark.sql.utils import AnalysisException
+
+    try:
+        prev = spark.read.parquet(f"{path}/info")
+        latest = prev.agg(F.max("v")).first()[0]
+        old = prev.where(F.col("v") == latest).select("key", "value")
+        version = latest + 1
+    except AnalysisException:
+        old, version = None, 1
+    tot = totals(files).select(F.col("total_files").cast("string").alias("f"), F.col("total_bytes").cast("string").alias("b"))
+    totals_kv = tot.select(F.explode(F.array(
+        F.struct(F.lit("total_files").alias("key"), F.col("f").alias("value")),
+        F.struct(F.lit("total_bytes").alias("key"), F.coalesce(F.col("b"), F.lit("0")).alias("value")),
+    )).alias("kv")).select("kv.*")
+    new = totals_kv if info is None else info.select("key", "value").unionByName(totals_kv)
+    merged = new if old is None else new.unionByName(old.join(new.select("key"), "key", "left_anti"))
+    merged.withColumn("v", F.lit(version)).write.mode("append").partitionBy("v").parquet(f"{path}/info")
+    snap = os.path.join(path, "files", f"v={version}")
+    files.write.mode("overwrite").parquet(snap)
+    return snap

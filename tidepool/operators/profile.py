@@ -313,9 +313,29 @@ def missing_by_column(long: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def grade_summary(graded: DataFrame, keys: list[str], file_col: str) -> DataFrame:
-    """``file: grade | ...`` per dataset, files in name order."""
-    pairs = F.concat(F.col(file_col), F.lit(": "), F.col("grade"))
-    return graded.groupBy(*keys).agg(F.listagg(pairs, " | ").withinGroup(F.col(file_col)).alias("grades"))
+    """A22 + J2: ``file: grade | ...`` per dataset (files in name order) and the grade count.
+
+    ``listagg`` gathers one short string per file of a dataset; that is the
+    report line itself, sized by the file count, never by data rows.
+    """
+    pairs = F.concat(F.col(file_col), F.lit(": "), F.col("grade")).alias("_pair")
+    g = graded.select(*keys, F.col(file_col).alias("_file"), pairs)
+    return g.groupBy(*keys).agg(
+        F.expr("listagg(_pair, ' | ') WITHIN GROUP (ORDER BY _file)").alias("grades"),
+        F.count(F.lit(1)).alias("files"),
+    )
+
+
+def top_values_map(top: DataFrame, keys: list[str]) -> DataFrame:
+    """The top values of each group as a ``value -> count`` map (at most k entries)."""
+    return top.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("value", "n"))).alias("top_values")
+    )
+
+
+def header_map(raw: list[str], normalised: list[str]) -> Column:
+    """Raw -> normalised header mapping as a map literal."""
+    return F.map_from_arrays(F.array(*[F.lit(x) for x in raw]), F.array(*[F.lit(x) for x in normalised]))
 
 
 def spatial_coverage(lat: Column, lon: Column, df: DataFrame, keys: list[str]) -> DataFrame:

@@ -86,3 +86,68 @@ def verify_export(spark: SparkSession, source: DataFrame, path: str, keys: list[
     j = src.join(back, on=keys, how="left")
     return j.select(*keys, "rows_source", F.coalesce(F.col("rows_written"), F.lit(0)).alias("rows_written"),
                     (F.coalesce(F.col("rows_written"), F.lit(0)) == F.col("rows_source")).alias("ok"))
+
+
+# --- Fixed values: global attributes written with every export --------------
+GLOBAL_ATTRIBUTE_DEFAULTS = {
+    "Conventions": "CF-1.8, ACDD-1.3",
+    "title": "Untitled Dataset",
+    "summary": "",
+    "id": "",
+    "source": "in-situ observations",
+    "processing_level": "quality-controlled",
+    "creator_type": "person",
+    "publisher_name": "Scientific Data Repository",
+    "publisher_url": "",
+    "publisher_type": "institution",
+    "product_version": "1.0.0",
+    "featureType": "profile",
+    "cdm_data_type": "Profile",
+    "license": "CC-BY-4.0",
+    "keywords_vocabulary": "GCMD Science Keywords",
+}
+
+
+def dataset_attributes(rows: DataFrame) -> DataFrame:
+    """P13 + J1: one flat attribute row per dataset, configured values or defaults.
+
+    Input columns (optional): ``title, abstract, doi, organisation, contact_name,
+    contact_email, publisher_name, publisher_url, project, version,
+    license_name, theme_keywords, place_keywords``. Clock values (creation and
+    history stamps) are left to the writer, never part of compared output.
+    """
+    from tidepool.operators.records import keywords_text
+
+    cols = set(rows.columns)
+    d = GLOBAL_ATTRIBUTE_DEFAULTS
+
+    def cfg(name, default):
+        v = F.col(name).cast("string") if name in cols else F.lit(None).cast("string")
+        return F.coalesce(v, F.lit(default))
+
+    theme = F.col("theme_keywords") if "theme_keywords" in cols else F.lit(None).cast("array<string>")
+    place = F.col("place_keywords") if "place_keywords" in cols else F.lit(None).cast("array<string>")
+    kw = keywords_text(theme, place)
+    return rows.select(
+        "dataset_id",
+        F.lit(d["Conventions"]).alias("Conventions"),
+        cfg("title", d["title"]).alias("title"),
+        cfg("abstract", d["summary"]).alias("summary"),
+        cfg("doi", d["id"]).alias("id"),
+        F.lit(d["source"]).alias("source"),
+        F.lit(d["processing_level"]).alias("processing_level"),
+        cfg("organisation", "").alias("institution"),
+        cfg("contact_name", "").alias("creator_name"),
+        cfg("contact_email", "").alias("creator_email"),
+        F.lit(d["creator_type"]).alias("creator_type"),
+        cfg("publisher_name", d["publisher_name"]).alias("publisher_name"),
+        cfg("publisher_url", d["publisher_url"]).alias("publisher_url"),
+        F.lit(d["publisher_type"]).alias("publisher_type"),
+        cfg("project", "").alias("project"),
+        cfg("version", d["product_version"]).alias("product_version"),
+        F.lit(d["featureType"]).alias("featureType"),
+        F.lit(d["cdm_data_type"]).alias("cdm_data_type"),
+        cfg("license_name", d["license"]).alias("license"),
+        kw.alias("keywords"),
+        F.when(kw.isNotNull(), F.lit(d["keywords_vocabulary"])).alias("keywords_vocabulary"),
+    )

@@ -53,7 +53,7 @@ def manifest_totals(spark, sf_dir):
 
 _CURRENT_SQL = f"""
   SELECT {_DOC_PATH_SQL} AS path, sha256(CASE WHEN doc_id % 13 = 0 THEN text || ' ' ELSE text END) AS sha256
-  FROM documents WHERE doc_id % 17 <> 0
+  FROM documents WHERE NOT (lang = 'de' AND n_chars < 1000)
   UNION ALL SELECT 'raw/benchmark/' || CAST(item_id AS VARCHAR) || '.txt', sha256(text) FROM benchmark
 """
 
@@ -71,7 +71,8 @@ def fixity_verify(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")
     b = read_table(spark, sf_dir, "benchmark")
     text = F.when(F.col("doc_id") % 13 == 0, F.concat(F.col("text"), F.lit(" "))).otherwise(F.col("text"))
-    current = d.where(F.col("doc_id") % 17 != 0).select(_doc_path().alias("path"), sha256_hex(text).alias("sha256"))
+    deleted = (F.col("lang") == "de") & (F.col("n_chars") < 1000)  # files gone since the manifest
+    current = d.where(~deleted).select(_doc_path().alias("path"), sha256_hex(text).alias("sha256"))
     added = b.select(F.concat(F.lit("raw/benchmark/"), F.col("item_id").cast("string"), F.lit(".txt")).alias("path"),
                      sha256_hex(F.col("text")).alias("sha256"))
     return X.verify(_doc_manifest(spark, sf_dir), current.unionByName(added))
@@ -160,3 +161,39 @@ def encoding_check(spark, sf_dir):
     b = d.select("source", is_utf8(content).alias("_ok"))
     agg = b.groupBy("source").agg(F.count(F.lit(1)).alias("files"), F.count_if(~F.col("_ok")).alias("not_utf8"))
     return agg.select("source", F.lit("encoding").alias("check"), "files", "not_utf8", (F.col("not_utf8") == 0).alias("passed"))
+
+
+_EXPECTED_DOCS_SQL = """
+  SELECT CAST(doc_id AS VARCHAR) || '.txt' AS name,
+         'incoming/' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS source_path,
+         CASE WHEN lang = 'en' THEN 'text/plain' ELSE 'text/' || lang END AS format,
+         CASE WHEN lang IN ('en', 'fr') THEN NULL ELSE 'text/plain' END AS target_format,
+         'Document ' || CAST(doc_id AS VARCHAR) || ' (' || lang || ')' AS description,
+         lang, n_chars, text
+  FROM documents
+"""
+
+
+@query("ingest_inventory", f"""
+WITH e AS ({_EXPECTED_DOCS_SQL}),
+p AS (SELECT source_path, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, sha256(text) AS sha256
+      FROM e WHERE NOT (lang = 'es' AND n_chars > 5000))
+SELECT e.source_path AS original_path, 'raw/' || e.name AS archive_path, e.name, e.format,
+       coalesce(e.target_format, e.format) AS target_format, e.description, p.size_bytes, p.sha256,
+       'raw_data' AS role
+FROM e LEFT JOIN p ON e.source_path = p.source_path
+""")
+def ingest_inventory(spark, sf_dir):
+    """Every configured document file with archive path, formats, size, digest and role."""
+    d = read_table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("incoming/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    expected = d.select(
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), path.alias("source_path"),
+        F.when(F.col("lang") == "en", F.lit("text/plain")).otherwise(F.concat(F.lit("text/"), F.col("lang"))).alias("format"),
+        F.when(~F.col("lang").isin("en", "fr"), F.lit("text/plain")).alias("target_format"),
+        F.format_string("Document %d (%s)", F.col("doc_id"), F.col("lang")).alias("description"),
+    )
+    arrived = ~((F.col("lang") == "es") & (F.col("n_chars") > 5000))  # large Spanish files not delivered
+    present = d.where(arrived).select(path.alias("source_path"), F.octet_length("text").cast("long").alias("size_bytes"),
+                                      sha256_hex(F.col("text")).alias("sha256"))
+    return X.ingest_inventory(expected, present)

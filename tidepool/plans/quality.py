@@ -210,3 +210,42 @@ def bounding_box(spark, sf_dir):
     _views(spark, sf_dir)
     p = spark.sql(_POSITIONS_SQL)
     return P.spatial_coverage(F.col("lat"), F.col("lon"), p, ["c_mktsegment"])
+
+
+_GS_NUM = ["doc_id", "n_chars", "quality", "toxic"]
+_GS_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+_GRADE_SUMMARY_SQL = f"""
+WITH d AS ({DATASETS["documents_labelled"]}),
+q AS (SELECT lang AS g_lang, source AS g_source,
+             {", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in _GS_NUM)}
+      FROM d GROUP BY lang, source),
+o AS (SELECT q.g_lang, q.g_source, CAST(sum({" + ".join(
+    f"CASE WHEN d.{c} < a_{c} - 1.5 * (b_{c} - a_{c}) OR d.{c} > b_{c} + 1.5 * (b_{c} - a_{c}) THEN 1 ELSE 0 END"
+    for c in _GS_NUM)}) AS BIGINT) AS outl
+      FROM d JOIN q ON d.lang = q.g_lang AND d.source = q.g_source GROUP BY q.g_lang, q.g_source),
+f AS (SELECT lang AS g_lang, source AS g_source, count(*) AS rows,
+             sum({" + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in _GS_COLS)}) AS miss,
+             count(*) - count(DISTINCT ({", ".join(_GS_COLS)})) AS dup
+      FROM d GROUP BY lang, source),
+g AS (SELECT f.g_lang, f.g_source, round((1.0 - f.miss / (f.rows * 6)) * 100.0, 2) AS comp,
+             CAST(f.dup AS DOUBLE) / greatest(f.rows, 1) * 100.0 AS dp,
+             CAST(o.outl AS DOUBLE) / greatest(f.rows * 6, 1) * 100.0 AS op
+      FROM f JOIN o ON f.g_lang = o.g_lang AND f.g_source = o.g_source),
+r AS (SELECT g_lang, g_source, CASE WHEN comp >= 98 AND dp = 0 AND op < 1 THEN 'A'
+                                  WHEN comp >= 95 AND dp < 1 AND op < 3 THEN 'B'
+                                  WHEN comp >= 90 AND dp < 5 THEN 'C' ELSE 'D' END AS grade FROM g)
+SELECT g_lang, string_agg(g_source || ': ' || grade, ' | ' ORDER BY g_source) AS grades, count(*) AS files
+FROM r GROUP BY g_lang
+"""
+
+
+@query("grade_summary", _GRADE_SUMMARY_SQL)
+def grade_summary(spark, sf_dir):
+    """Per language, ``source: grade`` of every source file of labelled documents, in name order."""
+    d = _dataset(spark, sf_dir, "documents_labelled")
+    d = d.withColumn("g_lang", F.col("lang")).withColumn("g_source", F.col("source"))
+    keys = ["g_lang", "g_source"]
+    files = P.file_profile(d, keys)
+    prof = P.numeric_profile(P.to_long(d, _GS_NUM, keys), [*keys, "variable"])
+    graded = P.grade_files(files, prof.select(*keys, "variable", "outliers"), keys)
+    return P.grade_summary(graded, ["g_lang"], "g_source")

@@ -185,3 +185,25 @@ FROM x GROUP BY dataset_id, letter
 def audit_score(spark, sf_dir):
     """Passed / total per source and letter group, failed rule ids listed."""
     return A.score(audit_rules(spark, sf_dir), ["dataset_id", "letter"])
+
+
+@query("dataset_attributes", f"""
+WITH s AS ({_SOURCES_SQL})
+SELECT source AS dataset_id, 'CF-1.8, ACDD-1.3' AS Conventions, 'Text collection ' || source AS title,
+       printf('%d documents, %d characters, languages: %s', n_docs, chars, array_to_string(langs, ' ')) AS summary,
+       CASE snum % 3 WHEN 1 THEN 'PENDING' WHEN 2 THEN '10.5555/' || source ELSE '' END AS id,
+       'in-situ observations' AS source, 'quality-controlled' AS processing_level,
+       CASE WHEN snum % 4 <> 0 THEN 'Data Office' ELSE '' END AS institution,
+       'Curator ' || source AS creator_name, '' AS creator_email, 'person' AS creator_type,
+       'Scientific Data Repository' AS publisher_name, '' AS publisher_url, 'institution' AS publisher_type,
+       '' AS project, '1.0.0' AS product_version, 'profile' AS featureType, 'Profile' AS cdm_data_type,
+       'CC-BY-4.0' AS license,
+       array_to_string(list_concat(langs, CASE WHEN snum % 2 = 0 THEN ['Gulf of Mexico'] ELSE [] END), ', ') AS keywords,
+       'GCMD Science Keywords' AS keywords_vocabulary
+FROM s
+""")
+def dataset_attributes(spark, sf_dir):
+    """P13 + J1: the global attribute row of every source's export, defaults filled in."""
+    from tidepool.operators.vocabulary import dataset_attributes as attrs
+
+    return attrs(_dataset_rows(spark, sf_dir))

@@ -200,3 +200,13 @@ def validation_report(spark, sf_dir):
     return C.report(req.unionByName(rng), ["dataset"])
 
 
+
+
+@query("first_errors", f"""
+WITH req AS ({_REQUIRED_SQL})
+SELECT file, "check", detail FROM req WHERE NOT passed ORDER BY file, "check" LIMIT 5
+""")
+def first_errors(spark, sf_dir):
+    """O2: the first five failed checks in (file, check) order (a head that is the feature)."""
+    req = required_columns(spark, sf_dir)
+    return req.where(~F.col("passed")).select("file", "check", "detail").orderBy("file", "check").limit(5)
