@@ -5,9 +5,10 @@ plan here is two-level:
 
 1. distinct times per group with their multiplicity (map-side combined);
    repeats contribute ``n - 1`` zero gaps;
-2. each group's time range is cut into buckets sized from its distinct count
-   (about ``per_bucket`` distinct times each), and ``lag`` runs per
-   ``(group, bucket)``;
+2. each group's time range is cut into about sqrt(distinct times) buckets
+   (and at most ``per_bucket`` distinct times per bucket on average), and
+   ``lag`` runs per ``(group, bucket)``; both window levels stay near
+   sqrt(n) rows even for a group holding a third of the data;
 3. a bucket-level table (one row per bucket) carries each bucket's previous
    maximum with a second, small ``lag``; that gives the gaps across bucket
    edges.
@@ -37,7 +38,7 @@ def time_gaps(df: DataFrame, keys: list[str], ts: Column, per_bucket: int = PER_
     per_group = times.groupBy(*gkeys).agg(
         F.count(F.lit(1)).alias("_d"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1")
     )
-    nb = F.greatest(F.ceil(F.col("_d") / F.lit(per_bucket)), F.lit(1))
+    nb = F.greatest(F.ceil(F.col("_d") / F.lit(per_bucket)), F.ceil(F.sqrt(F.col("_d"))), F.lit(1))
     width = F.greatest(F.ceil((F.col("_t1") - F.col("_t0") + 1) / nb), F.lit(1)).cast("long")
     bounds = per_group.select(*gkeys, "_t0", width.alias("_wd"))
     tb = times.join(F.broadcast(bounds) if not keys else bounds, on=gkeys).withColumn(

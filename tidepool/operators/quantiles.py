@@ -13,8 +13,9 @@ Here each wanted rank is found by narrowing a value range:
    that holds the rank; its real ``min``/``max`` become the next range.
 
 A range whose ``min == max`` is solved. Each round shrinks a range by the
-bucket factor (or to fewer distinct values), so doubles resolve in a few
-rounds. The small state table is re-pinned each round (local relation when
+bucket factor (or to fewer distinct values); once a range holds at most
+``FINISH_ROWS`` rows, one ``row_number`` over those candidates (a window of
+bounded size) gives the exact value, so any distribution ends in a few rounds. The small state table is re-pinned each round (local relation when
 small, reliable checkpoint when large) to cut lineage.
 
 Seeding: when the caller's ``stats`` carry a ``_seed`` array (bounded-memory
@@ -34,6 +35,9 @@ from tidepool.session import pin
 
 BROADCAST_STATE_ROWS = 200_000
 LOCAL_STATE_ROWS = 20_000
+# A rank whose range holds at most this many rows is finished by an exact
+# row_number over just those rows (a window bounded by this size).
+FINISH_ROWS = 200_000
 
 
 def _materialize(df: DataFrame) -> DataFrame:
@@ -74,6 +78,62 @@ def _targets(stats: DataFrame, gkeys: list[str], probs: dict[str, float]) -> Dat
     return stats.select(*gkeys, "_n", F.explode(F.array(*parts)).alias("_t")).select(*gkeys, "_t.*")
 
 
+LOG_SPAN = 20.0  # natural-log units: a range wider than e^20 in magnitude is bucketed logarithmically
+# ln of the smallest positive double is about -744.4: shifting by 746 keeps every magnitude positive.
+LOG_SHIFT = 746.0
+
+
+def _slog(x: Column) -> Column:
+    """Monotone over all doubles: 0 at 0, sign(x) * (ln|x| + 746) elsewhere (|value| >= 1.5)."""
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.log(F.abs(x)) + LOG_SHIFT))
+
+
+def _finish(base: DataFrame, small: DataFrame, gkeys: list[str]) -> DataFrame:
+    """Exact value of each rank whose range holds few rows: ``row_number`` over the candidates only."""
+    side = F.broadcast(small) if small.count() <= BROADCAST_STATE_ROWS else small
+    cand = base.join(side, on=gkeys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    # Expand weights lazily: a row of weight w covers ranks [start, start + w).
+    w = Window.partitionBy(*gkeys, "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = cand.withColumn("_start", F.col("_below") + F.coalesce(F.sum("_w").over(w), F.lit(0)))
+    hit = ranked.where((F.col("_start") <= F.col("k")) & (F.col("k") < F.col("_start") + F.col("_w")))
+    return hit.select(*gkeys, "k", F.col("_v").alias("_lo"), F.col("_v").alias("_hi"), F.col("k").alias("_below"),
+                      F.lit(1).cast("long").alias("_cnt"))
+
+
+def _narrow(base: DataFrame, large: DataFrame, gkeys: list[str], buckets: int) -> DataFrame:
+    """One histogram round for the ranks whose ranges are still large."""
+    # Ranks that share a range share one histogram (round one: one per group).
+    ranges = large.select(*gkeys, "_lo", "_hi", "_below").distinct()
+    n = ranges.count()
+    side = F.broadcast(ranges) if n <= BROADCAST_STATE_ROWS else ranges
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    unseen = F.col("_below").isNull()  # seed band: every row counts, outside rows in sentinels
+    cand = base.join(side, on=gkeys).where(unseen | ((v >= lo) & (v <= hi)))
+    # Ranges spanning many orders of magnitude are cut evenly in a signed log scale,
+    # others evenly in v (halves keep the width finite near the double limits).
+    # Both maps are monotone, so the ends of a range fall in different buckets
+    # and every round strictly narrows it.
+    lin = F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * buckets)
+    lg = F.floor((_slog(v) - _slog(lo)) / (_slog(hi) - _slog(lo)) * buckets)
+    wide = (_slog(hi) - _slog(lo)) > LOG_SPAN
+    inner = F.when(hi > lo, F.least(F.when(wide, lg).otherwise(lin).cast("long"), F.lit(buckets - 1)))
+    b = F.when(v < lo, F.lit(-1)).when(v > hi, F.lit(buckets)).otherwise(F.coalesce(inner, F.lit(0)))
+    rkeys = [*gkeys, "_lo", "_hi", "_below"]
+    hist = cand.groupBy(*rkeys, b.alias("_b")).agg(
+        F.sum("_w").alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
+    )
+    w = Window.partitionBy(*rkeys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_start", F.coalesce(F.col("_below"), F.lit(0)) + F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    # Renamed keys: the histogram descends from the state, so a plain self-join would be ambiguous.
+    hist = hist.select(*[F.col(c).alias(f"_h{c}") for c in rkeys], "_c", "_bmin", "_bmax", "_start")
+    start = F.col("_start")
+    chosen = large.join(hist, [large[c].eqNullSafe(hist[f"_h{c}"]) for c in rkeys])
+    return chosen.where((start <= F.col("k")) & (F.col("k") < start + F.col("_c"))).select(
+        *gkeys, "k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), start.alias("_below"),
+        F.col("_c").alias("_cnt"),
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -105,41 +165,29 @@ def exact_quantiles(
             F.sum("_w").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
         )
     targets = _materialize(_targets(stats, gkeys, probs))
-    band = [F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), F.col("_bbelow").alias("_below")]
+    band = [F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), F.col("_bbelow").alias("_below"),
+            F.lit(None).cast("long").alias("_cnt")]
     ranks = targets.select(*gkeys, "k", *band).unionByName(targets.select(*gkeys, F.col("k1").alias("k"), *band))
     state = _materialize(ranks.dropDuplicates([*gkeys, "k"]))
 
     for _ in range(max_rounds):
         # Open: a range still holding several values, or a seed band not yet counted.
-        open_ = state.where((F.col("_lo") < F.col("_hi")) | F.col("_below").isNull())
-        # Ranks that share a range share one histogram (round one: one per group).
-        ranges = open_.select(*gkeys, "_lo", "_hi", "_below").distinct()
-        n_open = ranges.count()
-        if n_open == 0:
+        is_open = (F.col("_lo") < F.col("_hi")) | F.col("_below").isNull()
+        open_ = state.where(is_open)
+        small = open_.where(F.col("_below").isNotNull() & (F.col("_cnt") <= FINISH_ROWS))
+        large = open_.where(F.col("_below").isNull() | F.col("_cnt").isNull() | (F.col("_cnt") > FINISH_ROWS))
+        n_small, n_large = small.count(), large.count()
+        if n_small + n_large == 0:
             break
-        side = F.broadcast(ranges) if n_open <= BROADCAST_STATE_ROWS else ranges
-        v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
-        unseen = F.col("_below").isNull()  # seed band: every row counts, outside rows in sentinels
-        cand = base.join(side, on=gkeys).where(unseen | ((v >= lo) & (v <= hi)))
-        # Halves keep the width finite for ranges spanning most of the doubles.
-        span = hi / 2 - lo / 2
-        inner = F.when(span > 0, F.least(F.floor((v / 2 - lo / 2) / span * buckets).cast("long"), F.lit(buckets - 1)))
-        b = F.when(v < lo, F.lit(-1)).when(v > hi, F.lit(buckets)).otherwise(F.coalesce(inner, F.lit(0)))
-        rkeys = [*gkeys, "_lo", "_hi", "_below"]
-        hist = cand.groupBy(*rkeys, b.alias("_b")).agg(
-            F.sum("_w").alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
-        )
-        w = Window.partitionBy(*rkeys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_start", F.coalesce(F.col("_below"), F.lit(0)) + F.coalesce(F.sum("_c").over(w), F.lit(0)))
-        # Renamed keys: the histogram descends from the state, so a plain self-join would be ambiguous.
-        hist = hist.select(*[F.col(c).alias(f"_h{c}") for c in rkeys], "_c", "_bmin", "_bmax", "_start")
-        start = F.col("_start")
-        chosen = open_.join(hist, [open_[c].eqNullSafe(hist[f"_h{c}"]) for c in rkeys])
-        chosen = chosen.where((start <= F.col("k")) & (F.col("k") < start + F.col("_c"))).select(
-            *gkeys, "k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), start.alias("_below")
-        )
-        done = state.where((F.col("_lo") >= F.col("_hi")) & F.col("_below").isNotNull())
-        state = _materialize(done.unionByName(chosen))
+        done = [state.where(~is_open)]
+        if n_small:
+            done.append(_finish(base, small, gkeys))
+        if n_large:
+            done.append(_narrow(base, large, gkeys, buckets))
+        nxt = done[0]
+        for part in done[1:]:
+            nxt = nxt.unionByName(part)
+        state = _materialize(nxt)
     else:
         raise RuntimeError("exact_quantiles did not converge")
 
