@@ -73,8 +73,9 @@ def _targets(stats: DataFrame, gkeys: list[str], probs: dict[str, float]) -> Dat
         blo = F.col("_seed")[2 * i] if seeded else F.col("_lo")
         bhi = F.col("_seed")[2 * i + 1] if seeded else F.col("_hi")
         below = F.lit(None).cast("long") if seeded else F.lit(0).cast("long")
+        count = F.lit(None).cast("long") if seeded else n.cast("long")
         parts.append(F.struct(F.lit(name).alias("name"), lo.alias("k"), hi.alias("k1"), frac.alias("frac"),
-                              blo.alias("_blo"), bhi.alias("_bhi"), below.alias("_bbelow")))
+                              blo.alias("_blo"), bhi.alias("_bhi"), below.alias("_bbelow"), count.alias("_bcnt")))
     return stats.select(*gkeys, "_n", F.explode(F.array(*parts)).alias("_t")).select(*gkeys, "_t.*")
 
 
@@ -89,13 +90,21 @@ def _slog(x: Column) -> Column:
 
 
 def _finish(base: DataFrame, small: DataFrame, gkeys: list[str]) -> DataFrame:
-    """Exact value of each rank whose range holds few rows: ``row_number`` over the candidates only."""
-    side = F.broadcast(small) if small.count() <= BROADCAST_STATE_ROWS else small
+    """Exact value of each rank whose range holds few rows.
+
+    One running sum of weights per distinct range, ordered by value, over the
+    candidate rows only (a window of at most ``FINISH_ROWS`` rows); ranks of
+    the range then pick the row that covers them.
+    """
+    rkeys = [*gkeys, "_lo", "_hi", "_below"]
+    ranges = small.select(*rkeys).distinct()
+    side = F.broadcast(ranges) if ranges.count() <= BROADCAST_STATE_ROWS else ranges
     cand = base.join(side, on=gkeys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    # Expand weights lazily: a row of weight w covers ranks [start, start + w).
-    w = Window.partitionBy(*gkeys, "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*rkeys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = cand.withColumn("_start", F.col("_below") + F.coalesce(F.sum("_w").over(w), F.lit(0)))
-    hit = ranked.where((F.col("_start") <= F.col("k")) & (F.col("k") < F.col("_start") + F.col("_w")))
+    ranked = ranked.select(*[F.col(c).alias(f"_r{c}") for c in rkeys], "_v", "_w", "_start")
+    j = small.join(ranked, [small[c].eqNullSafe(ranked[f"_r{c}"]) for c in rkeys])
+    hit = j.where((F.col("_start") <= F.col("k")) & (F.col("k") < F.col("_start") + F.col("_w")))
     return hit.select(*gkeys, "k", F.col("_v").alias("_lo"), F.col("_v").alias("_hi"), F.col("k").alias("_below"),
                       F.lit(1).cast("long").alias("_cnt"))
 
@@ -166,7 +175,7 @@ def exact_quantiles(
         )
     targets = _materialize(_targets(stats, gkeys, probs))
     band = [F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), F.col("_bbelow").alias("_below"),
-            F.lit(None).cast("long").alias("_cnt")]
+            F.col("_bcnt").alias("_cnt")]
     ranks = targets.select(*gkeys, "k", *band).unionByName(targets.select(*gkeys, F.col("k1").alias("k"), *band))
     state = _materialize(ranks.dropDuplicates([*gkeys, "k"]))
 

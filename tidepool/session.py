@@ -91,12 +91,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df)
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of a plan (no job is run)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
 def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer splits than cores (and is not tiny)."""
     spark = df.sparkSession
     if spark.conf.get("tidepool.spread", "true") != "true":
         return df
     par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    if df.rdd.getNumPartitions() < par and estimated_bytes(df) >= SPREAD_MIN_BYTES:
         return df.repartition(par)
     return df
 
