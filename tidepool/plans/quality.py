@@ -54,15 +54,17 @@ def _views(spark, sf_dir):
         read_table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
-def _dataset(spark, sf_dir, name):
-    _views(spark, sf_dir)
+def _dataset(spark, sf_dir, name, views: bool = True):
+    if views:
+        _views(spark, sf_dir)
     return spark.sql(DATASETS[name])
 
 
 def _graded(spark, sf_dir):
     files, longs = None, None
+    _views(spark, sf_dir)
     for name in DATASETS:
-        df = _dataset(spark, sf_dir, name)
+        df = _dataset(spark, sf_dir, name, views=False)
         f = P.file_profile(df.withColumn("dataset", F.lit(name)), ["dataset"])
         files = f if files is None else files.unionByName(f)
         nums = numeric_columns(df)

@@ -87,8 +87,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     input is round-robin spread once (``tidepool.spread`` = false turns this
     off). Large inputs arrive in many splits and are never touched.
     """
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df)
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else None)
+    if key not in _SPREAD_DECISIONS:
+        _SPREAD_DECISIONS[key] = spread(df) is not df
+    return spread(df, force=_SPREAD_DECISIONS[key])
 
 
 SPREAD_MIN_BYTES = 1 << 20
@@ -102,20 +106,42 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that has fewer splits than cores (and is not tiny)."""
+_SPREAD_DECISIONS: dict = {}
+
+
+def spread(df: DataFrame, force: bool | None = None) -> DataFrame:
+    """Round-robin an input that has fewer splits than cores (and is not tiny).
+
+    ``force`` reuses an earlier decision for the same input (driver-side memo).
+    """
     spark = df.sparkSession
-    if spark.conf.get("tidepool.spread", "true") != "true":
+    if spark.conf.get("tidepool.spread", "true") != "true" or force is False:
         return df
     par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par and estimated_bytes(df) >= SPREAD_MIN_BYTES:
+    if force or (df.rdd.getNumPartitions() < par and estimated_bytes(df) >= SPREAD_MIN_BYTES):
         return df.repartition(par)
     return df
 
 
 def pin(df: DataFrame, local_rows: int = 20_000) -> DataFrame:
-    """Materialise a small result: local relation up to ``local_rows`` rows, else a reliable checkpoint."""
+    """Materialise a small result: local relation up to ``local_rows`` rows, else a reliable checkpoint.
+
+    The local form is built from an Arrow table, so later plans read it as a
+    JVM ``LocalTableScan`` (no Python worker per use) and broadcast it freely.
+    """
     rows = df.limit(local_rows + 1).collect()
-    if len(rows) <= local_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
-    return cut_lineage(df)
+    if len(rows) > local_rows:
+        return cut_lineage(df)
+    return local_frame(df.sparkSession, rows, df.schema)
+
+
+def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
+    """A JVM-side local relation from a few driver rows (O(groups), never data rows)."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    try:
+        table = pa.Table.from_pylist([r.asDict(recursive=True) for r in rows], schema=to_arrow_schema(schema))
+        return spark.createDataFrame(table)
+    except Exception:  # noqa: BLE001 - a type Arrow cannot carry: plain rows
+        return spark.createDataFrame(rows, schema)
