@@ -37,10 +37,11 @@ def duplicate_extras(df: DataFrame, keys: list[str], columns: list[str] | None =
 
     cols = columns or [c for c in df.columns if c not in keys]
     by_hash = df.groupBy(*keys, row_hash(cols).alias("_h")).agg(F.count(F.lit(1)).alias("_k"))
-    rows = by_hash.groupBy(*keys).agg(F.sum("_k").alias("rows"))
-    res = rows.join(_exact_extras(df, by_hash, keys, cols), on=keys, how="left")
-    return res.select(*keys, F.col("rows").cast("long").alias("rows"),
-                      F.coalesce(F.col("duplicate_rows"), F.lit(0)).cast("long").alias("duplicate_rows"))
+    zero = F.lit(0).cast("long")
+    parts = by_hash.select(*keys, F.col("_k").alias("_rows"), zero.alias("_dup")).unionByName(
+        _exact_extras(df, by_hash, keys, cols).select(*keys, zero.alias("_rows"), F.col("duplicate_rows").alias("_dup")))
+    res = parts.groupBy(*keys).agg(F.sum("_rows").alias("rows"), F.sum("_dup").alias("duplicate_rows"))
+    return res.select(*keys, F.col("rows").cast("long").alias("rows"), F.col("duplicate_rows").cast("long").alias("duplicate_rows"))
 
 
 def matched_keys(columns: list[str], wanted: list[str]) -> list[str]:

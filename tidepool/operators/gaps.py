@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool import fixed
 from tidepool.operators.quantiles import exact_quantiles
@@ -41,9 +42,15 @@ def time_gaps(df: DataFrame, keys: list[str], ts: Column, per_bucket: int = PER_
     nb = F.greatest(F.ceil(F.col("_d") / F.lit(per_bucket)), F.ceil(F.sqrt(F.col("_d"))), F.lit(1))
     width = F.greatest(F.ceil((F.col("_t1") - F.col("_t0") + 1) / nb), F.lit(1)).cast("long")
     bounds = per_group.select(*gkeys, "_t0", width.alias("_wd"))
-    tb = times.join(F.broadcast(bounds) if not keys else bounds, on=gkeys).withColumn(
-        "_b", F.floor((F.col("_t") - F.col("_t0")) / F.col("_wd")).cast("long")
-    )
+    if keys:
+        tb = times.join(bounds, on=gkeys)
+    else:  # whole column: start and width are two scalars
+        b = bounds.first()
+        if b is None:
+            tb = times.withColumn("_t0", F.lit(0).cast("long")).withColumn("_wd", F.lit(1).cast("long"))
+        else:
+            tb = times.withColumn("_t0", F.lit(b["_t0"]).cast("long")).withColumn("_wd", F.lit(b["_wd"]).cast("long"))
+    tb = tb.withColumn("_b", F.floor((F.col("_t") - F.col("_t0")) / F.col("_wd")).cast("long"))
     inner = tb.withColumn("_gap", F.col("_t") - F.lag("_t").over(Window.partitionBy(*gkeys, "_b").orderBy("_t")))
     within = inner.where(F.col("_gap").isNotNull()).select(*gkeys, "_gap", F.lit(1).cast("long").alias("_w"))
     buckets = tb.groupBy(*gkeys, "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
@@ -61,27 +68,45 @@ def gap_analysis(df: DataFrame, keys: list[str], ts: Column, per_bucket: int = P
 
     Groups with one valid time report zero gaps, as a sorted diff would.
     """
-    gkeys = list(keys) or ["_g"]
+    if not keys:
+        return _global_gaps(df, ts, per_bucket)
     valid = df.select(*[F.col(k) for k in keys], ts.alias("_ts")).where(F.col("_ts").isNotNull())
     gaps = time_gaps(df, keys, ts, per_bucket)
-    if not keys:
-        valid = valid.withColumn("_g", F.lit(0))
-        gaps = gaps.withColumn("_g", F.lit(0))
-    counts = valid.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("valid"))
-    gaps = gaps.cache()
-    med = exact_quantiles(gaps, gkeys, "gap_us", {"_med": 0.5}, weight="w")
-    g = gaps.join(F.broadcast(med) if not keys else med, on=gkeys)
-    summary = g.groupBy(*gkeys).agg(
+    counts = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("valid"))
+    med = exact_quantiles(gaps, keys, "gap_us", {"_med": 0.5}, weight="w")
+    g = gaps.join(med, on=keys)
+    summary = g.groupBy(*keys).agg(
         F.max("_med").alias("_med"),
         F.max("gap_us").alias("_max"),
         F.sum(F.when(F.col("gap_us") > fixed.LARGE_GAP_FACTOR * F.col("_med"), F.col("w")).otherwise(0)).alias("_large"),
     )
-    res = counts.join(summary, on=gkeys, how="left")
-    keys_out = list(keys)
+    res = counts.join(summary, on=keys, how="left")
     return res.select(
-        *keys_out,
+        *keys,
         F.col("valid").cast("long").alias("valid"),
         F.coalesce(F.col("_med") / 1e6, F.lit(0.0)).alias("median_gap_seconds"),
         F.coalesce(F.col("_max") / 1e6, F.lit(0.0)).alias("max_gap_seconds"),
         F.coalesce(F.col("_large"), F.lit(0)).cast("long").alias("large_gaps"),
     )
+
+
+def _global_gaps(df: DataFrame, ts: Column, per_bucket: int) -> DataFrame:
+    """Whole-column form: the median and the few totals are scalars (O(1) to the driver)."""
+    from tidepool.session import local_frame
+
+    spark = df.sparkSession
+    gaps = time_gaps(df, [], ts, per_bucket)
+    n = df.select(ts.alias("_ts")).where(F.col("_ts").isNotNull()).count()
+    schema = "valid long, median_gap_seconds double, max_gap_seconds double, large_gaps long"
+    if n == 0:
+        return local_frame(spark, [], T.StructType.fromDDL(schema))
+    q = exact_quantiles(gaps, [], "gap_us", {"_med": 0.5}, weight="w").first()
+    med = q["_med"] if q is not None else None
+    if med is None:  # one valid time: no gap at all
+        row = (n, 0.0, 0.0, 0)
+    else:
+        a = gaps.agg(F.max("gap_us").alias("mx"), F.sum(F.when(F.col("gap_us") > fixed.LARGE_GAP_FACTOR * F.lit(med),
+                                                                 F.col("w")).otherwise(0)).alias("lg")).first()
+        row = (n, med / 1e6, a["mx"] / 1e6, int(a["lg"] or 0))
+    names = ("valid", "median_gap_seconds", "max_gap_seconds", "large_gaps")
+    return local_frame(spark, [T.Row(**dict(zip(names, row)))], T.StructType.fromDDL(schema))

@@ -224,9 +224,13 @@ def file_profile(df: DataFrame, keys: list[str]) -> DataFrame:
     by_hash = df.groupBy(*keys, row_hash(data_cols).alias("_h")).agg(
         F.count(F.lit(1)).alias("_k"), F.sum(miss).alias("_mm")
     )
-    totals = by_hash.groupBy(*keys).agg(F.sum("_k").alias("rows"), F.sum("_mm").alias("total_missing"))
-    dups = _exact_extras(df, by_hash, keys, data_cols)
-    res = totals.join(dups, on=keys, how="left")
+    # Totals and exact duplicates meet in one aggregate over a union (no join).
+    zero = F.lit(0).cast("long")
+    parts = by_hash.select(*keys, F.col("_k").alias("_rows"), F.col("_mm").alias("_miss"), zero.alias("_dup"))
+    parts = parts.unionByName(_exact_extras(df, by_hash, keys, data_cols).select(
+        *keys, zero.alias("_rows"), zero.alias("_miss"), F.col("duplicate_rows").alias("_dup")))
+    res = parts.groupBy(*keys).agg(F.sum("_rows").alias("rows"), F.sum("_miss").alias("total_missing"),
+                                   F.sum("_dup").alias("duplicate_rows"))
     cells = F.col("rows") * F.lit(ncols)
     return res.select(
         *keys,
@@ -253,7 +257,7 @@ def _exact_extras(df: DataFrame, by_hash: DataFrame, keys: list[str], cols: list
     rows = df.select(*keys, *[F.col(f"`{c}`") for c in cols], row_hash(cols).alias("_h"))
     hit = rows.join(cand, on=[*keys, "_h"], how="left_semi")
     exact = hit.groupBy(*keys, *[f"`{c}`" for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    return exact.groupBy(*keys).agg(F.sum(F.col("_n") - 1).alias("duplicate_rows"))
+    return exact.select(*keys, (F.col("_n") - 1).cast("long").alias("duplicate_rows"))
 
 
 def grade_files(files: DataFrame, outliers: DataFrame, keys: list[str]) -> DataFrame:

@@ -89,6 +89,34 @@ def _slog(x: Column) -> Column:
     return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.log(F.abs(x)) + LOG_SHIFT))
 
 
+LITERAL_RANGES = 64
+
+
+def _join_keys(rkeys: list[str]) -> list[str]:
+    """Range join keys; the synthetic whole-column key is constant and would fold the join away."""
+    return [c for c in rkeys if c != "_g"]
+
+
+def _attach(base: DataFrame, ranges: DataFrame, gkeys: list[str], keep_outside: bool = False) -> DataFrame:
+    """Rows of ``base`` next to the range(s) of their group that hold them.
+
+    Grouped: an equi-join on the group keys (broadcast below a row limit).
+    Whole column (``_g`` only, a few ranges): the ranges become a literal
+    array that each row filters and explodes -- no join at all.
+    ``keep_outside`` keeps every row for ranges not yet counted (seed bands).
+    """
+    v = F.col("_v")
+    n = ranges.count()
+    if gkeys == ["_g"] and n <= LITERAL_RANGES:
+        fields = [("_lo", "double"), ("_hi", "double"), ("_below", "long")]
+        arr = F.array(*[F.struct(*[F.lit(r[c]).cast(t).alias(c) for c, t in fields]) for r in ranges.collect()])
+        outside = (lambda x: x["_below"].isNull()) if keep_outside else (lambda x: F.lit(False))
+        hit = F.filter(arr, lambda x: outside(x) | ((v >= x["_lo"]) & (v <= x["_hi"])))
+        return base.select("*", F.explode(hit).alias("_r")).select(*base.columns, "_r._lo", "_r._hi", "_r._below")
+    side = F.broadcast(ranges) if n <= BROADCAST_STATE_ROWS else ranges
+    return base.join(side, on=gkeys)
+
+
 def _finish(base: DataFrame, small: DataFrame, gkeys: list[str]) -> DataFrame:
     """Exact value of each rank whose range holds few rows.
 
@@ -98,12 +126,11 @@ def _finish(base: DataFrame, small: DataFrame, gkeys: list[str]) -> DataFrame:
     """
     rkeys = [*gkeys, "_lo", "_hi", "_below"]
     ranges = small.select(*rkeys).distinct()
-    side = F.broadcast(ranges) if ranges.count() <= BROADCAST_STATE_ROWS else ranges
-    cand = base.join(side, on=gkeys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    cand = _attach(base, ranges, gkeys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
     w = Window.partitionBy(*rkeys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = cand.withColumn("_start", F.col("_below") + F.coalesce(F.sum("_w").over(w), F.lit(0)))
     ranked = ranked.select(*[F.col(c).alias(f"_r{c}") for c in rkeys], "_v", "_w", "_start")
-    j = small.join(ranked, [small[c].eqNullSafe(ranked[f"_r{c}"]) for c in rkeys])
+    j = small.join(ranked, [small[c].eqNullSafe(ranked[f"_r{c}"]) for c in _join_keys(rkeys)])
     hit = j.where((F.col("_start") <= F.col("k")) & (F.col("k") < F.col("_start") + F.col("_w")))
     return hit.select(*gkeys, "k", F.col("_v").alias("_lo"), F.col("_v").alias("_hi"), F.col("k").alias("_below"),
                       F.lit(1).cast("long").alias("_cnt"))
@@ -113,11 +140,9 @@ def _narrow(base: DataFrame, large: DataFrame, gkeys: list[str], buckets: int) -
     """One histogram round for the ranks whose ranges are still large."""
     # Ranks that share a range share one histogram (round one: one per group).
     ranges = large.select(*gkeys, "_lo", "_hi", "_below").distinct()
-    n = ranges.count()
-    side = F.broadcast(ranges) if n <= BROADCAST_STATE_ROWS else ranges
     v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
     unseen = F.col("_below").isNull()  # seed band: every row counts, outside rows in sentinels
-    cand = base.join(side, on=gkeys).where(unseen | ((v >= lo) & (v <= hi)))
+    cand = _attach(base, ranges, gkeys, keep_outside=True).where(unseen | ((v >= lo) & (v <= hi)))
     # Ranges spanning many orders of magnitude are cut evenly in a signed log scale,
     # others evenly in v (halves keep the width finite near the double limits).
     # Both maps are monotone, so the ends of a range fall in different buckets
@@ -136,7 +161,7 @@ def _narrow(base: DataFrame, large: DataFrame, gkeys: list[str], buckets: int) -
     # Renamed keys: the histogram descends from the state, so a plain self-join would be ambiguous.
     hist = hist.select(*[F.col(c).alias(f"_h{c}") for c in rkeys], "_c", "_bmin", "_bmax", "_start")
     start = F.col("_start")
-    chosen = large.join(hist, [large[c].eqNullSafe(hist[f"_h{c}"]) for c in rkeys])
+    chosen = large.join(hist, [large[c].eqNullSafe(hist[f"_h{c}"]) for c in _join_keys(rkeys)])
     return chosen.where((start <= F.col("k")) & (F.col("k") < start + F.col("_c"))).select(
         *gkeys, "k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), start.alias("_below"),
         F.col("_c").alias("_cnt"),
