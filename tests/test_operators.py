@@ -68,7 +68,11 @@ def test_file_profile_grade_zero_rows_and_positions(spark):
     g = P.grade_files(f, outl, ["dataset"]).first()
     assert (g.rows, g.columns, g.total_cells, g.completeness_pct, g.duplicate_rows, g.grade) == (5, 7, 35, 100.0, 0, "A")
     empty = P.file_profile(df.limit(0).drop("file").withColumn("dataset", F.lit("z")), ["dataset"])
-    assert empty.count() == 0  # no rows: no group; a catalogue join reports it as grade D
+    assert empty.count() == 0  # no rows, no group ...
+    cat = spark.createDataFrame([("z",)], "dataset string")
+    z = P.file_profile(df.where("false").drop("file").withColumn("dataset", F.lit("z")), ["dataset"], catalogue=cat)
+    gz = P.grade_files(z, spark.createDataFrame([], "dataset string, outliers long"), ["dataset"]).first()
+    assert (gz.rows, gz.completeness_pct, gz.grade) == (0, None, "D")  # ... unless catalogued: grade D
     pos = spark.createDataFrame([("1", "2"), ("1", None), (None, None), (None, None)], "la string, lo string")
     sc = P.spatial_coverage(F.col("la"), F.col("lo"), pos.withColumn("k", F.lit(1)), ["k"]).first()
     assert sc.unique_positions == 3 and sc.south_lat == 1.0

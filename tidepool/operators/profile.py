@@ -211,9 +211,12 @@ def classify_columns(df: DataFrame) -> dict[str, str]:
 
 
 # ------------------------------------------------------------------- files ---
-def file_profile(df: DataFrame, keys: list[str]) -> DataFrame:
+def file_profile(df: DataFrame, keys: list[str], catalogue: DataFrame | None = None) -> DataFrame:
     """A1 + A3 + A7: rows, columns, cells, missing cells, completeness, duplicate rows.
 
+    ``catalogue`` (the ``keys`` of every known file) keeps files with zero
+    rows: they report 0 rows, completeness NULL (and grade D downstream).
+
     Duplicates are exact but shuffle little: pass one groups by a 64-bit hash
     of the whole row (8 bytes per row move, not the row); only rows whose hash
     repeats go through the exact group-by on every column in pass two.
@@ -231,6 +234,9 @@ def file_profile(df: DataFrame, keys: list[str]) -> DataFrame:
         *keys, zero.alias("_rows"), zero.alias("_miss"), F.col("duplicate_rows").alias("_dup")))
     res = parts.groupBy(*keys).agg(F.sum("_rows").alias("rows"), F.sum("_miss").alias("total_missing"),
                                    F.sum("_dup").alias("duplicate_rows"))
+    if catalogue is not None:
+        res = catalogue.select(*keys).distinct().join(res, on=keys, how="left").fillna(
+            0, subset=["rows", "total_missing", "duplicate_rows"])
     cells = F.col("rows") * F.lit(ncols)
     return res.select(
         *keys,
