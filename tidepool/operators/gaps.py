@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tidepool import fixed
 from tidepool.operators.quantiles import exact_quantiles
+from tidepool.session import cut_lineage
 
 PER_BUCKET = 50_000
 
@@ -71,7 +72,8 @@ def gap_analysis(df: DataFrame, keys: list[str], ts: Column, per_bucket: int = P
     if not keys:
         return _global_gaps(df, ts, per_bucket)
     valid = df.select(*[F.col(k) for k in keys], ts.alias("_ts")).where(F.col("_ts").isNotNull())
-    gaps = time_gaps(df, keys, ts, per_bucket)
+    # Read by every pass of the median search: written once to the shared checkpoint folder.
+    gaps = cut_lineage(time_gaps(df, keys, ts, per_bucket))
     counts = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("valid"))
     med = exact_quantiles(gaps, keys, "gap_us", {"_med": 0.5}, weight="w")
     g = gaps.join(med, on=keys)
@@ -95,7 +97,7 @@ def _global_gaps(df: DataFrame, ts: Column, per_bucket: int) -> DataFrame:
     from tidepool.session import local_frame
 
     spark = df.sparkSession
-    gaps = time_gaps(df, [], ts, per_bucket)
+    gaps = cut_lineage(time_gaps(df, [], ts, per_bucket))
     n = df.select(ts.alias("_ts")).where(F.col("_ts").isNotNull()).count()
     schema = "valid long, median_gap_seconds double, max_gap_seconds double, large_gaps long"
     if n == 0:
