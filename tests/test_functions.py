@@ -107,3 +107,13 @@ def test_strptime_translation(spark):
     got = _col(spark, ["07/18/2021 06:30"]).select(
         iso_utc(parse_timestamp(F.col("x"), "%m/%d/%Y %H:%M")).alias("y")).first().y
     assert got == "2021-07-18T06:30:00Z"
+
+
+def test_config_fingerprint_matches_hashlib(spark):
+    import hashlib
+
+    from tidepool.sources.provenance import config_fingerprint
+
+    df = spark.createDataFrame([("ds", 2, ["a", "b"])], "name string, version int, steps array<string>")
+    r = df.select(F.to_json(F.struct("*")).alias("j"), config_fingerprint(F.struct("*")).alias("f")).first()
+    assert r.f == hashlib.sha256(r.j.encode()).hexdigest()[:16] and len(r.f) == 16
