@@ -175,3 +175,20 @@ def test_json_report_sink(spark):
     write_json_report(df, out)
     back = spark.read.json(out).first()
     assert back.file == "f" and back.checks[0].check == "c"
+
+
+def test_validate_files_short_circuits(spark):
+    presence = spark.createDataFrame([("a", True), ("b", True), ("c", False)], "file string, file_exists boolean")
+    enc = spark.createDataFrame([("a", True, "utf-8"), ("b", True, "utf-8")], "file string, passed boolean, detail string")
+    parse = spark.createDataFrame([("a", True, 5, 3), ("b", False, 0, 3)],
+                                  "file string, parseable boolean, rows long, columns int")
+    later = spark.createDataFrame([("a", "no_empty_rows", True, "No empty rows"), ("b", "no_empty_rows", True, "x")],
+                                  "file string, check string, passed boolean, detail string")
+    rows = C.validate_files(presence, enc, parse, [later]).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.file, []).append((r.seq, r.check, r.passed))
+    assert sorted(by["c"]) == [(0, "file_exists", False)]
+    assert sorted(by["b"]) == [(0, "file_exists", True), (1, "encoding", True), (2, "utf8_readable", False),
+                               (3, "parseable", False)]
+    assert (4, "no_empty_rows", True) in by["a"] and len(by["a"]) == 4

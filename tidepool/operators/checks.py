@@ -141,3 +141,46 @@ def report(checks: DataFrame, keys: list[str], file_col: str = "file") -> DataFr
         F.format_string("%d/%d checks passed across %d files", F.col("passed_checks"), F.col("checks"), F.col("files"))
         .alias("summary"),
     )
+
+
+# --- Fixed values: check order in a file's report ----------------------------
+CHECK_ORDER = ("file_exists", "encoding", "utf8_readable", "parseable", "no_empty_rows", "required_column_",
+               "range_", "no_duplicates")
+
+
+def _seq(check: Column) -> Column:
+    expr = None
+    for i, name in enumerate(CHECK_ORDER):
+        cond = check.startswith(name) if name.endswith("_") else (check == name)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr.otherwise(F.lit(len(CHECK_ORDER)))
+
+
+def validate_files(presence: DataFrame, encoding: DataFrame, parse: DataFrame, later: list[DataFrame],
+                   key: str = "file") -> DataFrame:
+    """Entry point C (§3.3) as one table of check rows, with the reference's short-circuits.
+
+    * ``presence``: ``key, file_exists`` for every expected file (J-1);
+    * ``encoding``: ``key, passed, detail`` (E1) -- only for files that exist;
+    * ``parse``: ``key, parseable, rows, columns`` (S2) -- an unreadable file
+      gets ``utf8_readable``/``parseable`` = false and no further checks;
+    * ``later``: check tables ``key, check, passed, detail`` (A2, J-2, J-3, A6),
+      kept only for readable files (left semi joins, no Python branching).
+    Returns ``key, seq, check, passed, detail`` (``seq`` orders a file's report).
+    """
+    exists = presence.select(key, F.lit("file_exists").alias("check"), F.col("file_exists").alias("passed"),
+                             F.when(F.col("file_exists"), F.lit("Found")).otherwise(F.lit("File not found")).alias("detail"))
+    present = presence.where(F.col("file_exists")).select(key)
+    enc = encoding.join(present, key, "left_semi").select(key, F.lit("encoding").alias("check"), "passed", "detail")
+    p = parse.join(present, key, "left_semi")
+    ok = F.col("parseable")
+    parsed = p.select(key, F.lit("parseable").alias("check"), ok.alias("passed"),
+                      F.when(ok, F.format_string("%d rows, %d columns", F.col("rows"), F.col("columns")))
+                      .otherwise(F.lit("Could not parse file")).alias("detail"))
+    unreadable = p.where(~ok).select(key, F.lit("utf8_readable").alias("check"), F.lit(False).alias("passed"),
+                                     F.lit("Could not parse file").alias("detail"))
+    readable = p.where(ok).select(key)
+    out = exists.unionByName(enc).unionByName(parsed).unionByName(unreadable)
+    for t in later:
+        out = out.unionByName(t.select(key, "check", "passed", "detail").join(readable, key, "left_semi"))
+    return out.select(key, _seq(F.col("check")).alias("seq"), "check", "passed", "detail")
