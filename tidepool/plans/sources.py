@@ -138,4 +138,8 @@ def validate_submission(spark, sf_dir):
     rng = C.value_ranges(P.to_long(df, ["doc_id"], ["file"]), rr, ["file"], cols)
     keys = D.matched_keys(cols, list(SUBMISSION_KEYS))
     dup = C.no_duplicates(D.duplicate_members(df, ["file"], keys), ["file"], keys)
-    return C.validate_files(presence, enc, parse, [empty, req, rng, dup])
+    from tidepool.session import pin
+
+    report = pin(C.validate_files(presence, enc, parse, [empty, req, rng, dup]))  # O(files x checks)
+    df.unpersist()
+    return report
