@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidepool import fixed
 from tidepool.functions.numeric import pct, round4, to_number
-from tidepool.functions.temporal import as_timestamp, epoch_seconds, has_time_keyword
+from tidepool.functions.temporal import as_timestamp, has_time_keyword
 from tidepool.functions.text import is_nonblank
 from tidepool.operators.quantiles import BROADCAST_STATE_ROWS, SEED_ACCURACY, exact_quantiles, seed_probabilities
 from tidepool.session import pin
