@@ -192,3 +192,17 @@ def test_validate_files_short_circuits(spark):
     assert sorted(by["b"]) == [(0, "file_exists", True), (1, "encoding", True), (2, "utf8_readable", False),
                                (3, "parseable", False)]
     assert (4, "no_empty_rows", True) in by["a"] and len(by["a"]) == 4
+
+
+def test_transform_options(spark):
+    from tidepool.operators.transform import TransformConfig
+
+    df = spark.createDataFrame([(" a ", "18/07/2021 06:00", 1700000000, None), ("b", "bad", 5, 2.5)],
+                               "`Site Name` string, `Sample Date` string, `epoch time` long, `Lat` double")
+    cfg = TransformConfig(timestamp_format="%d/%m/%Y %H:%M", na_representation="NA")
+    out, mapping = transform(df, cfg)
+    rows = out.collect()
+    assert list(mapping.values()) == ["site_name", "sample_date", "epoch_time", "lat"]
+    assert rows[0].sample_date == "2021-07-18T06:00:00Z" and rows[1].sample_date == "NA"
+    assert rows[0].epoch_time == "1700000000"  # numbers named like times stay numbers (rendered at the sink)
+    assert rows[0].lat == "NA" and rows[1].lat == "2.5" and rows[0].site_name == "a"
