@@ -65,3 +65,18 @@ def test_stream_equals_batch(spark):
     want = sorted(tuple(r) for r in transform(batch)[0].collect())
     assert got == want and len(got) == 6
     assert ("S0", 20.5, "2021-07-10T06:00:00Z") in got
+
+
+def test_stream_validation_report(spark):
+    from tidepool.streaming.cleaning import read_raw_stream, start_validation
+
+    landing, out = _dir(spark, "landing-v"), _dir(spark, "report")
+    os.makedirs(landing)
+    with open(f"{landing}/good.csv", "w") as f:
+        f.write("a,b\n1,2\n3,4\n")
+    with open(f"{landing}/ragged.csv", "w") as f:
+        f.write("a,b\n1,2,3\n4\n")
+    q = start_validation(read_raw_stream(spark, landing, ["a", "b"]), ["a", "b"], out, name=uuid.uuid4().hex)
+    q.awaitTermination(120)
+    got = {r.file: (r.rows, r.short_rows, r.long_rows, r.parseable) for r in spark.read.parquet(out).collect()}
+    assert got == {"good.csv": (2, 0, 0, True), "ragged.csv": (2, 1, 1, False)}

@@ -34,3 +34,43 @@ def start_cleaning(stream: DataFrame, out_path: str, name: str, cfg: TransformCo
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start(out_path)
+
+
+def read_raw_stream(spark: SparkSession, path: str, columns: list[str], delimiter: str = ",",
+                    max_files_per_trigger: int = 100) -> DataFrame:
+    """Streaming all-string CSV source that keeps malformed lines in ``_corrupt_record`` and the file name."""
+    from pyspark.sql import functions as F
+
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                          + [T.StructField("_corrupt_record", T.StringType())])
+    df = (
+        spark.readStream.schema(schema).option("header", True).option("sep", delimiter)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("maxFilesPerTrigger", max_files_per_trigger).csv(path)
+    )
+    return df.select(F.col("_metadata.file_name").alias("file"), *columns, "_corrupt_record")
+
+
+def start_validation(stream: DataFrame, columns: list[str], out_path: str, name: str,
+                     trigger_once: bool = True) -> StreamingQuery:
+    """Per micro-batch parse report (S2, V4, A2) of arriving files, appended idempotently.
+
+    Each batch writes its rows into the ``batch_id`` partition with dynamic
+    partition overwrite, so a batch replayed after a failure replaces its own
+    output instead of duplicating it.
+    """
+    from pyspark.sql import functions as F
+
+    from tidepool.sources.text_tables import parse_report
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rep = parse_report(batch.persist(), columns).withColumn("batch_id", F.lit(batch_id))
+        (rep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out_path))
+        batch.unpersist()
+
+    ckpt = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/stream-{name}"
+    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    if trigger_once:
+        w = w.trigger(availableNow=True)
+    return w.start()
