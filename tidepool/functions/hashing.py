@@ -1,4 +1,4 @@
-"""Digests, roles, MIME types and fixity lines."""
+"""Digests, roles, MIME types and fixity lines (H1, H3-H5, E1; H2 lives with the provenance log)."""
 
 from __future__ import annotations
 
@@ -20,11 +20,6 @@ def row_digest(*cols: Column) -> Column:
     return F.sha2(F.to_json(F.struct(*cols)), 256)
 
 
-def fingerprint(c: Column, length: int = 16) -> Column:
-    """H2: first ``length`` hex characters of the SHA-256 of the serialised value."""
-    return F.substring(F.sha2(F.to_json(c), 256), 1, length)
-
-
 def role_of(path: Column) -> Column:
     """H3: role of an archive path by its leading directory."""
     expr = None

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from tidepool.functions.headers import normalize_header
 from tidepool.functions.numeric import out_of_range, to_number
 
-CHECK_COLUMNS = ("dataset", "file", "check", "passed", "detail")
-
-
 def _fmt_bound(c: Column) -> Column:
     return c.cast("double").cast("string")
 
