@@ -10,6 +10,7 @@ import __spark_entry__ as E
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 QUERIES = E.queries()
+FLAGGED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 SQL = E.oracle_sql()
 
 
@@ -43,6 +44,8 @@ def test_entry_contract(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_against_oracle(spark, con, smoke_dir, name):
     df = QUERIES[name](spark, smoke_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [b for b in FLAGGED if b in plan], "cross join or Python node in plan"
     srows = [tuple(r) for r in df.collect()]
     if name not in SQL:
         assert len(srows) > 0
