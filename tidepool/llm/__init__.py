@@ -13,7 +13,10 @@ from collections.abc import Callable
 QUERIES: dict[str, tuple[Callable, str | None]] = {}
 
 MODULES = (
+    "decontaminate",
+    "toxicity",
     "simhash",
+    "pieces",
     "exact",
 )
 

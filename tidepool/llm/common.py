@@ -40,12 +40,37 @@ def text_hash(text_col: str) -> Column:
     return F.when(c.isNotNull(), F.xxhash64(c))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a session: they may have no copy of their own."""
+    import os
+    import tempfile
+    import zipfile
+
+    sc = spark.sparkContext
+    if _SHIPPED.get("to") is sc:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidepool-"), "tidepool_modules.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)  # Spark's own file server hands it out
+    _SHIPPED["to"] = sc
+
+
+_SHIPPED: dict = {}
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
     """``rows`` over each partition as Python tuples, in Arrow batches both ways (64 MB at most a batch in)."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    ship(df.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):

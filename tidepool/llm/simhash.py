@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import query
-from .common import keep_rows, map_rows, table, text_hash
+from .common import keep_rows, map_rows, ship, table, text_hash
 from .components import connected_components
 
 SHINGLE = 4
@@ -141,6 +141,7 @@ def _bucket_links(distance: int, short: int = 12):
 
 def near_links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(src, dst) links that connect all different fingerprints within ``distance`` bits (column fp)."""
+    ship(fps.sparkSession)
     dealt = variants(fps, distance).repartition("key").sortWithinPartitions("key", "fp")
     return dealt.mapInArrow(_bucket_links(distance), "src bigint, dst bigint").distinct()
 
