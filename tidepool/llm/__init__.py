@@ -13,9 +13,12 @@ from collections.abc import Callable
 QUERIES: dict[str, tuple[Callable, str | None]] = {}
 
 MODULES = (
+    "secrets",
+    "line_hash",
     "decontaminate",
     "toxicity",
     "simhash",
+    "fuzzy_lines",
     "pieces",
     "exact",
 )
