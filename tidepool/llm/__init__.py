@@ -13,9 +13,11 @@ from collections.abc import Callable
 QUERIES: dict[str, tuple[Callable, str | None]] = {}
 
 MODULES = (
+    "warc",
     "secrets",
     "line_hash",
     "decontaminate",
+    "chat",
     "toxicity",
     "simhash",
     "fuzzy_lines",
