@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool.functions.hashing import fixity_line, mime_of, role_of, sha256_hex
-from tidepool.functions.headers import file_slug, normalize_header, normalize_name
+from tidepool.functions.headers import column_names, file_slug, match_names, normalize_header
 from tidepool.functions.numeric import pct, to_number
 from tidepool.functions.temporal import iso_utc, parse_timestamp, strptime_to_java
-from tidepool.functions.text import clean_text, is_nonblank
+from tidepool.functions.text import clean_text, is_nonblank, present
 
 HEADERS = [
     ("Station Name", "station_name"),
@@ -29,10 +29,13 @@ def _col(spark, values, schema="x string"):
     return spark.createDataFrame([(v,) for v in values], schema)
 
 
-def test_normalize_header_column_and_driver(spark):
+def test_normalize_header_and_match(spark):
     df = _col(spark, [h for h, _ in HEADERS]).select(normalize_header(F.col("x")).alias("y"))
     assert [r.y for r in df.collect()] == [e for _, e in HEADERS]
-    assert [normalize_name(h) for h, _ in HEADERS] == [e for _, e in HEADERS]
+    names = column_names(spark, [h for h, _ in HEADERS]).orderBy("ordinal").collect()
+    assert [r.norm_name for r in names] == [e for _, e in HEADERS]
+    got = match_names(spark, ["Depth (m)", "depth m", "pH"], ["depth_m", "PH", "x"]).orderBy("target_no").collect()
+    assert [(r.target, r.raw_name) for r in got] == [("depth_m", "Depth (m)"), ("PH", "pH")]
 
 
 def test_file_slug_replaces_symbols(spark):
@@ -41,9 +44,9 @@ def test_file_slug_replaces_symbols(spark):
 
 
 def test_sha256_literals(spark):
-    df = spark.createDataFrame([(bytearray(b"Hello, Ocean Curator!\n"),), (bytearray(b""),)], "b binary")
+    df = spark.createDataFrame([(bytearray(b"Hello, tide pool!\n"),), (bytearray(b""),)], "b binary")
     got = [r.h for r in df.select(sha256_hex(F.col("b")).alias("h")).collect()]
-    assert got == ["baa211b3fbeffd1dfd44f2f2c9141f1190fb48b66541d9212a7cb270bcf56ebe",
+    assert got == ["65d782e30ad076e1a2569911e1d9690383612fcdb982c7951d5cb9f2eb99929a",
                    "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"]
 
 
@@ -117,3 +120,21 @@ def test_config_fingerprint_matches_hashlib(spark):
     df = spark.createDataFrame([("ds", 2, ["a", "b"])], "name string, version int, steps array<string>")
     r = df.select(F.to_json(F.struct("*")).alias("j"), config_fingerprint(F.struct("*")).alias("f")).first()
     assert r.f == hashlib.sha256(r.j.encode()).hexdigest()[:16] and len(r.f) == 16
+
+
+def test_mime_of_compressed_and_unknown(spark):
+    got = _col(spark, ["a.gz", "a.tar.gz", "a.csv.gz", "a.yaml", "a.parquet"]).select(mime_of(F.col("x")).alias("m")).collect()
+    other = "application/octet-stream"
+    assert [r.m for r in got] == [other, "application/x-tar", "text/csv", other, other]
+
+
+def test_timestamp_layouts_users_write(spark):
+    texts = ["7/8/2021", "7/18/2021 6:00", "20210718", "Jul 18 2021", "06:00", "\t2021-07-18 "]
+    got = _col(spark, texts).select(iso_utc(parse_timestamp(F.col("x"))).alias("t")).collect()
+    day = "2021-07-18T00:00:00Z"
+    assert [r.t for r in got] == ["2021-07-08T00:00:00Z", "2021-07-18T06:00:00Z", day, day, None, day]
+
+
+def test_tabs_are_white_space(spark):
+    df = spark.createDataFrame([("\t1.5\n",), ("\t",)], "x string")
+    assert [tuple(r) for r in df.select(to_number(F.col("x")), present(F.col("x"))).collect()] == [(1.5, "1.5"), (None, None)]

@@ -46,7 +46,7 @@ def test_required_and_ranges(spark):
 
 def test_duplicates_partial_keys_and_report(spark):
     df = _station(spark)
-    keys = D.matched_keys(df.columns, ["station", "Cast", "depth_m"])
+    keys = D.matched_keys(spark, df.columns, ["station", "Cast", "depth_m"])
     assert keys == ["Station", "Depth (m)"]
     m = D.duplicate_members(df, ["file"], keys).first()
     assert (m.rows, m.duplicate_members) == (5, 0)
@@ -178,9 +178,9 @@ def test_json_report_sink(spark):
 
 
 def test_validate_files_short_circuits(spark):
-    presence = spark.createDataFrame([("a", True), ("b", True), ("c", False)], "file string, file_exists boolean")
-    enc = spark.createDataFrame([("a", True, "utf-8"), ("b", True, "utf-8")], "file string, passed boolean, detail string")
-    parse = spark.createDataFrame([("a", True, 5, 3), ("b", False, 0, 3)],
+    presence = spark.createDataFrame([("a", True), ("b", True), ("c", False), ("d", True)], "file string, file_exists boolean")
+    enc = spark.createDataFrame([("a", True, "utf-8"), ("b", True, "utf-8"), ("d", False, "not utf-8")], "file string, passed boolean, detail string")
+    parse = spark.createDataFrame([("a", True, 5, 3), ("b", False, 0, 3), ("d", True, 1, 3)],
                                   "file string, parseable boolean, rows long, columns int")
     later = spark.createDataFrame([("a", "no_empty_rows", True, "No empty rows"), ("b", "no_empty_rows", True, "x")],
                                   "file string, check string, passed boolean, detail string")
@@ -189,8 +189,8 @@ def test_validate_files_short_circuits(spark):
     for r in rows:
         by.setdefault(r.file, []).append((r.seq, r.check, r.passed))
     assert sorted(by["c"]) == [(0, "file_exists", False)]
-    assert sorted(by["b"]) == [(0, "file_exists", True), (1, "encoding", True), (2, "utf8_readable", False),
-                               (3, "parseable", False)]
+    assert sorted(by["b"]) == [(0, "file_exists", True), (1, "encoding", True), (3, "parseable", False)]
+    assert sorted(by["d"]) == [(0, "file_exists", True), (1, "encoding", False), (2, "utf8_readable", False)]
     assert (4, "no_empty_rows", True) in by["a"] and len(by["a"]) == 4
 
 

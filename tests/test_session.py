@@ -1,8 +1,8 @@
-"""Session helpers: shared checkpoint folder, pinned results, input spreading."""
+"""Session helpers: shared checkpoint folder, stored tables."""
 
 from pyspark.sql import functions as F
 
-from tidepool.session import checkpoint_dir, cut_lineage, pin, spread
+from tidepool.session import checkpoint_dir, cut_lineage, stored
 
 
 def test_checkpoint_dir_comes_from_session_conf(spark):
@@ -18,13 +18,8 @@ def test_cut_lineage_is_reliable_checkpoint(spark):
     assert cut.agg(F.sum("x")).first()[0] == 90
 
 
-def test_pin_small_is_local_and_large_is_checkpointed(spark):
-    small = pin(spark.range(5))
-    assert "LocalTableScan" in small._jdf.queryExecution().executedPlan().toString()
-    big = pin(spark.range(50), local_rows=10)
-    assert big.count() == 50 and "LocalTableScan" not in big._jdf.queryExecution().executedPlan().toString()
-
-
-def test_spread_leaves_tiny_inputs(spark, smoke_dir):
-    nation = spark.read.parquet(f"{smoke_dir}/nation.parquet")
-    assert spread(nation) is nation
+def test_stored_table_is_read_back_with_its_schema(spark):
+    df = spark.range(5).selectExpr("id", "array(id) AS a", "CAST(NULL AS STRING) AS s")
+    back = stored(df)
+    assert back.schema == df.schema and sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert stored(df.limit(0)).count() == 0

@@ -83,14 +83,13 @@ MIME_TYPES = (
     ("nc", "application/x-netcdf"),
     ("xlsx", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"),
     ("xls", "application/vnd.ms-excel"),
-    ("yaml", "application/yaml"),
-    ("yml", "application/yaml"),
     ("pdf", "application/pdf"),
     ("zip", "application/zip"),
-    ("gz", "application/gzip"),
     ("tar", "application/x-tar"),
-    ("parquet", "application/vnd.apache.parquet"),
+    ("tgz", "application/x-tar"),
 )
+# Suffixes of compression: the type is that of what is compressed.
+COMPRESSIONS = ("gz", "bz2", "xz", "br", "Z")
 DEFAULT_DATA_MIME = "application/octet-stream"
 DEFAULT_LOG_MIME = "text/plain"
 

@@ -15,11 +15,6 @@ def sha256_hex(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
-def row_digest(*cols: Column) -> Column:
-    """H1 at row level: digest of the row rendered as JSON."""
-    return F.sha2(F.to_json(F.struct(*cols)), 256)
-
-
 def role_of(path: Column) -> Column:
     """H3: role of an archive path by its leading directory."""
     expr = None
@@ -36,7 +31,8 @@ def extension_of(path: Column) -> Column:
 def mime_of(path: Column, default: str = fixed.DEFAULT_DATA_MIME) -> Column:
     """H4: MIME type by extension, ``default`` when unknown."""
     lookup = F.create_map(*[F.lit(x) for x in itertools.chain.from_iterable(fixed.MIME_TYPES)])
-    return F.coalesce(F.element_at(lookup, extension_of(path)), F.lit(default))
+    inner = F.regexp_replace(path, rf"\.({'|'.join(fixed.COMPRESSIONS)})$", "")
+    return F.coalesce(F.element_at(lookup, extension_of(inner)), F.lit(default))
 
 
 def fixity_line(path: Column, digest: Column) -> Column:

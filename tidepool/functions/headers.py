@@ -1,15 +1,12 @@
 """Header and name normalisation (F1, F3) and column-role lookup.
 
-Column functions work on names stored as data (a ``columns`` table of many
-datasets); the ``*_name`` twins apply the same rule to a single DataFrame's
-schema on the driver, where column names live.
+Names are data: a ``columns`` table of many datasets, or a small table of one
+schema's columns; the same column expressions serve both.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,47 +32,24 @@ def file_slug(c: Column) -> Column:
     return F.btrim(h, F.lit("_"))
 
 
-def normalize_name(name: str) -> str:
-    """Driver-side twin of :func:`normalize_header` for schema names."""
-    h = name.strip().lower()
-    h = re.sub(r"[\s\-.]+", "_", h)
-    h = re.sub(_NOT_NAME, "", h)
-    h = re.sub(r"_+", "_", h)
-    return h.strip("_")
-
-
-def header_table(df: DataFrame, dataset_id: str | None = None) -> DataFrame:
-    """P1/P2 as data: one row per column ``(dataset_id, ordinal, raw_name, norm_name, type)``."""
-    spark = df.sparkSession
-    rows = [(dataset_id, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    schema = "dataset_id string, ordinal int, raw_name string, type string"
-    t = spark.createDataFrame(rows, schema)
-    return t.select("dataset_id", "ordinal", "raw_name", normalize_header(F.col("raw_name")).alias("norm_name"), "type")
-
+def column_names(spark: SparkSession, columns: list[str]) -> DataFrame:
+    """P1/P2 as data: ``(ordinal, raw_name, norm_name)`` of a schema's columns."""
+    t = spark.createDataFrame(list(enumerate(columns)), "ordinal int, raw_name string")
+    return t.withColumn("norm_name", normalize_header(F.col("raw_name")))
 
-def normalized_names(columns: list[str]) -> list[str]:
-    """Normalised names with collisions made unique by an ordinal suffix."""
-    out, seen = [], {}
-    for c in columns:
-        n = normalize_name(c) or "column"
-        if n in seen:
-            seen[n] += 1
-            n = f"{n}_{seen[n]}"
-        else:
-            seen[n] = 0
-        out.append(n)
-    return out
 
+def normalized_names(spark: SparkSession, columns: list[str]) -> list[str]:
+    """Normalised names of a schema, in order; a name met before gets the number of times it was met."""
+    names = [r["norm_name"] or "column" for r in column_names(spark, columns).orderBy("ordinal").collect()]
+    met = [names[:i].count(n) for i, n in enumerate(names)]
+    return [f"{n}_{k}" if k else n for n, k in zip(names, met)]
 
-def rename_normalized(df: DataFrame) -> DataFrame:
-    """Rename every column to its normalised header (no data movement)."""
-    return df.toDF(*normalized_names(df.columns))
 
-
-def match_column(columns: list[str], target: str) -> str | None:
-    """First column whose normalised header equals ``target.lower()``."""
-    t = target.lower()
-    return next((c for c in columns if normalize_name(c) == t), None)
+def match_names(spark: SparkSession, columns: list[str], wanted: list[str]) -> DataFrame:
+    """``(target_no, target, raw_name)``, the first column whose normalised header equals the lower-cased target."""
+    t = spark.createDataFrame(list(enumerate(wanted)), "target_no int, target string")
+    hits = column_names(spark, columns).join(t, F.col("norm_name") == F.lower("target"))
+    return hits.groupBy("target_no", "target").agg(F.min_by("raw_name", "ordinal").alias("raw_name"))
 
 
 def keyword_columns(columns: list[str], keywords, first: bool = False):
@@ -86,11 +60,6 @@ def keyword_columns(columns: list[str], keywords, first: bool = False):
     return (hits[0] if hits else None) if first else hits
 
 
-def string_columns(df: DataFrame) -> list[str]:
-    """P5: columns of text type."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     """Columns of a numeric type."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool import fixed
+from tidepool.functions.text import strip_ws
 
 # Text that a lenient numeric reader accepts: decimal or scientific notation
 # with an optional sign, or infinity. Everything else (``nan``, ``1.0d``,
@@ -21,14 +22,10 @@ def to_number(c: Column, dtype: T.DataType | None = None) -> Column:
         return F.when(~F.isnan(d), d)
     if dtype is not None and isinstance(dtype, T.BooleanType):
         return F.lit(None).cast("double")
-    s = F.trim(c.cast("string"))
+    s = strip_ws(c.cast("string"))
     return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
 
 
-def is_numeric_text(c: Column) -> Column:
-    return F.trim(c.cast("string")).rlike(NUMBER_PATTERN)
-
-
 def round4(c: Column) -> Column:
     """Statistics are reported to 4 places (half-up)."""
     return F.round(c, 4)

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool import fixed
+from tidepool.functions.text import strip_ws
 
 # --- Fixed values: text layouts tried in order after ISO-8601 ----------------
 AUTO_FORMATS = (
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy",
     "dd-MMM-yyyy HH:mm:ss",
     "dd-MMM-yyyy HH:mm",
     "dd-MMM-yyyy",
@@ -21,6 +22,13 @@ AUTO_FORMATS = (
     "yyyy/MM/dd",
     "dd.MM.yyyy HH:mm",
     "dd.MM.yyyy",
+    "yyyyMMdd'T'HHmmss",
+    "yyyyMMdd",
+    "MMM d yyyy HH:mm:ss",
+    "MMM d yyyy HH:mm",
+    "MMM d yyyy",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
 )
 
 # --- Fixed values: C strptime directive -> Java DateTimeFormatter letters ----
@@ -71,11 +79,12 @@ def parse_timestamp(c: Column, fmt: str | None = None, formats=AUTO_FORMATS) ->
 
     Bad values become null; text with an offset is converted to UTC.
     """
-    s = F.trim(c.cast("string"))
+    s = strip_ws(c.cast("string"))
     if fmt and fmt != "auto":
         java = strptime_to_java(fmt) if "%" in fmt else fmt
         return _try_layout(s, java)
-    tries = [F.try_to_timestamp(s)] + [_try_layout(s, f) for f in formats]
+    iso = F.when(~s.rlike(r"^T?\d{1,2}(:|$)"), F.try_to_timestamp(s))  # a clock time alone is no date
+    tries = [iso] + [_try_layout(s, f) for f in formats]
     return F.coalesce(*tries)
 
 
@@ -95,10 +104,5 @@ def iso_date(ts: Column) -> Column:
     return F.date_format(ts, fixed.ISO_DATE)
 
 
-def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970 as a double (microsecond precision)."""
-    return F.unix_micros(ts.cast("timestamp")) / 1_000_000.0
-
-
 def has_time_keyword(name: str, keywords=fixed.TIME_KEYWORDS_PROFILE) -> bool:
     return any(k in name.lower() for k in keywords)

@@ -26,7 +26,7 @@ def is_nonblank(c: Column) -> Column:
 
 def present(c: Column) -> Column:
     """The value if it is non-blank text, else null."""
-    return F.nullif(F.trim(c), F.lit(""))
+    return F.nullif(strip_ws(c), F.lit(""))
 
 
 def fill_text(c: Column, na: str = "") -> Column:

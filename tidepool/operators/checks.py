@@ -26,12 +26,13 @@ def required_columns(catalogue: DataFrame, rules: DataFrame, keys: list[str]) ->
     """
     cat = catalogue.select(*keys, "ordinal", "raw_name", normalize_header(F.col("raw_name")).alias("_norm"))
     r = rules.select(F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"))
-    hits = cat.join(F.broadcast(r), on="_norm").groupBy(*keys, "_target").agg(
+    hits = cat.join(r, on="_norm").groupBy(*keys, "_target").agg(
         F.min_by("raw_name", "ordinal").alias("matched")
     )
-    targets = [row["column"] for row in rules.select("column").collect()]  # the rule list itself
+    # every file with every rule, through the one-row list of rules
+    listed = rules.agg(F.collect_list("column").alias("_targets"))
     files = catalogue.select(*keys).distinct()
-    pairs = files.select(*keys, F.explode(F.array(*[F.lit(t) for t in targets])).alias("_target"))
+    pairs = files.select(*keys, F.explode(listed.scalar()).alias("_target"))
     j = pairs.join(hits, on=[*keys, "_target"], how="left")
     found = F.col("matched").isNotNull()
     return j.select(
@@ -64,7 +65,7 @@ def value_ranges(long: DataFrame, rules: DataFrame, keys: list[str], columns: li
         F.min_by("variable", "ordinal").alias("variable")
     )
     x = to_number(F.col("value"))
-    j = long.join(F.broadcast(resolved), on="variable")
+    j = long.join(resolved, on="variable")
     agg = j.groupBy(*keys, "_target", "lo", "hi").agg(
         F.count(x).alias("numeric_values"),
         F.count_if(out_of_range(x, F.col("lo"), F.col("hi"))).alias("out_of_range"),
@@ -159,8 +160,9 @@ def validate_files(presence: DataFrame, encoding: DataFrame, parse: DataFrame, l
 
     * ``presence``: ``key, file_exists`` for every expected file (J-1);
     * ``encoding``: ``key, passed, detail`` (E1) -- only for files that exist;
-    * ``parse``: ``key, parseable, rows, columns`` (S2) -- an unreadable file
-      gets ``utf8_readable``/``parseable`` = false and no further checks;
+    * ``parse``: ``key, parseable, rows, columns`` (S2). A file whose bytes are
+      not UTF-8 gets ``utf8_readable`` = false and no further check; a file that does not
+      parse gets ``parseable`` = false and no further check;
     * ``later``: check tables ``key, check, passed, detail`` (A2, J-2, J-3, A6),
       kept only for readable files (left semi joins, no Python branching).
     Returns ``key, seq, check, passed, detail`` (``seq`` orders a file's report).
@@ -169,13 +171,14 @@ def validate_files(presence: DataFrame, encoding: DataFrame, parse: DataFrame, l
                              F.when(F.col("file_exists"), F.lit("Found")).otherwise(F.lit("File not found")).alias("detail"))
     present = presence.where(F.col("file_exists")).select(key)
     enc = encoding.join(present, key, "left_semi").select(key, F.lit("encoding").alias("check"), "passed", "detail")
-    p = parse.join(present, key, "left_semi")
+    broken = encoding.join(present, key, "left_semi").where(~F.col("passed")).select(key)
+    unreadable = broken.select(key, F.lit("utf8_readable").alias("check"), F.lit(False).alias("passed"),
+                               F.lit("Could not parse file").alias("detail"))
+    p = parse.join(present, key, "left_semi").join(broken, key, "left_anti")
     ok = F.col("parseable")
     parsed = p.select(key, F.lit("parseable").alias("check"), ok.alias("passed"),
                       F.when(ok, F.format_string("%d rows, %d columns", F.col("rows"), F.col("columns")))
                       .otherwise(F.lit("Could not parse file")).alias("detail"))
-    unreadable = p.where(~ok).select(key, F.lit("utf8_readable").alias("check"), F.lit(False).alias("passed"),
-                                     F.lit("Could not parse file").alias("detail"))
     readable = p.where(ok).select(key)
     out = exists.unionByName(enc).unionByName(parsed).unionByName(unreadable)
     for t in later:

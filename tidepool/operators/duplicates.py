@@ -7,10 +7,10 @@ counter per map task, not one task holding the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.headers import match_column
+from tidepool.functions.headers import match_names
 
 
 def duplicate_members(df: DataFrame, keys: list[str], subset: list[str]) -> DataFrame:
@@ -30,25 +30,17 @@ def duplicate_members(df: DataFrame, keys: list[str], subset: list[str]) -> Data
 def duplicate_extras(df: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier row on ``columns`` (default all), i.e. rows minus distinct rows.
 
-    A 64-bit row hash is grouped first (little shuffle); only rows whose hash
-    repeats are grouped exactly on their full values.
+    Rows are counted by their 256-bit digest: one scan, and no text moves.
     """
-    from tidepool.operators.profile import _exact_extras, row_hash
+    from tidepool.operators.profile import row_digest
 
     cols = columns or [c for c in df.columns if c not in keys]
-    by_hash = df.groupBy(*keys, row_hash(cols).alias("_h")).agg(F.count(F.lit(1)).alias("_k"))
-    zero = F.lit(0).cast("long")
-    parts = by_hash.select(*keys, F.col("_k").alias("_rows"), zero.alias("_dup")).unionByName(
-        _exact_extras(df, by_hash, keys, cols).select(*keys, zero.alias("_rows"), F.col("duplicate_rows").alias("_dup")))
-    res = parts.groupBy(*keys).agg(F.sum("_rows").alias("rows"), F.sum("_dup").alias("duplicate_rows"))
+    by_digest = df.groupBy(*keys, row_digest(cols).alias("_d")).agg(F.count(F.lit(1)).alias("_k"))
+    res = by_digest.groupBy(*keys).agg(F.sum("_k").alias("rows"), F.sum(F.col("_k") - 1).alias("duplicate_rows"))
     return res.select(*keys, F.col("rows").cast("long").alias("rows"), F.col("duplicate_rows").cast("long").alias("duplicate_rows"))
 
 
-def matched_keys(columns: list[str], wanted: list[str]) -> list[str]:
+def matched_keys(spark: SparkSession, columns: list[str], wanted: list[str]) -> list[str]:
     """J-4: the configured key names that exist (normalised-equality match), in order."""
-    out = []
-    for k in wanted:
-        m = match_column(columns, k)
-        if m and m not in out:
-            out.append(m)
-    return out
+    names = [r["raw_name"] for r in match_names(spark, columns, wanted).orderBy("target_no").collect()]  # at most the keys
+    return list(dict.fromkeys(names))

@@ -5,13 +5,11 @@ plan here is two-level:
 
 1. distinct times per group with their multiplicity (map-side combined);
    repeats contribute ``n - 1`` zero gaps;
-2. each group's time range is cut into about sqrt(distinct times) buckets
-   (and at most ``per_bucket`` distinct times per bucket on average), and
-   ``lag`` runs per ``(group, bucket)``; both window levels stay near
-   sqrt(n) rows even for a group holding a third of the data;
-3. a bucket-level table (one row per bucket) carries each bucket's previous
-   maximum with a second, small ``lag``; that gives the gaps across bucket
-   edges.
+2. the times are dealt out by range of ``(group, time)``, so that each stretch
+   holds about as many of them wherever they lie on the axis (a stray date far
+   from the others changes nothing), and ``lag`` runs within each stretch;
+3. a table with a row per group and stretch carries each stretch's previous
+   maximum with a second, small ``lag``; that gives the gaps across edges.
 
 The median gap is an exact weighted quantile (:mod:`quantiles`), the large-gap
 count compares each distinct gap with ``3 x median``.
@@ -21,68 +19,56 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool import fixed
 from tidepool.operators.quantiles import exact_quantiles
-from tidepool.session import cut_lineage
+from tidepool.session import stored
 
-PER_BUCKET = 50_000
 
-
-def time_gaps(df: DataFrame, keys: list[str], ts: Column, per_bucket: int = PER_BUCKET) -> DataFrame:
-    """All consecutive gaps in microseconds as ``keys + (gap_us, w)`` (``w`` = multiplicity)."""
-    gkeys = list(keys) or ["_g"]
+def dealt_times(df: DataFrame, keys: list[str], ts: Column) -> DataFrame:
+    """``keys + (_t, _n, _p)``: distinct times in microseconds, how often each occurs, and its stretch."""
     base = df.select(*[F.col(k) for k in keys], F.unix_micros(ts.cast("timestamp")).alias("_t"))
-    if not keys:
-        base = base.withColumn("_g", F.lit(0))
-    times = base.where(F.col("_t").isNotNull()).groupBy(*gkeys, "_t").agg(F.count(F.lit(1)).alias("_n"))
-    per_group = times.groupBy(*gkeys).agg(
-        F.count(F.lit(1)).alias("_d"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1")
-    )
-    nb = F.greatest(F.ceil(F.col("_d") / F.lit(per_bucket)), F.ceil(F.sqrt(F.col("_d"))), F.lit(1))
-    width = F.greatest(F.ceil((F.col("_t1") - F.col("_t0") + 1) / nb), F.lit(1)).cast("long")
-    bounds = per_group.select(*gkeys, "_t0", width.alias("_wd"))
-    if keys:
-        tb = times.join(bounds, on=gkeys)
-    else:  # whole column: start and width are two scalars
-        b = bounds.first()
-        if b is None:
-            tb = times.withColumn("_t0", F.lit(0).cast("long")).withColumn("_wd", F.lit(1).cast("long"))
-        else:
-            tb = times.withColumn("_t0", F.lit(b["_t0"]).cast("long")).withColumn("_wd", F.lit(b["_wd"]).cast("long"))
-    tb = tb.withColumn("_b", F.floor((F.col("_t") - F.col("_t0")) / F.col("_wd")).cast("long"))
-    inner = tb.withColumn("_gap", F.col("_t") - F.lag("_t").over(Window.partitionBy(*gkeys, "_b").orderBy("_t")))
-    within = inner.where(F.col("_gap").isNotNull()).select(*gkeys, "_gap", F.lit(1).cast("long").alias("_w"))
-    buckets = tb.groupBy(*gkeys, "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-    prev = F.lag("_last").over(Window.partitionBy(*gkeys).orderBy("_b"))
-    edges = buckets.select(*gkeys, (F.col("_first") - prev).alias("_gap")).where(F.col("_gap").isNotNull())
-    edges = edges.select(*gkeys, "_gap", F.lit(1).cast("long").alias("_w"))
-    repeats = times.where(F.col("_n") > 1).select(*gkeys, F.lit(0).cast("long").alias("_gap"), (F.col("_n") - 1).alias("_w"))
-    gaps = within.unionByName(edges).unionByName(repeats)
-    gaps = gaps.groupBy(*gkeys, "_gap").agg(F.sum("_w").alias("w")).withColumnRenamed("_gap", "gap_us")
-    return gaps.drop("_g") if not keys else gaps
+    times = base.where(F.col("_t").isNotNull()).groupBy(*keys, "_t").agg(F.count(F.lit(1)).alias("_n"))
+    return stored(times.repartitionByRange(*keys, "_t").withColumn("_p", F.spark_partition_id()))
 
 
-def gap_analysis(df: DataFrame, keys: list[str], ts: Column, per_bucket: int = PER_BUCKET) -> DataFrame:
+def time_gaps(times: DataFrame, keys: list[str]) -> DataFrame:
+    """All consecutive gaps in microseconds as ``keys + (gap_us, w)`` (``w`` = multiplicity) of dealt times."""
+    one = F.lit(1).cast("long").alias("_w")
+    gap = F.col("_t") - F.lag("_t").over(Window.partitionBy(*keys, "_p").orderBy("_t"))
+    within = times.select(*keys, gap.alias("gap_us"), one).where(F.col("gap_us").isNotNull())
+    stretches = times.groupBy(*keys, "_p").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    across = F.col("_first") - F.lag("_last").over(Window.partitionBy(*keys).orderBy("_p"))
+    edges = stretches.select(*keys, across.alias("gap_us"), one).where(F.col("gap_us").isNotNull())
+    repeats = times.where(F.col("_n") > 1).select(*keys, F.lit(0).cast("long").alias("gap_us"), (F.col("_n") - 1).alias("_w"))
+    return within.unionByName(edges).unionByName(repeats).groupBy(*keys, "gap_us").agg(F.sum("_w").alias("w"))
+
+
+def gap_analysis(df: DataFrame, keys: list[str], ts: Column) -> DataFrame:
     """Per group valid count, median gap, max gap and gaps > 3x median (seconds).
 
-    Groups with one valid time report zero gaps, as a sorted diff would.
+    Groups with one valid time report zero gaps, as a sorted diff would; no valid time gives no row.
     """
-    if not keys:
-        return _global_gaps(df, ts, per_bucket)
-    valid = df.select(*[F.col(k) for k in keys], ts.alias("_ts")).where(F.col("_ts").isNotNull())
-    # Read by every pass of the median search: written once to the shared checkpoint folder.
-    gaps = cut_lineage(time_gaps(df, keys, ts, per_bucket))
-    counts = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("valid"))
+    times = dealt_times(df, keys, ts)
+    gaps = stored(time_gaps(times, keys))  # read by every pass of the median search
     med = exact_quantiles(gaps, keys, "gap_us", {"_med": 0.5}, weight="w")
-    g = gaps.join(med, on=keys)
+    counts = times.groupBy(*keys).agg(F.sum("_n").alias("valid")).where(F.col("valid") > 0)
+    if keys:
+        med = stored(med).withColumnsRenamed({k: f"_m{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_m{k}")) for k in keys]
+        g, limit = gaps.join(med, same), F.col("_med")
+    else:
+        g, limit = gaps, med.scalar()
     summary = g.groupBy(*keys).agg(
-        F.max("_med").alias("_med"),
-        F.max("gap_us").alias("_max"),
-        F.sum(F.when(F.col("gap_us") > fixed.LARGE_GAP_FACTOR * F.col("_med"), F.col("w")).otherwise(0)).alias("_large"),
+        F.max(limit).alias("_med"), F.max("gap_us").alias("_max"),
+        F.sum(F.when(F.col("gap_us") > fixed.LARGE_GAP_FACTOR * limit, F.col("w")).otherwise(0)).alias("_large"),
     )
-    res = counts.join(summary, on=keys, how="left")
+    if keys:
+        summary = summary.withColumnsRenamed({k: f"_m{k}" for k in keys})
+        res = counts.join(summary, same, "left")
+    else:  # one row each
+        row = summary.select(F.struct("_med", "_max", "_large"))
+        res = counts.withColumn("_r", row.scalar()).select("valid", "_r.*")
     return res.select(
         *keys,
         F.col("valid").cast("long").alias("valid"),
@@ -90,25 +76,3 @@ def gap_analysis(df: DataFrame, keys: list[str], ts: Column, per_bucket: int = P
         F.coalesce(F.col("_max") / 1e6, F.lit(0.0)).alias("max_gap_seconds"),
         F.coalesce(F.col("_large"), F.lit(0)).cast("long").alias("large_gaps"),
     )
-
-
-def _global_gaps(df: DataFrame, ts: Column, per_bucket: int) -> DataFrame:
-    """Whole-column form: the median and the few totals are scalars (O(1) to the driver)."""
-    from tidepool.session import local_frame
-
-    spark = df.sparkSession
-    gaps = cut_lineage(time_gaps(df, [], ts, per_bucket))
-    n = df.select(ts.alias("_ts")).where(F.col("_ts").isNotNull()).count()
-    schema = "valid long, median_gap_seconds double, max_gap_seconds double, large_gaps long"
-    if n == 0:
-        return local_frame(spark, [], T.StructType.fromDDL(schema))
-    q = exact_quantiles(gaps, [], "gap_us", {"_med": 0.5}, weight="w").first()
-    med = q["_med"] if q is not None else None
-    if med is None:  # one valid time: no gap at all
-        row = (n, 0.0, 0.0, 0)
-    else:
-        a = gaps.agg(F.max("gap_us").alias("mx"), F.sum(F.when(F.col("gap_us") > fixed.LARGE_GAP_FACTOR * F.lit(med),
-                                                                 F.col("w")).otherwise(0)).alias("lg")).first()
-        row = (n, med / 1e6, a["mx"] / 1e6, int(a["lg"] or 0))
-    names = ("valid", "median_gap_seconds", "max_gap_seconds", "large_gaps")
-    return local_frame(spark, [T.Row(**dict(zip(names, row)))], T.StructType.fromDDL(schema))

@@ -15,8 +15,8 @@ from tidepool import fixed
 from tidepool.functions.numeric import pct, round4, to_number
 from tidepool.functions.temporal import as_timestamp, has_time_keyword
 from tidepool.functions.text import is_nonblank
-from tidepool.operators.quantiles import BROADCAST_STATE_ROWS, SEED_ACCURACY, exact_quantiles, seed_probabilities
-from tidepool.session import pin
+from tidepool.operators.quantiles import exact_quantiles
+from tidepool.session import stored
 
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
@@ -43,49 +43,27 @@ def to_long(df: DataFrame, columns: list[str], ids: list[str], kind: str = "numb
 
 
 # ---------------------------------------------------------------- numeric ----
-def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True, seed: bool = False) -> DataFrame:
+def numeric_profile(long: DataFrame, keys: list[str]) -> DataFrame:
     """A8 + P9: counts, moments, quartiles, IQR fences and outliers per group.
 
-    ``exact`` uses :func:`exact_quantiles`; ``exact=False`` uses the bounded-memory
-    ``percentile_approx`` sketch in the same pass as the moments. ``seed`` adds
-    that sketch to the exact search as a starting band (saves a pass on very
-    large inputs, costs more than it saves on small ones).
+    Three passes find the exact quartiles (:func:`exact_quantiles`); the last one counts everything
+    else next to each group's fences, whose table is broadcast only if the planner sees that it is small.
     """
     long = long.select(*keys, "value")
     v = F.col("value")
-    aggs = [
-        F.count(F.lit(1)).alias("total"),
-        F.count(v).alias("valid"),
-        F.avg(v).alias("_mean"),
-        F.stddev_samp(v).alias("_std"),
-        F.min(v).alias("_lo"),
-        F.max(v).alias("_hi"),
-    ]
-    if exact and seed:  # bounded-memory sketch seeds the exact search with narrow bands
-        aggs.append(F.percentile_approx(v, seed_probabilities(QUARTILES), SEED_ACCURACY).alias("_seed"))
-    elif not exact:
-        aggs.append(F.percentile_approx(v, list(QUARTILES.values()), SEED_ACCURACY).alias("_q"))
-    stats = pin(long.groupBy(*keys).agg(*aggs).withColumn("_n", F.col("valid")))
-    if exact:
-        q = exact_quantiles(long, keys, "value", QUARTILES, stats=stats.where(F.col("valid") > 0))
-        stats = stats.join(q, on=keys, how="left").drop("_seed", "_n")
-    else:
-        stats = stats.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(QUARTILES)]).drop("_q")
     iqr = F.col("p75") - F.col("p25")
-    stats = stats.withColumn("_lf", F.col("p25") - fixed.OUTLIER_IQR_FACTOR * iqr).withColumn(
-        "_uf", F.col("p75") + fixed.OUTLIER_IQR_FACTOR * iqr
-    )
-    fences = stats.where(F.col("valid") > 0).select(*keys, "_lf", "_uf")
-    small = stats.count() <= BROADCAST_STATE_ROWS  # one row per group: broadcast only below the limit
-    outl = (
-        long.join(F.broadcast(fences) if small else fences, on=keys)
-        .groupBy(*keys)
-        .agg(F.count_if((v < F.col("_lf")) | (v > F.col("_uf"))).alias("outliers"))
+    q = exact_quantiles(long, keys, "value", QUARTILES).withColumns({
+        "_lf": F.col("p25") - fixed.OUTLIER_IQR_FACTOR * iqr, "_uf": F.col("p75") + fixed.OUTLIER_IQR_FACTOR * iqr})
+    q = stored(q.withColumnsRenamed({k: f"_q{k}" for k in keys}))
+    rows = long.join(q, [F.col(k).eqNullSafe(F.col(f"_q{k}")) for k in keys], "left")
+    stats = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total"), F.count(v).alias("valid"), F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"),
+        F.min(v).alias("_lo"), F.max(v).alias("_hi"), *(F.max(c).alias(c) for c in QUARTILES),
+        F.count_if((v < F.col("_lf")) | (v > F.col("_uf"))).alias("outliers"),
     )
-    res = stats.join(outl, on=keys, how="left")
     missing = F.col("total") - F.col("valid")
     has = F.col("valid") > 0
-    res = res.select(
+    return stats.select(
         *keys,
         "total",
         "valid",
@@ -99,10 +77,9 @@ def numeric_profile(long: DataFrame, keys: list[str], exact: bool = True, seed:
         round4(F.col("p75")).alias("p75"),
         round4(F.col("_hi")).alias("max"),
         round4(iqr).alias("iqr"),
-        F.when(has, F.coalesce(F.col("outliers"), F.lit(0))).alias("outliers"),
-        F.when(has, pct(F.coalesce(F.col("outliers"), F.lit(0)), F.col("valid"))).alias("outlier_pct"),
+        F.when(has, F.col("outliers")).alias("outliers"),
+        F.when(has, pct(F.col("outliers"), F.col("valid"))).alias("outlier_pct"),
     )
-    return pin(res)
 
 
 # ------------------------------------------------------------ categorical ----
@@ -168,48 +145,6 @@ def temporal_profile(long: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-# ----------------------------------------------------------- classification --
-def classify_columns(df: DataFrame) -> dict[str, str]:
-    """T5 + N2: ``temporal``, ``numeric`` or ``categorical`` for every column.
-
-    One aggregate over the whole table (all columns at once) returns O(columns)
-    numbers to the driver. Order: temporal, numeric type, majority numeric,
-    else categorical; booleans are categorical.
-    """
-    aggs, plan = [F.count(F.lit(1)).alias("_rows")], {}
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.BooleanType):
-            plan[f.name] = "categorical"
-        elif isinstance(f.dataType, T.NumericType):
-            plan[f.name] = "numeric"
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            plan[f.name] = "temporal" if has_time_keyword(f.name) else "categorical"
-        else:
-            plan[f.name] = None
-            s = c.cast("string")
-            aggs += [F.count(c).alias(f"nn{i}"), F.count(to_number(s)).alias(f"num{i}")]
-            if has_time_keyword(f.name):
-                t = as_timestamp(s)
-                aggs += [F.count(t).alias(f"ts{i}"), F.min(F.year(t)).alias(f"y0{i}"), F.max(F.year(t)).alias(f"y1{i}")]
-    if all(v is not None for v in plan.values()):
-        return plan
-    r = df.agg(*aggs).first().asDict()
-    rows = r["_rows"]
-    for i, f in enumerate(df.schema.fields):
-        if plan[f.name] is not None:
-            continue
-        nn, num = r[f"nn{i}"], r[f"num{i}"]
-        if f"ts{i}" in r and nn and r[f"ts{i}"] / nn > 0.5 and r[f"y0{i}"] >= fixed.MIN_PLAUSIBLE_YEAR \
-                and r[f"y1{i}"] <= fixed.MAX_PLAUSIBLE_YEAR:
-            plan[f.name] = "temporal"
-        elif nn == num or num / max(rows, 1) > 0.5:
-            plan[f.name] = "numeric"
-        else:
-            plan[f.name] = "categorical"
-    return plan
-
-
 # ------------------------------------------------------------------- files ---
 def file_profile(df: DataFrame, keys: list[str], catalogue: DataFrame | None = None) -> DataFrame:
     """A1 + A3 + A7: rows, columns, cells, missing cells, completeness, duplicate rows.
@@ -217,23 +152,15 @@ def file_profile(df: DataFrame, keys: list[str], catalogue: DataFrame | None = N
     ``catalogue`` (the ``keys`` of every known file) keeps files with zero
     rows: they report 0 rows, completeness NULL (and grade D downstream).
 
-    Duplicates are exact but shuffle little: pass one groups by a 64-bit hash
-    of the whole row (8 bytes per row move, not the row); only rows whose hash
-    repeats go through the exact group-by on every column in pass two.
+    One scan: rows are counted by a 256-bit digest of themselves, so 32 bytes
+    of a row move, whatever its texts.
     """
     data_cols = [c for c in df.columns if c not in keys]
     ncols = len(data_cols)
     miss = sum((F.col(f"`{c}`").isNull().cast("long") for c in data_cols), F.lit(0).cast("long"))
-    by_hash = df.groupBy(*keys, row_hash(data_cols).alias("_h")).agg(
-        F.count(F.lit(1)).alias("_k"), F.sum(miss).alias("_mm")
-    )
-    # Totals and exact duplicates meet in one aggregate over a union (no join).
-    zero = F.lit(0).cast("long")
-    parts = by_hash.select(*keys, F.col("_k").alias("_rows"), F.col("_mm").alias("_miss"), zero.alias("_dup"))
-    parts = parts.unionByName(_exact_extras(df, by_hash, keys, data_cols).select(
-        *keys, zero.alias("_rows"), zero.alias("_miss"), F.col("duplicate_rows").alias("_dup")))
-    res = parts.groupBy(*keys).agg(F.sum("_rows").alias("rows"), F.sum("_miss").alias("total_missing"),
-                                   F.sum("_dup").alias("duplicate_rows"))
+    by_digest = df.groupBy(*keys, row_digest(data_cols).alias("_d")).agg(F.count(F.lit(1)).alias("_k"), F.sum(miss).alias("_mm"))
+    res = by_digest.groupBy(*keys).agg(F.sum("_k").alias("rows"), F.sum("_mm").alias("total_missing"),
+                                       F.sum(F.col("_k") - 1).alias("duplicate_rows"))
     if catalogue is not None:
         res = catalogue.select(*keys).distinct().join(res, on=keys, how="left").fillna(
             0, subset=["rows", "total_missing", "duplicate_rows"])
@@ -249,21 +176,10 @@ def file_profile(df: DataFrame, keys: list[str], catalogue: DataFrame | None = N
     )
 
 
-def row_hash(columns: list[str]) -> Column:
-    """64-bit hash of a row; nulls are tagged so (a, null) and (null, a) differ."""
-    parts = []
-    for c in columns:
-        parts += [F.col(f"`{c}`"), F.col(f"`{c}`").isNull()]
-    return F.xxhash64(*parts)
-
-
-def _exact_extras(df: DataFrame, by_hash: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Rows minus distinct rows, checked exactly among rows whose hash repeats."""
-    cand = by_hash.where(F.col("_k") > 1).select(*keys, "_h")
-    rows = df.select(*keys, *[F.col(f"`{c}`") for c in cols], row_hash(cols).alias("_h"))
-    hit = rows.join(cand, on=[*keys, "_h"], how="left_semi")
-    exact = hit.groupBy(*keys, *[f"`{c}`" for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    return exact.select(*keys, (F.col("_n") - 1).cast("long").alias("duplicate_rows"))
+def row_digest(columns: list[str]) -> Column:
+    """SHA-256 of a row in an encoding that keeps nulls and column borders apart."""
+    cols = [F.col(f"`{c}`") for c in columns]
+    return F.unhex(F.sha2(F.to_json(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(cols))), {"ignoreNullFields": "false"}), 256))
 
 
 def grade_files(files: DataFrame, outliers: DataFrame, keys: list[str]) -> DataFrame:

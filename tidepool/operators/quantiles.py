@@ -2,28 +2,20 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so one hot group (a third of the data) ends in one task.
-Here each wanted rank is found by narrowing a value range:
-
-1. one partial+final aggregate gives per group ``n, min, max``;
-2. each round splits every open range into ``buckets`` equal-width buckets and
-   counts rows per ``(group, rank, bucket)`` -- a map-side combined aggregate
-   whose shuffle is at most ``groups x ranks x buckets`` rows, whatever the
-   skew;
-3. a cumulative sum over at most ``buckets`` rows per rank picks the bucket
-   that holds the rank; its real ``min``/``max`` become the next range.
-
-A range whose ``min == max`` is solved. Each round shrinks a range by the
-bucket factor (or to fewer distinct values); once a range holds at most
-``FINISH_ROWS`` rows, one ``row_number`` over those candidates (a window of
-bounded size) gives the exact value, so any distribution ends in a few rounds. The small state table is re-pinned each round (local relation when
-small, reliable checkpoint when large) to cut lineage.
-
-Seeding: when the caller's ``stats`` carry a ``_seed`` array (bounded-memory
-``percentile_approx`` values just below and above each probability), the
-first range of each rank is that narrow band. The first round then counts
-every row, with sentinel buckets for values below and above the band, so the
-result stays exact even if a sketch bound were off: the rank simply falls in
-a sentinel bucket and narrowing continues from there.
+Here three passes find each wanted rank, whatever the distribution:
+
+1. rows are counted per ``(group, coarse bucket)``, buckets of a signed log
+   scale about 3 % wide (infinities have their own); a running sum over a
+   group's few thousand buckets tells which ones hold wanted ranks;
+2. rows of those buckets are counted per fine bucket, ``FINE`` equal parts
+   of the coarse bucket's real range;
+3. the few rows left are counted per value, and a running sum over them ends
+   at the rank.
+
+Every count combines before its shuffle, a hot group is spread over its
+buckets, and the tables between passes hold a row per group and rank. They
+are written to the shared checkpoint folder, so the planner knows their size
+and broadcasts them only where they are small. The last pass is lazy.
 """
 
 from __future__ import annotations
@@ -31,204 +23,85 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.session import pin
-
-BROADCAST_STATE_ROWS = 200_000
-LOCAL_STATE_ROWS = 20_000
-# A rank whose range holds at most this many rows is finished by an exact
-# row_number over just those rows (a window bounded by this size).
-FINISH_ROWS = 200_000
+from tidepool.session import stored
 
+FINE = 65_536
+COARSE_PER_E = 32  # coarse buckets for each factor of e in magnitude
+# ln of the smallest positive double is about -744.4: shifting by 746 keeps every magnitude positive.
+LOG_SHIFT = 746.0
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Pin a state table: one row per (group, rank), never data rows.
 
-    Local relation up to ``LOCAL_STATE_ROWS`` rows, above that a reliable
-    checkpoint in the shared checkpoint folder.
-    """
-    return pin(df, LOCAL_STATE_ROWS)
+def _coarse(v: Column) -> Column:
+    """Monotone in v: the number of its bucket on a signed log scale."""
+    scale = F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log(F.abs(v)) + LOG_SHIFT)) * COARSE_PER_E
+    inf = F.lit(float("inf"))
+    return F.when(v == inf, F.lit(1 << 40)).when(v == -inf, F.lit(-(1 << 40))).otherwise(F.floor(scale).cast("long"))
 
 
-SEED_ACCURACY = 10000
+def _fine(v: Column, lo: Column, hi: Column) -> Column:
+    """Monotone in v: the number of its part of [lo, hi] (halves stay finite near the double limits)."""
+    part = F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * FINE).cast("long")
+    return F.when(hi > lo, F.least(part, F.lit(FINE - 1))).otherwise(F.lit(0).cast("long"))
 
 
-def seed_probabilities(probs: dict[str, float], accuracy: int = SEED_ACCURACY) -> list[float]:
-    """Probabilities of the seed band: ``p -/+ 3/accuracy`` for each wanted ``p`` (clamped)."""
-    d = 3.0 / accuracy
-    out = []
-    for p in probs.values():
-        out += [max(0.0, p - d), min(1.0, p + d)]
-    return out
-
-
-def _targets(stats: DataFrame, gkeys: list[str], probs: dict[str, float]) -> DataFrame:
-    parts = []
-    n = F.col("_n")
-    seeded = "_seed" in stats.columns
-    for i, (name, p) in enumerate(probs.items()):
-        pos = F.lit(float(p)) * (n - 1).cast("double")
-        lo = F.floor(pos).cast("long")
-        hi = F.ceil(pos).cast("long")
-        frac = pos - F.floor(pos)
-        blo = F.col("_seed")[2 * i] if seeded else F.col("_lo")
-        bhi = F.col("_seed")[2 * i + 1] if seeded else F.col("_hi")
-        below = F.lit(None).cast("long") if seeded else F.lit(0).cast("long")
-        count = F.lit(None).cast("long") if seeded else n.cast("long")
-        parts.append(F.struct(F.lit(name).alias("name"), lo.alias("k"), hi.alias("k1"), frac.alias("frac"),
-                              blo.alias("_blo"), bhi.alias("_bhi"), below.alias("_bbelow"), count.alias("_bcnt")))
-    return stats.select(*gkeys, "_n", F.explode(F.array(*parts)).alias("_t")).select(*gkeys, "_t.*")
-
-
-LOG_SPAN = 20.0  # natural-log units: a range wider than e^20 in magnitude is bucketed logarithmically
-# ln of the smallest positive double is about -744.4: shifting by 746 keeps every magnitude positive.
-LOG_SHIFT = 746.0
-
+def _ranks(n: Column, probs: dict[str, float]) -> Column:
+    """The (0-based) ranks that the quantiles of n values interpolate between."""
+    at = [F.lit(float(p)) * (n - 1).cast("double") for p in probs.values()]
+    return F.array_distinct(F.array(*[f(x).cast("long") for x in at for f in (F.floor, F.ceil)]))
 
-def _slog(x: Column) -> Column:
-    """Monotone over all doubles: 0 at 0, sign(x) * (ln|x| + 746) elsewhere (|value| >= 1.5)."""
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.log(F.abs(x)) + LOG_SHIFT))
 
+def _holding(probs: dict[str, float], count: str) -> Column:
+    """The wanted ranks among ``count`` values that follow ``_start`` earlier ones."""
+    start = F.col("_start")
+    return F.filter(_ranks(F.col("_n"), probs), lambda k: (k >= start) & (k < start + F.col(count)))
 
-LITERAL_RANGES = 64
 
+def _on(rows: DataFrame, state: DataFrame, keys: list[str]) -> Column:
+    cond = rows["_b"] == state["_sb"]
+    for k in keys:
+        cond = cond & rows[k].eqNullSafe(state[f"_s{k}"])
+    return cond
 
-def _join_keys(rkeys: list[str]) -> list[str]:
-    """Range join keys; the synthetic whole-column key is constant and would fold the join away."""
-    return [c for c in rkeys if c != "_g"]
 
+def _as_state(df: DataFrame, keys: list[str]) -> DataFrame:
+    return stored(df.withColumnsRenamed({k: f"_s{k}" for k in [*keys, "_b"]}))
 
-def _attach(base: DataFrame, ranges: DataFrame, gkeys: list[str], keep_outside: bool = False) -> DataFrame:
-    """Rows of ``base`` next to the range(s) of their group that hold them.
 
-    Grouped: an equi-join on the group keys (broadcast below a row limit).
-    Whole column (``_g`` only, a few ranges): the ranges become a literal
-    array that each row filters and explodes -- no join at all.
-    ``keep_outside`` keeps every row for ranges not yet counted (seed bands).
-    """
-    v = F.col("_v")
-    n = ranges.count()
-    if gkeys == ["_g"] and n <= LITERAL_RANGES:
-        fields = [("_lo", "double"), ("_hi", "double"), ("_below", "long")]
-        arr = F.array(*[F.struct(*[F.lit(r[c]).cast(t).alias(c) for c, t in fields]) for r in ranges.collect()])
-        outside = (lambda x: x["_below"].isNull()) if keep_outside else (lambda x: F.lit(False))
-        hit = F.filter(arr, lambda x: outside(x) | ((v >= x["_lo"]) & (v <= x["_hi"])))
-        return base.select("*", F.explode(hit).alias("_r")).select(*base.columns, "_r._lo", "_r._hi", "_r._below")
-    side = F.broadcast(ranges) if n <= BROADCAST_STATE_ROWS else ranges
-    return base.join(side, on=gkeys)
-
-
-def _finish(base: DataFrame, small: DataFrame, gkeys: list[str]) -> DataFrame:
-    """Exact value of each rank whose range holds few rows.
-
-    One running sum of weights per distinct range, ordered by value, over the
-    candidate rows only (a window of at most ``FINISH_ROWS`` rows); ranks of
-    the range then pick the row that covers them.
-    """
-    rkeys = [*gkeys, "_lo", "_hi", "_below"]
-    ranges = small.select(*rkeys).distinct()
-    cand = _attach(base, ranges, gkeys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    w = Window.partitionBy(*rkeys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = cand.withColumn("_start", F.col("_below") + F.coalesce(F.sum("_w").over(w), F.lit(0)))
-    ranked = ranked.select(*[F.col(c).alias(f"_r{c}") for c in rkeys], "_v", "_w", "_start")
-    j = small.join(ranked, [small[c].eqNullSafe(ranked[f"_r{c}"]) for c in _join_keys(rkeys)])
-    hit = j.where((F.col("_start") <= F.col("k")) & (F.col("k") < F.col("_start") + F.col("_w")))
-    return hit.select(*gkeys, "k", F.col("_v").alias("_lo"), F.col("_v").alias("_hi"), F.col("k").alias("_below"),
-                      F.lit(1).cast("long").alias("_cnt"))
-
-
-def _narrow(base: DataFrame, large: DataFrame, gkeys: list[str], buckets: int) -> DataFrame:
-    """One histogram round for the ranks whose ranges are still large."""
-    # Ranks that share a range share one histogram (round one: one per group).
-    ranges = large.select(*gkeys, "_lo", "_hi", "_below").distinct()
-    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
-    unseen = F.col("_below").isNull()  # seed band: every row counts, outside rows in sentinels
-    cand = _attach(base, ranges, gkeys, keep_outside=True).where(unseen | ((v >= lo) & (v <= hi)))
-    # Ranges spanning many orders of magnitude are cut evenly in a signed log scale,
-    # others evenly in v (halves keep the width finite near the double limits).
-    # Both maps are monotone, so the ends of a range fall in different buckets
-    # and every round strictly narrows it.
-    lin = F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * buckets)
-    lg = F.floor((_slog(v) - _slog(lo)) / (_slog(hi) - _slog(lo)) * buckets)
-    wide = (_slog(hi) - _slog(lo)) > LOG_SPAN
-    inner = F.when(hi > lo, F.least(F.when(wide, lg).otherwise(lin).cast("long"), F.lit(buckets - 1)))
-    b = F.when(v < lo, F.lit(-1)).when(v > hi, F.lit(buckets)).otherwise(F.coalesce(inner, F.lit(0)))
-    rkeys = [*gkeys, "_lo", "_hi", "_below"]
-    hist = cand.groupBy(*rkeys, b.alias("_b")).agg(
-        F.sum("_w").alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
-    )
-    w = Window.partitionBy(*rkeys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("_start", F.coalesce(F.col("_below"), F.lit(0)) + F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    # Renamed keys: the histogram descends from the state, so a plain self-join would be ambiguous.
-    hist = hist.select(*[F.col(c).alias(f"_h{c}") for c in rkeys], "_c", "_bmin", "_bmax", "_start")
-    start = F.col("_start")
-    chosen = large.join(hist, [large[c].eqNullSafe(hist[f"_h{c}"]) for c in _join_keys(rkeys)])
-    return chosen.where((start <= F.col("k")) & (F.col("k") < start + F.col("_c"))).select(
-        *gkeys, "k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), start.alias("_below"),
-        F.col("_c").alias("_cnt"),
-    )
-
-
-def exact_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str | Column,
-    probs: dict[str, float],
-    weight: str | None = None,
-    stats: DataFrame | None = None,
-    buckets: int = 4096,
-    max_rounds: int = 80,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str | Column, probs: dict[str, float],
+                    weight: str | None = None) -> DataFrame:
     """Per group of ``keys``, the linearly interpolated quantile for each ``probs`` item.
 
     ``weight`` (a positive count column) makes each row count that many times.
-    ``stats`` may pass a precomputed ``keys + (_n, _lo, _hi)`` table to save a pass.
-    Returns ``keys + list(probs)`` with one row per group that has a valid value.
+    Null and NaN values do not count; infinities do. Returns ``keys +
+    list(probs)`` with one row per group that has a valid value.
     """
     vcol = F.col(value) if isinstance(value, str) else value
     wcol = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     base = df.select(*[F.col(k) for k in keys], vcol.cast("double").alias("_v"), wcol.alias("_w"))
-    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.col("_w") > 0))
-    gkeys = list(keys)
-    if not gkeys:
-        base = base.withColumn("_g", F.lit(0))
-        gkeys = ["_g"]
-        if stats is not None:
-            stats = stats.withColumn("_g", F.lit(0))
-    if stats is None:
-        stats = base.groupBy(*gkeys).agg(
-            F.sum("_w").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-        )
-    targets = _materialize(_targets(stats, gkeys, probs))
-    band = [F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), F.col("_bbelow").alias("_below"),
-            F.col("_bcnt").alias("_cnt")]
-    ranks = targets.select(*gkeys, "k", *band).unionByName(targets.select(*gkeys, F.col("k1").alias("k"), *band))
-    state = _materialize(ranks.dropDuplicates([*gkeys, "k"]))
-
-    for _ in range(max_rounds):
-        # Open: a range still holding several values, or a seed band not yet counted.
-        is_open = (F.col("_lo") < F.col("_hi")) | F.col("_below").isNull()
-        open_ = state.where(is_open)
-        small = open_.where(F.col("_below").isNotNull() & (F.col("_cnt") <= FINISH_ROWS))
-        large = open_.where(F.col("_below").isNull() | F.col("_cnt").isNull() | (F.col("_cnt") > FINISH_ROWS))
-        n_small, n_large = small.count(), large.count()
-        if n_small + n_large == 0:
-            break
-        done = [state.where(~is_open)]
-        if n_small:
-            done.append(_finish(base, small, gkeys))
-        if n_large:
-            done.append(_narrow(base, large, gkeys, buckets))
-        nxt = done[0]
-        for part in done[1:]:
-            nxt = nxt.unionByName(part)
-        state = _materialize(nxt)
-    else:
-        raise RuntimeError("exact_quantiles did not converge")
-
-    values = state.select(*gkeys, "k", F.col("_lo").alias("_val"))
-    v0 = values.withColumnRenamed("_val", "_v0")
-    v1 = values.withColumnRenamed("k", "k1").withColumnRenamed("_val", "_v1")
-    t = targets.join(v0, on=gkeys + ["k"]).join(v1, on=gkeys + ["k1"])
-    q = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("frac")
-    out = t.groupBy(*gkeys).agg(*[F.max(F.when(F.col("name") == nm, q)).alias(nm) for nm in probs])
-    return out.drop("_g") if not keys else out
+    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.col("_w") > 0)).withColumn("_b", _coarse(F.col("_v")))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+
+    coarse = base.groupBy(*keys, "_b").agg(F.sum("_w").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    start = F.coalesce(F.sum("_c").over(before(Window.partitionBy(*keys).orderBy("_b"))), F.lit(0))
+    coarse = coarse.withColumn("_start", start).withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+    one = _as_state(coarse.where(F.size(_holding(probs, "_c")) > 0).select(*keys, "_b", "_lo", "_hi", "_start", "_n"), keys)
+
+    own = [*keys, "_b"]
+    fine = base.join(one, _on(base, one, keys)).withColumn("_f", _fine(F.col("_v"), F.col("_lo"), F.col("_hi")))
+    fine = fine.groupBy(*own, "_lo", "_hi", "_n", F.col("_start").alias("_s0"), "_f").agg(F.sum("_w").alias("_c"))
+    start = F.col("_s0") + F.coalesce(F.sum("_c").over(before(Window.partitionBy(*own).orderBy("_f"))), F.lit(0))
+    fine = fine.withColumn("_start", start).where(F.size(_holding(probs, "_c")) > 0)
+    two = _as_state(fine.select(*own, "_lo", "_hi", F.col("_f").alias("_sf"), "_start", "_n"), keys)
+
+    last = base.join(two, _on(base, two, keys)).where(_fine(F.col("_v"), F.col("_lo"), F.col("_hi")) == F.col("_sf"))
+    last = last.groupBy(*own, "_sf", "_n", F.col("_start").alias("_s0"), "_v").agg(F.sum("_w").alias("_c"))
+    start = F.col("_s0") + F.coalesce(F.sum("_c").over(before(Window.partitionBy(*own, "_sf").orderBy("_v"))), F.lit(0))
+    hit = last.withColumn("_start", start).select(*keys, "_n", "_v", F.explode(_holding(probs, "_c")).alias("_k"))
+
+    out = []
+    for name, p in probs.items():
+        at = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
+        v0, v1 = (F.max(F.when(F.col("_k") == f(at).cast("long"), F.col("_v"))) for f in (F.floor, F.ceil))
+        frac = F.max(at - F.floor(at))
+        out.append(F.when(v0 == v1, v0).otherwise(v0 + (v1 - v0) * frac).alias(name))
+    return hit.groupBy(*keys).agg(*out)

@@ -36,7 +36,7 @@ def transform(df: DataFrame, cfg: TransformConfig = TransformConfig()) -> tuple[
     cols = {c: F.col(f"`{c}`") for c in df.columns}
     if cfg.strip_whitespace:
         cols = {c: clean_text(e) if isinstance(types[c], T.StringType) else e for c, e in cols.items()}
-    names = normalized_names(df.columns) if cfg.normalize_headers else list(df.columns)
+    names = normalized_names(df.sparkSession, df.columns) if cfg.normalize_headers else list(df.columns)
     mapping = dict(zip(df.columns, names))
     out = {mapping[c]: e for c, e in cols.items()}
     ntypes = {mapping[c]: types[c] for c in df.columns}

@@ -48,6 +48,26 @@ def ragged_rows(spark, sf_dir):
     return TT.parse_report(df, ["doc_id", "lang", "line"], keys=("source",))
 
 
+@query("csv_header_by_name", """
+WITH lines AS (SELECT source, doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents)
+SELECT source, count(*) AS rows, CAST(sum(doc_id) AS BIGINT) AS doc_ids, count(lang) AS langs,
+       CAST(sum(length(line)) AS BIGINT) AS characters, CAST(0 AS BIGINT) AS malformed
+FROM (SELECT source, doc_id, line, CASE WHEN doc_id % 3 <> 2 THEN lang END AS lang FROM lines) GROUP BY source
+""")
+def csv_header_by_name(spark, sf_dir):
+    """Files whose headers order the columns differently, or lack one, and whose quoted text holds commas."""
+    d = read_table(spark, sf_dir, "documents")
+    lines = d.select("source", "doc_id", "lang", F.explode(F.split(F.col("text"), "\n", -1)).alias("line"))
+    path = _scratch(spark, "by-name")
+    for k, order in enumerate((["doc_id", "lang", "line"], ["line", "doc_id", "lang"], ["line", "doc_id"])):
+        lines.where(F.col("doc_id") % 3 == k).select("source", *order).write.partitionBy("source").option("header", True).option(
+            "escape", '"').csv(f"{path}/{k}")
+    df = TT.read_text_table(spark, path, ["doc_id", "lang", "line"], na_tokens=None)
+    return df.groupBy(F.regexp_extract(F.col("file"), r"source=([^/]+)/", 1).alias("source")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("doc_id").cast("bigint")).alias("doc_ids"), F.count("lang").alias("langs"),
+        F.sum(F.length("line")).alias("characters"), F.count(TT.CORRUPT).alias("malformed"))
+
+
 @query("provenance_compact", """
 SELECT role AS action, '2024-01-01T00:00:00Z' AS timestamp,
        CASE WHEN length(d) > 100 THEN substr(d, 1, 100) || '...' ELSE d END AS detail
@@ -68,26 +88,36 @@ SUBMISSION_REQUIRED = ("Doc ID", "lang", "Text")
 SUBMISSION_RANGE = ("doc_id", 0.0, 500.0)
 SUBMISSION_KEYS = ("doc_id", "Line No")
 
-_SUB_SQL = """
-WITH lines AS (SELECT source AS file, doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-files AS (SELECT DISTINCT source AS file FROM documents),
+_SUB_SQL = r"""
+WITH files AS (SELECT DISTINCT source AS file, CAST(regexp_extract(source, '\d+') AS INT) % 5 AS v FROM documents),
+lines AS (SELECT source AS file, doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
+          UNION ALL SELECT source, NULL, NULL FROM documents WHERE CAST(regexp_extract(source, '\d+') AS INT) % 5 = 4),
 expected AS (SELECT file FROM files UNION ALL SELECT DISTINCT 'missing_' || lang FROM documents),
-per AS (SELECT file, count(*) AS rows, count(*) FILTER (WHERE doc_id > 500) AS oor FROM lines GROUP BY file),
+per AS (SELECT file, v, count(*) AS rows, count(*) FILTER (WHERE doc_id > 500) AS oor, count(*) FILTER (WHERE doc_id IS NULL) AS empties,
+               count(doc_id) AS ids, NOT (v = 1 AND bool_or(coalesce(regexp_matches(line, '[\x{80}-\x{FF}]'), false))) AS utf8,
+               NOT (v = 2 AND bool_or(contains(coalesce(line, ''), ','))) AS parses
+        FROM lines JOIN files USING (file) GROUP BY file, v),
+good AS (SELECT * FROM per WHERE utf8 AND parses),
 dk AS (SELECT file, doc_id, count(*) AS n FROM lines GROUP BY file, doc_id),
-dup AS (SELECT file, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS d FROM dk GROUP BY file),
+dup AS (SELECT file, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS d FROM dk WHERE file IN (SELECT file FROM good) GROUP BY file),
 checks AS (
   SELECT e.file, 0 AS seq, 'file_exists' AS "check", f.file IS NOT NULL AS passed,
          CASE WHEN f.file IS NOT NULL THEN 'Found' ELSE 'File not found' END AS detail
   FROM expected e LEFT JOIN files f ON e.file = f.file
-  UNION ALL SELECT file, 1, 'encoding', true, 'utf-8' FROM files
-  UNION ALL SELECT file, 3, 'parseable', true, printf('%d rows, %d columns', rows, 3) FROM per
-  UNION ALL SELECT file, 4, 'no_empty_rows', true, 'No empty rows' FROM per
-  UNION ALL SELECT file, 5, 'required_column_Doc ID', false, 'Column ''Doc ID'' MISSING' FROM files
-  UNION ALL SELECT file, 5, 'required_column_lang', true, 'Column ''lang'' found (raw: lang)' FROM files
-  UNION ALL SELECT file, 5, 'required_column_Text', false, 'Column ''Text'' MISSING' FROM files
+  UNION ALL SELECT file, 1, 'encoding', utf8, CASE WHEN utf8 THEN 'utf-8' ELSE 'not utf-8' END FROM per
+  UNION ALL SELECT file, 2, 'utf8_readable', false, 'Could not parse file' FROM per WHERE NOT utf8
+  UNION ALL SELECT file, 3, 'parseable', parses,
+         CASE WHEN parses THEN printf('%d rows, %d columns', rows, CASE WHEN v = 3 THEN 2 ELSE 3 END) ELSE 'Could not parse file' END
+  FROM per WHERE utf8
+  UNION ALL SELECT file, 4, 'no_empty_rows', empties = 0,
+         CASE WHEN empties > 0 THEN printf('%d completely empty rows found', empties) ELSE 'No empty rows' END FROM good
+  UNION ALL SELECT file, 5, 'required_column_Doc ID', false, 'Column ''Doc ID'' MISSING' FROM good
+  UNION ALL SELECT file, 5, 'required_column_lang', v <> 3,
+         CASE WHEN v = 3 THEN 'Column ''lang'' MISSING' ELSE 'Column ''lang'' found (raw: lang)' END FROM good
+  UNION ALL SELECT file, 5, 'required_column_Text', false, 'Column ''Text'' MISSING' FROM good
   UNION ALL SELECT file, 6, 'range_doc_id', oor = 0,
          CASE WHEN oor > 0 THEN printf('%d values outside [0.0, 500.0]', oor) ELSE 'All values in [0.0, 500.0]' END
-  FROM per
+  FROM good
   UNION ALL SELECT file, 7, 'no_duplicates', d = 0,
          CASE WHEN d > 0 THEN printf('%d duplicate rows on key [doc_id]', d) ELSE 'No duplicates' END FROM dup)
 SELECT file, seq, "check", passed, detail FROM checks
@@ -96,50 +126,42 @@ SELECT file, seq, "check", passed, detail FROM checks
 
 @query("validate_submission", _SUB_SQL)
 def validate_submission(spark, sf_dir):
-    """§3.3 end to end: every document source written as a CSV file, validated with short-circuits.
+    """§3.3 end to end: every document source written as CSV files, validated with short-circuits.
 
-    The files go to the shared checkpoint folder (one per source; each line of
-    each document is a quoted record ``doc_id,lang,line``); expected files
-    include one absent file per language, which gets no further checks.
+    The files go to the shared checkpoint folder, a record ``doc_id,lang,line`` for each line of each document. By
+    the source's number, one in five is plain, one is written in Latin-1, one without quotes (commas make
+    long rows), one without the column ``lang`` and in another order, and one with empty rows. Expected
+    files include one absent file per language, which gets no further checks. Columns come from the files' headers.
     """
-    from tidepool.functions.hashing import is_utf8
     from tidepool.operators import checks as C
     from tidepool.operators import duplicates as D
     from tidepool.operators import profile as P
 
-    d = read_table(spark, sf_dir, "documents")
-    lines = d.select("source", F.col("doc_id").cast("string").alias("doc_id"), "lang",
+    d = read_table(spark, sf_dir, "documents").withColumn("v", F.regexp_extract("source", r"\d+", 0).cast("int") % 5)
+    cols = ["doc_id", "lang", "line"]
+    lines = d.select("source", "v", F.col("doc_id").cast("string").alias("doc_id"), "lang",
                      F.explode(F.split(F.col("text"), "\n", -1)).alias("line"))
+    blank = d.where("v = 4").select("source", "v", *(F.lit(None).cast("string").alias(c) for c in cols))
     path = _scratch(spark, "submission")
-    lines.write.partitionBy("source").option("header", True).csv(path)
-    cols = ["doc_id", "lang", "line"]
-    df = TT.read_text_table(spark, path, cols, na_tokens=None)
-    df = df.withColumn("file", F.regexp_extract(F.col("file"), r"source=([^/]+)/", 1))
-    # Several checks read only some columns of the parsed text; Spark requires the parsed rows
-    # to be kept (memory and disk) before branches that reference just the corrupt-record column.
-    from pyspark import StorageLevel
-
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    parse = TT.parse_report(df, cols).select("file", "parseable", "rows", F.lit(len(cols)).alias("columns"))
-    files = parse.select("file")  # the report references data columns, as a raw-text scan requires
+    for v, extra in enumerate(({}, {"encoding": "ISO-8859-1"}, {"quote": "\u0000"}, {}, {})):
+        part = lines.unionByName(blank).where(F.col("v") == v).select("source", *(["line", "doc_id"] if v == 3 else cols))
+        part.write.partitionBy("source").options(header=True, escape='"', **extra).csv(f"{path}/{v}")
+    name = F.regexp_extract(F.col("file"), r"source=([^/]+)/", 1)
+    df = TT.read_text_table(spark, path, cols, na_tokens=None).withColumn("file", name)
+    # a source may lie in several files, all with one header
+    catalogue = TT.column_catalogue(TT.header_lines(spark, path)).withColumn("file", name).distinct()
+    width = catalogue.groupBy("file").agg(F.count("*").alias("columns"))
+    parse = TT.parse_report(df, cols).select("file", "parseable", "rows").join(width, "file")
+    files = catalogue.select("file").distinct()
     expected = files.unionByName(d.select(F.concat(F.lit("missing_"), F.col("lang")).alias("file")).distinct())
     presence = expected.join(files.withColumn("_p", F.lit(True)), "file", "left").select(
         "file", F.coalesce(F.col("_p"), F.lit(False)).alias("file_exists"))
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(
-        F.col("path").endswith(".csv"))
-    enc = raw.select(F.regexp_extract(F.col("path"), r"source=([^/]+)/", 1).alias("file"), is_utf8(F.col("content")).alias("_ok"))
-    enc = enc.groupBy("file").agg(F.bool_and("_ok").alias("passed")).select(
-        "file", "passed", F.when(F.col("passed"), F.lit("utf-8")).otherwise(F.lit("not utf-8")).alias("detail"))
+    enc = TT.utf8_lines(spark, path).groupBy(name.alias("file")).agg(F.bool_and("passed").alias("passed"))
+    enc = enc.withColumn("detail", F.when(F.col("passed"), F.lit("utf-8")).otherwise(F.lit("not utf-8")))
     empty = C.empty_rows(df, ["file"], cols)
-    catalogue = files.select("file", F.explode(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("raw_name"))
-                                                         for i, c in enumerate(cols)])).alias("c")).select("file", "c.*")
     req = C.required_columns(catalogue, spark.createDataFrame([(c,) for c in SUBMISSION_REQUIRED], "column string"), ["file"])
     rr = spark.createDataFrame([SUBMISSION_RANGE], "column string, lo double, hi double")
     rng = C.value_ranges(P.to_long(df, ["doc_id"], ["file"]), rr, ["file"], cols)
-    keys = D.matched_keys(cols, list(SUBMISSION_KEYS))
+    keys = D.matched_keys(spark, cols, list(SUBMISSION_KEYS))
     dup = C.no_duplicates(D.duplicate_members(df, ["file"], keys), ["file"], keys)
-    from tidepool.session import pin
-
-    report = pin(C.validate_files(presence, enc, parse, [empty, req, rng, dup]))  # O(files x checks)
-    df.unpersist()
-    return report
+    return C.validate_files(presence, enc, parse, [empty, req, rng, dup])

@@ -131,7 +131,7 @@ FROM k
 def duplicate_partial_key(spark, sf_dir):
     """J-4 + A6: configured keys USER_ID / event_type / session_id; only the found ones are used."""
     ev = read_table(spark, sf_dir, "events").withColumn("file", F.lit("events"))
-    keys = D.matched_keys([c for c in ev.columns if c != "file"], list(EVENT_KEYS))
+    keys = D.matched_keys(spark, [c for c in ev.columns if c != "file"], list(EVENT_KEYS))
     return C.no_duplicates(D.duplicate_members(ev, ["file"], keys), ["file"], keys)
 
 

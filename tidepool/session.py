@@ -1,14 +1,16 @@
 """Session helpers.
 
-Everything here reads settings from the active session first and only fills in
-values that are unset, so a cluster's own configuration (shuffle partitions,
-checkpoint directory, AQE) always wins over the defaults used in tests.
+Settings come from the active session; only what is unset is filled in, so a
+cluster's own configuration (shuffle partitions, checkpoint directory, AQE)
+wins over the defaults used in tests. The time zone is the exception: stamps
+are rendered in UTC, so it is always set.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,68 +82,16 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; spread it when the scan yields fewer tasks than cores.
-
-    A table stored as one file with one row group is scanned by a single task,
-    and every row-level expression after it would run on one core. Such an
-    input is round-robin spread once (``tidepool.spread`` = false turns this
-    off). Large inputs arrive in many splits and are never touched.
-    """
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    key = (path, os.path.getmtime(path) if os.path.exists(path) else None)
-    if key not in _SPREAD_DECISIONS:
-        _SPREAD_DECISIONS[key] = spread(df) is not df
-    return spread(df, force=_SPREAD_DECISIONS[key])
-
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
-
-
-_SPREAD_DECISIONS: dict = {}
-
-
-def spread(df: DataFrame, force: bool | None = None) -> DataFrame:
-    """Round-robin an input that has fewer splits than cores (and is not tiny).
-
-    ``force`` reuses an earlier decision for the same input (driver-side memo).
-    """
-    spark = df.sparkSession
-    if spark.conf.get("tidepool.spread", "true") != "true" or force is False:
-        return df
-    par = spark.sparkContext.defaultParallelism
-    if force or (df.rdd.getNumPartitions() < par and estimated_bytes(df) >= SPREAD_MIN_BYTES):
-        return df.repartition(par)
-    return df
+    """One driver table, as it lies in its folder."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
-def pin(df: DataFrame, local_rows: int = 20_000) -> DataFrame:
-    """Materialise a small result: local relation up to ``local_rows`` rows, else a reliable checkpoint.
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table into the shared checkpoint folder and read it back.
 
-    The local form is built from an Arrow table, so later plans read it as a
-    JVM ``LocalTableScan`` (no Python worker per use) and broadcast it freely.
+    Cuts lineage like a checkpoint, and the planner knows the size of what it reads, so that it broadcasts the
+    table only where it is small.
     """
-    rows = df.limit(local_rows + 1).collect()
-    if len(rows) > local_rows:
-        return cut_lineage(df)
-    return local_frame(df.sparkSession, rows, df.schema)
-
-
-def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
-    """A JVM-side local relation from a few driver rows (O(groups), never data rows)."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    try:
-        table = pa.Table.from_pylist([r.asDict(recursive=True) for r in rows], schema=to_arrow_schema(schema))
-        return spark.createDataFrame(table)
-    except Exception:  # noqa: BLE001 - a type Arrow cannot carry: plain rows
-        return spark.createDataFrame(rows, schema)
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

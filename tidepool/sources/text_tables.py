@@ -1,17 +1,23 @@
 """Delimited text tables: scan, parse report and sink.
 
-Text is read with an explicit all-string schema (no inference pass), a
-corrupt-record column marks rows whose field count differs from the header,
-and the default CSV missing-value tokens become null with one ``isin``.
+Every file's own header line says which column stands where, so files of one
+folder may order their columns differently or lack some. Text is read
+with an all-string schema (no inference pass) one field wider than the
+longest header, which makes the reader hand over the raw text of all shorter
+records; their fields are counted outside quotes. The default CSV
+missing-value tokens become null with one ``isin``.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool import fixed
+from tidepool.session import stored
 
 CORRUPT = "_corrupt_record"
 
@@ -21,14 +27,55 @@ def na_to_null(c: Column, tokens=fixed.NA_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-def read_text_table(spark: SparkSession, path: str, columns: list[str], delimiter: str = ",",
-                    header: bool = True, quote: str | None = '"', na_tokens=fixed.NA_TOKENS) -> DataFrame:
-    """S1 + S2: all-string scan with ``file`` (from ``_metadata``) and the raw text of malformed rows.
-
-    PERMISSIVE mode keeps every row; short rows are padded with nulls and long
-    rows cut, and both carry their raw line in ``_corrupt_record``.
+def field_count(raw: Column, delimiter: str = ",", quote: str | None = '"') -> Column:
+    """How many fields a record has; delimiters within a quoted field do not count."""
+    sep = re.escape(delimiter)
+    if quote:
+        q = re.escape(quote)
+        raw = F.regexp_replace(raw, f"(^|{sep}){q}[^{q}]*+(?:{q}{q}[^{q}]*+)*{q}(?={sep}|$)", "$1")
+    return F.size(F.split(raw, sep, -1))
+
+
+def header_lines(spark: SparkSession, path: str, delimiter: str = ",", quote: str | None = '"') -> DataFrame:
+    """``(file, names)``, the column names in each file's first line."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"))
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    sep, line = re.escape(delimiter), F.regexp_replace("line", "^\ufeff|\r$", "")
+    if not quote:
+        return first.select("file", F.split(line, sep, -1).alias("names"))
+    q = re.escape(quote)
+    parts = F.split(line, f"{sep}(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*$)", -1)
+    bare = F.transform(parts, lambda x: F.replace(F.regexp_replace(x, f"^{q}|{q}$", ""), F.lit(quote * 2), F.lit(quote)))
+    return first.select("file", bare.alias("names"))
+
+
+def column_catalogue(headers: DataFrame) -> DataFrame:
+    """``(file, ordinal, raw_name)`` of each file's columns."""
+    return headers.select("file", F.posexplode("names").alias("ordinal", "raw_name"))
+
+
+def read_text_table(spark: SparkSession, path: str, columns: list[str] | None = None, delimiter: str = ",",
+                    header: bool = True, quote: str | None = '"', na_tokens=fixed.NA_TOKENS,
+                    multi_line: bool = False) -> DataFrame:
+    """S1 + S2: all-string scan with ``file``, the named columns, and each record's ``_fields`` of ``_expected``.
+
+    With a header, values are matched to ``columns`` (default: every name in any file, in order of name)
+    by the header of their own file; a column that a file lacks is null there. Without, ``columns`` are
+    the fields in order. No row is lost: short records are padded with nulls, fields beyond the
+    header are cut, and both carry their raw text in ``_corrupt_record``. ``multi_line`` lets a quoted field hold line
+    breaks, at the price that a file is read by one task.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] + [T.StructField(CORRUPT, T.StringType())])
+    if header:
+        heads = stored(header_lines(spark, path, delimiter, quote))
+        width = heads.agg(F.max(F.size("names"))).first()[0] or 1
+        if columns is None:  # a schema must be known before rows are read
+            columns = [r["c"] for r in heads.select(F.explode("names").alias("c")).distinct().orderBy("c").collect()]
+    else:
+        width = len(columns)
+    slots = [f"_p{i}" for i in range(width + 1)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*slots, CORRUPT]])
     r = (
         spark.read.schema(schema)
         .option("header", header)
@@ -36,28 +83,32 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str], delimite
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("sep", delimiter)
         .option("encoding", "UTF-8")
+        .option("multiLine", multi_line)
+        .option("recursiveFileLookup", "true")
+        .option("columnPruning", "false")  # a pruned reader does not see that a record is short
     )
     if quote is None:
         r = r.option("quote", "\u0000")
-    df = r.csv(path)
-    cols = [na_to_null(F.col(f"`{c}`"), na_tokens).alias(c) for c in columns] if na_tokens else [F.col(f"`{c}`") for c in columns]
-    return df.select(F.col("_metadata.file_path").alias("file"), *cols, F.col(CORRUPT))
-
-
-def parse_report(df: DataFrame, columns: list[str], delimiter: str = ",", keys=("file",)) -> DataFrame:
-    """S2 + V4 + A2: rows, short rows (padded), long rows (rejected by a strict reader), empty rows, per file.
-
-    The field count of a malformed row is taken from its raw text.
-    """
-    n_fields = len(columns)
-    empty = F.coalesce(*[F.col(f"`{c}`") for c in columns]).isNull()
     raw = F.col(CORRUPT)
-    fields = F.size(F.split(raw, "\\" + delimiter if delimiter in ".|^$" else delimiter, -1))
-    bad = raw.isNotNull()
+    df = r.csv(path).select(F.col("_metadata.file_path").alias("file"), F.array(*slots).alias("_v"), raw,
+                            F.coalesce(field_count(raw, delimiter, quote), F.lit(width + 1)).alias("_fields"))
+    if header:
+        df = df.join(heads.withColumnRenamed("file", "_head_of"), F.col("file") == F.col("_head_of"), "left")
+        expected, place = F.size("names"), lambda i, c: F.array_position("names", c) - 1
+    else:
+        expected, place = F.lit(width), lambda i, c: F.lit(i)
+    value = lambda i, c: F.when(place(i, c) >= 0, F.get("_v", place(i, c).cast("int")))
+    cols = [(na_to_null(value(i, c), na_tokens) if na_tokens else value(i, c)).alias(c) for i, c in enumerate(columns)]
+    return df.select("file", *cols, "_fields", expected.alias("_expected"), F.when(F.col("_fields") != expected, raw).alias(CORRUPT))
+
+
+def parse_report(df: DataFrame, columns: list[str], keys=("file",)) -> DataFrame:
+    """S2 + V4 + A2: rows, short rows (padded), long rows (rejected by a strict reader), empty rows, per file."""
+    empty = F.coalesce(*[F.col(f"`{c}`") for c in columns]).isNull()
     agg = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(bad & (fields < n_fields)).alias("short_rows"),
-        F.count_if(bad & (fields > n_fields)).alias("long_rows"),
+        F.count_if(F.col("_fields") < F.col("_expected")).alias("short_rows"),
+        F.count_if(F.col("_fields") > F.col("_expected")).alias("long_rows"),
         F.count_if(empty).alias("empty_rows"),
     )
     return agg.select(*keys, "rows", "short_rows", "long_rows", "empty_rows",
@@ -65,6 +116,12 @@ def parse_report(df: DataFrame, columns: list[str], delimiter: str = ",", keys=(
                       .alias("equal_field_counts"))
 
 
+def utf8_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, passed)``, whether every line of a file is UTF-8 (a broken sequence cannot span a line break)."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.bool_and(F.is_valid_utf8("value")).alias("passed"))
+
+
 def write_csv(df: DataFrame, path: str, line_ending: str = "unix", na: str = "", partition_by=None) -> None:
     """Header, UTF-8, no index, LF or CRLF, missing values written as ``na``."""
     out = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(na)).alias(c) for c in df.columns])

@@ -61,13 +61,15 @@ def start_validation(stream: DataFrame, columns: list[str], out_path: str, name:
     """
     from pyspark.sql import functions as F
 
-    from tidepool.sources.text_tables import parse_report
+    from tidepool.sources.text_tables import field_count, parse_report
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rep = parse_report(batch.persist(), columns).withColumn("batch_id", F.lit(batch_id))
+        # a malformed record carries its raw text, any other has the fields it should
+        own = F.coalesce(field_count(F.col("_corrupt_record")), F.lit(len(columns)))
+        counted = batch.withColumns({"_fields": own, "_expected": F.lit(len(columns))})
+        rep = parse_report(counted, columns).withColumn("batch_id", F.lit(batch_id))
         (rep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
-        batch.unpersist()
 
     ckpt = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/stream-{name}"
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
