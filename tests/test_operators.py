@@ -206,3 +206,24 @@ def test_transform_options(spark):
     assert rows[0].sample_date == "2021-07-18T06:00:00Z" and rows[1].sample_date == "NA"
     assert rows[0].epoch_time == "1700000000"  # numbers named like times stay numbers (rendered at the sink)
     assert rows[0].lat == "NA" and rows[1].lat == "2.5" and rows[0].site_name == "a"
+
+
+def test_inventory_paths_below_a_root_with_its_name(spark, tmp_path):
+    from tidepool.operators.fixity import inventory
+
+    root = tmp_path / "raw" / "x" / "raw"
+    (root / "raw" / "d").mkdir(parents=True)
+    (root / "raw" / "d" / "f.csv").write_text("a")
+    for at in (str(root), f"file://{root}/"):
+        assert [r.path for r in inventory(spark, at, "raw/").collect()] == ["raw/raw/d/f.csv"]
+
+
+def test_export_describes_numeric_columns_only(spark, tmp_path):
+    from tidepool.operators.vocabulary import export_observations
+
+    df = spark.createDataFrame([("n", 1.5, 2)], "latitude_note string, latitude double, other int")
+    plan = export_observations(df, str(tmp_path / "out"))
+    meta = {f.name: f.metadata for f in spark.read.parquet(str(tmp_path / "out")).schema.fields}
+    assert plan["latitude"] == "latitude" and not plan["latitude_note"]
+    assert meta["latitude_note"] == {"long_name": "latitude_note"} and meta["other"]["long_name"] == "other"
+    assert meta["latitude"]["valid_range"] == [-90.0, 90.0]

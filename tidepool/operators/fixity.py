@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ def inventory(spark: SparkSession, root: str, prefix: str = "", skip=fixed.SKIP_
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    rel = F.concat(F.lit(prefix), F.regexp_replace(F.col("path"), r"^.*?" + root.rstrip("/").split("/")[-1] + "/", ""))
+    top = urlparse(root).path.rstrip("/") + "/"  # the reader shows paths with their scheme in front
+    rel = F.concat(F.lit(prefix), F.substring(F.col("path"), F.locate(top, F.col("path")) + len(top), F.length("path")))
     out = files.where(~name.isin(*skip)).select(
         rel.alias("path"), F.col("length").alias("size_bytes"), sha256_hex(F.col("content")).alias("sha256")
     )

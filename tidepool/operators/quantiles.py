@@ -57,7 +57,7 @@ def _holding(probs: dict[str, float], count: str) -> Column:
 
 
 def _on(rows: DataFrame, state: DataFrame, keys: list[str]) -> Column:
-    cond = rows["_b"] == state["_sb"]
+    cond = rows["_b"] == state["_s_b"]
     for k in keys:
         cond = cond & rows[k].eqNullSafe(state[f"_s{k}"])
     return cond

@@ -109,8 +109,7 @@ def validate_xml(docs: DataFrame, key: str, text: str) -> DataFrame:
     missing = F.array_compact(F.array(*[
         F.when(F.shiftright(F.col("_bits"), i) % 2 == 0, F.lit(el)) for i, el in enumerate(fixed.REQUIRED_ELEMENTS)
     ]))
-    good = d.where(F.col("well_formed")).withColumn("_bits", bits).select(key, "well_formed", missing.alias("errors"))
-    bad = d.where(~F.col("well_formed")).select(key, "well_formed", F.array(F.lit("not well-formed XML")).alias("errors"))
-    out = good.unionByName(bad)
+    out = d.withColumn("_bits", F.when(F.col("well_formed"), bits)).withColumn(
+        "errors", F.when(F.col("well_formed"), missing).otherwise(F.array(F.lit("not well-formed XML"))))
     return out.select(key, "well_formed", (F.size("errors") == 0).alias("valid"),
                       F.array_join("errors", "; ").alias("errors"), F.size("errors").alias("error_count"))

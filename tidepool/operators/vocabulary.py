@@ -60,13 +60,16 @@ def export_observations(df: DataFrame, path: str, partition_by: list[str] | None
             cols.append(F.col(name))
             continue
         lname = name.lower().replace(" ", "_")
-        hit = next((i for i, row in voc.items() if row[0] in lname), None)
-        md = {}
+        numeric = isinstance(f.dataType, T.NumericType)
+        hit = next((i for i, row in voc.items() if row[0] in lname), None) if numeric else None
+        md = {"long_name": name}
         if hit is not None:
             key, sn, ln, units, vmin, vmax, axis, positive, comment = voc[hit]
-            md = {k: v for k, v in dict(standard_name=sn, long_name=ln, units=units, valid_min=vmin, valid_max=vmax,
-                                         axis=axis, positive=positive, comment=comment).items() if v is not None}
-        if isinstance(f.dataType, T.NumericType):
+            md |= {k: v for k, v in dict(standard_name=sn, long_name=ln, units=units, valid_min=vmin, valid_max=vmax,
+                                          axis=axis, positive=positive, comment=comment).items() if v is not None}
+            if vmin is not None and vmax is not None:
+                md["valid_range"] = [float(vmin), float(vmax)]
+        if numeric:
             md["_FillValue"] = fixed.FILL_NUMBER
             cols.append(fill_number(F.col(name)).alias(name, metadata=md))
         else:

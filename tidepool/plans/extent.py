@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.headers import normalize_header
 from tidepool.operators import extent as E
 from tidepool.operators import vocabulary as V
-from tidepool.plans import query
+from tidepool.plans import query, sql_over
 from tidepool.plans.cleaning import sql_normalize
 from tidepool.plans.quality import _POSITIONS_SQL
 from tidepool.session import checkpoint_dir, read_table
@@ -39,8 +39,7 @@ _DETECTED_SQL = f"""
 def _role_values(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer")
     o = read_table(spark, sf_dir, "orders")
-    c.createOrReplaceTempView("customer")
-    pos = spark.sql(_POSITIONS_SQL.replace("SELECT c_mktsegment,", "SELECT c_custkey, c_nationkey,"))
+    pos = sql_over(spark, sf_dir, _POSITIONS_SQL.replace("SELECT c_mktsegment,", "SELECT c_custkey, c_nationkey,"), ["customer"])
     nul = F.lit(None).cast("timestamp")
     lat = pos.select(F.col("c_nationkey").alias("dataset"), F.lit("lat").alias("role"), F.col("lat").alias("value"), nul.alias("ts"))
     lon = pos.select(F.col("c_nationkey").alias("dataset"), F.lit("lon").alias("role"), F.col("lon").alias("value"), nul.alias("ts"))
@@ -81,9 +80,8 @@ FROM c FULL OUTER JOIN d ON c.dataset = d.dataset
 """)
 def extent_merge(spark, sf_dir):
     """J-6 + P11: configured extent fields (some blank) override the detected ones."""
-    read_table(spark, sf_dir, "nation").createOrReplaceTempView("nation")
     spark_sql = _CONFIG_SQL.replace("CAST(NULL AS VARCHAR)", "CAST(NULL AS STRING)")
-    cfg = spark.sql(spark_sql.replace('"begin"', "`begin`").replace('"end"', "`end`"))
+    cfg = sql_over(spark, sf_dir, spark_sql.replace('"begin"', "`begin`").replace('"end"', "`end`"), ["nation"])
     return E.merge_extent(cfg, extent_by_dataset(spark, sf_dir), ["dataset"])
 
 

@@ -16,7 +16,7 @@ _DOC_PATH_SQL = """
 
 
 def _doc_path():
-    k = F.substring(F.col("source"), 4, 100).cast("int") % 6
+    k = F.regexp_extract("source", r"(\d+)$", 1).cast("int") % 6
     prefix = F.element_at(F.array(*[F.lit(p) for p in ("raw/", "processed/", "metadata/", "docs/", "logs/", "")]), k + 1)
     return F.concat(prefix, F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
 

@@ -1,7 +1,7 @@
 """File-level quality queries: completeness, duplicates, grades, notes, positions.
 
 Derived datasets are declared once as SQL over the driver tables and used by
-both Spark (``spark.sql`` on temp views) and the DuckDB oracle, so the two
+both Spark (:func:`sql_over`) and the DuckDB oracle, so the two
 sides start from the same rows.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.headers import numeric_columns
 from tidepool.operators import duplicates as D
 from tidepool.operators import profile as P
-from tidepool.plans import query
+from tidepool.plans import query, sql_over
 from tidepool.session import read_table
 
 BASE_TABLES = ("customer", "orders", "lineitem", "events", "documents", "labels")
@@ -49,22 +49,14 @@ COLUMNS = {
 }
 
 
-def _views(spark, sf_dir):
-    for t in BASE_TABLES:
-        read_table(spark, sf_dir, t).createOrReplaceTempView(t)
-
-
-def _dataset(spark, sf_dir, name, views: bool = True):
-    if views:
-        _views(spark, sf_dir)
-    return spark.sql(DATASETS[name])
+def _dataset(spark, sf_dir, name):
+    return sql_over(spark, sf_dir, DATASETS[name], BASE_TABLES)
 
 
 def _graded(spark, sf_dir):
     files, longs = None, None
-    _views(spark, sf_dir)
     for name in DATASETS:
-        df = _dataset(spark, sf_dir, name, views=False)
+        df = _dataset(spark, sf_dir, name)
         f = P.file_profile(df.withColumn("dataset", F.lit(name)), ["dataset"])
         files = f if files is None else files.unionByName(f)
         nums = numeric_columns(df)
@@ -209,8 +201,7 @@ FROM n GROUP BY c_mktsegment
 """)
 def bounding_box(spark, sf_dir):
     """Bounding box of coerced text positions and distinct raw positions (nulls equal)."""
-    _views(spark, sf_dir)
-    p = spark.sql(_POSITIONS_SQL)
+    p = sql_over(spark, sf_dir, _POSITIONS_SQL, BASE_TABLES)
     return P.spatial_coverage(F.col("lat"), F.col("lon"), p, ["c_mktsegment"])
 
 

@@ -27,7 +27,7 @@ def _dataset_rows(spark, sf_dir):
         F.array_sort(F.collect_set("lang")).alias("langs"),  # bounded by the language codes
         F.min("n_chars").alias("lo_chars"), F.max("n_chars").alias("hi_chars"),
     )
-    snum = F.substring(F.col("source"), 4, 100).cast("int")
+    snum = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
     return g.select(
         F.col("source").alias("dataset_id"),
         F.concat(F.lit("Text collection "), F.col("source")).alias("title"),

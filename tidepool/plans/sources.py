@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidepool.plans import query
-from tidepool.session import checkpoint_dir, read_table
+from tidepool.session import checkpoint_dir, read_table, stored
 from tidepool.sources import provenance as PV
 from tidepool.sources import text_tables as TT
 
@@ -147,7 +147,7 @@ def validate_submission(spark, sf_dir):
         part = lines.unionByName(blank).where(F.col("v") == v).select("source", *(["line", "doc_id"] if v == 3 else cols))
         part.write.partitionBy("source").options(header=True, escape='"', **extra).csv(f"{path}/{v}")
     name = F.regexp_extract(F.col("file"), r"source=([^/]+)/", 1)
-    df = TT.read_text_table(spark, path, cols, na_tokens=None).withColumn("file", name)
+    df = stored(TT.read_text_table(spark, path, cols, na_tokens=None).withColumn("file", name))  # text is parsed once
     # a source may lie in several files, all with one header
     catalogue = TT.column_catalogue(TT.header_lines(spark, path)).withColumn("file", name).distinct()
     width = catalogue.groupBy("file").agg(F.count("*").alias("columns"))

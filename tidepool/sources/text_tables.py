@@ -90,8 +90,10 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str] | None =
     if quote is None:
         r = r.option("quote", "\u0000")
     raw = F.col(CORRUPT)
+    # a record without raw text fills every slot; said of the slots, as the reader refuses to read raw text alone
+    filled = F.greatest(F.size(F.array_compact(F.array(*slots))), F.lit(width + 1))
     df = r.csv(path).select(F.col("_metadata.file_path").alias("file"), F.array(*slots).alias("_v"), raw,
-                            F.coalesce(field_count(raw, delimiter, quote), F.lit(width + 1)).alias("_fields"))
+                            F.coalesce(field_count(raw, delimiter, quote), filled).alias("_fields"))
     if header:
         df = df.join(heads.withColumnRenamed("file", "_head_of"), F.col("file") == F.col("_head_of"), "left")
         expected, place = F.size("names"), lambda i, c: F.array_position("names", c) - 1
