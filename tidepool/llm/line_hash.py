@@ -14,6 +14,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from . import query
 from .common import map_rows, ship, table, text_hash
 
@@ -64,7 +65,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = units(docs, id_col, text_col, unit)
     place = F.struct(F.isnull("id").alias("u"), F.col("id"), F.col("text_hash"), F.col("idx"))
     first = own.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    first = first.select(F.col("d1").alias("f1"), F.col("d2").alias("f2"), "first")
+    first = stored(first.select(F.col("d1").alias("f1"), F.col("d2").alias("f2"), "first"))  # so that the join can split
     met = own.join(first, (F.col("d1") == F.col("f1")) & (F.col("d2") == F.col("f2")))
     again = met.where(~F.col("first").eqNullSafe(place))
     doc = Window.partitionBy("id", "text_hash").orderBy("idx")
