@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from . import query
 from .common import map_rows, ship, table, text_hash
 from .components import connected_components
@@ -193,6 +193,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     named = firsts.join(found, F.col("lid") == F.col("node"), "left").select("lid", "first", F.coalesce("component", "lid").alias("root"))
     least = named.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("keep"))
     keep = named.join(least, F.col("root") == F.col("r")).select(F.col("lid").alias("l"), "keep")
+    keep = stored(keep)  # a join right above an aggregate could not split a hot line
     return lines.join(keep, F.col("lid") == F.col("l")).select(
         F.col("id").alias(id_col), "text_hash", "line_no", "start", "end", F.col("keep.id").alias("keep_id"),
         F.col("keep.line_no").alias("keep_line_no"), F.col("keep").eqNullSafe(place).alias("kept"))
