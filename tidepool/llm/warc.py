@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, cut_lineage
+from ..session import checkpoint_dir, cut_lineage, stored
 from . import query
 from .common import map_rows, table
 
@@ -162,7 +162,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEA
     names = cut_lineage(names.where("type != 'warcinfo'"))
     order = F.struct(F.isnull("own").alias("u"), F.col("own"), F.col("path"), F.col("offset"), F.col("record_id"), F.col("uri"), F.col("date"))
     first = names.where(F.col("n") >= least).groupBy("digest", "n").agg(F.count("*").alias("copies"), F.min(order).alias("first"))
-    first = first.where("copies > 1").select(F.col("digest").alias("fd"), F.col("n").alias("fn"), "first")
+    first = stored(first.where("copies > 1").select(F.col("digest").alias("fd"), F.col("n").alias("fn"), "first"))
     again = names.join(first, (F.col("digest") == F.col("fd")) & (F.col("n") == F.col("fn")))
     again = again.where(F.struct("path", "offset") != F.struct("first.path", "first.offset")).select(
         F.col("path").alias("p"), F.col("offset").alias("o"), F.col("first.record_id").alias("to_id"),
