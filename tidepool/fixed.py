@@ -71,6 +71,22 @@ CHECKSUM_DIRS = ("raw", "processed", "metadata", "docs")
 SKIP_FILES = ("checksums.sha256", "manifest.json", "FAIR_AUDIT.md")
 PACKAGE_DIRS = ("raw", "processed", "metadata", "docs", "logs")
 
+# --- Fixed values: what a metadata record says where the configuration is silent ---
+RECORD_DEFAULTS = {
+    "file_identifier": "PENDING",
+    "language": "eng",
+    "character_set": "utf8",
+    "hierarchy_level": "dataset",
+    "title": "Untitled Dataset",
+    "abstract": "",
+    "purpose": "Archive-ready dataset prepared for scientific data repository submission.",
+    "topic_category": "oceans",
+    "progress": "completed",
+    "contact_role": "principalInvestigator",
+    "crs": "EPSG:4326",
+    "distribution_name": "Scientific Data Repository",
+}
+
 # --- Fixed values: MIME type by file extension (common subset) --------------
 MIME_TYPES = (
     ("csv", "text/csv"),
