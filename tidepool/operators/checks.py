@@ -17,22 +17,25 @@ def _fmt_bound(c: Column) -> Column:
     return c.cast("double").cast("string")
 
 
-def required_columns(catalogue: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
+def required_columns(catalogue: DataFrame, rules: DataFrame, keys: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """J-2 + P3: one ``required_column_{c}`` row per file and rule.
 
     ``catalogue`` holds ``keys + (ordinal, raw_name)`` (the columns of each
     file), ``rules`` holds ``column`` (targets, compared lower-cased, not
-    normalised). The first match by ordinal wins (``min_by``).
+    normalised). The first match by ordinal wins (``min_by``). ``by`` names the keys (say,
+    the dataset) that ``rules`` carries too; a rule then holds for the files of its own keys.
     """
     cat = catalogue.select(*keys, "ordinal", "raw_name", normalize_header(F.col("raw_name")).alias("_norm"))
-    r = rules.select(F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"))
-    hits = cat.join(r, on="_norm").groupBy(*keys, "_target").agg(
+    r = rules.select(*by, F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"))
+    hits = cat.join(r, on=[*by, "_norm"]).groupBy(*keys, "_target").agg(
         F.min_by("raw_name", "ordinal").alias("matched")
     )
-    # every file with every rule, through the one-row list of rules
-    listed = rules.agg(F.collect_list("column").alias("_targets"))
     files = catalogue.select(*keys).distinct()
-    pairs = files.select(*keys, F.explode(listed.scalar()).alias("_target"))
+    if by:
+        pairs = files.join(r.select(*by, "_target"), on=list(by)).select(*keys, "_target")
+    else:  # every file with every rule, through the one-row list of rules
+        listed = rules.agg(F.collect_list("column").alias("_targets"))
+        pairs = files.select(*keys, F.explode(listed.scalar()).alias("_target"))
     j = pairs.join(hits, on=[*keys, "_target"], how="left")
     found = F.col("matched").isNotNull()
     return j.select(
@@ -45,27 +48,31 @@ def required_columns(catalogue: DataFrame, rules: DataFrame, keys: list[str]) ->
     )
 
 
-def value_ranges(long: DataFrame, rules: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def value_ranges(long: DataFrame, rules: DataFrame, keys: list[str], columns: list[str] | DataFrame,
+                 by: tuple[str, ...] = ()) -> DataFrame:
     """J-3 + A5 + P7: ``range_{c}`` per file and matched rule.
 
     ``long`` is ``keys + (variable, value)`` over the raw ``columns``; each rule
     ``(column, lo, hi)`` is resolved once against the column catalogue (first
-    normalised-equal name by position, P3) and joined to the values as a
-    broadcast of at most one row per rule. Rules whose column is absent give
-    no row.
+    normalised-equal name by position, P3) and joined to the values, at most one
+    row per rule. Rules whose column is absent give no row. With ``by`` (keys that
+    ``rules`` carries too, say the dataset) ``columns`` is a catalogue
+    ``by + (ordinal, raw_name)`` and a rule holds for its own keys.
     """
-    spark = long.sparkSession
-    cat = spark.createDataFrame(list(enumerate(columns)), "ordinal int, variable string")
-    cat = cat.select("ordinal", "variable", normalize_header(F.col("variable")).alias("_norm"))
+    if isinstance(columns, DataFrame):
+        cat = columns.select(*by, "ordinal", F.col("raw_name").alias("variable")).distinct()
+    else:
+        cat = long.sparkSession.createDataFrame(list(enumerate(columns)), "ordinal int, variable string")
+    cat = cat.select(*by, "ordinal", "variable", normalize_header(F.col("variable")).alias("_norm"))
     r = rules.select(
-        F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"),
+        *by, F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"),
         F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"),
     )
-    resolved = cat.join(r, on="_norm").groupBy("_target", "lo", "hi").agg(
+    resolved = cat.join(r, on=[*by, "_norm"]).groupBy(*by, "_target", "lo", "hi").agg(
         F.min_by("variable", "ordinal").alias("variable")
     )
     x = to_number(F.col("value"))
-    j = long.join(resolved, on="variable")
+    j = long.join(resolved, on=[*by, "variable"])
     agg = j.groupBy(*keys, "_target", "lo", "hi").agg(
         F.count(x).alias("numeric_values"),
         F.count_if(out_of_range(x, F.col("lo"), F.col("hi"))).alias("out_of_range"),
@@ -83,6 +90,13 @@ def value_ranges(long: DataFrame, rules: DataFrame, keys: list[str], columns: li
     )
 
 
+def unmatched_rules(catalogue: DataFrame, rules: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Q4: ``by + (column)``, the rules whose column no file of their keys has."""
+    have = catalogue.select(*by, normalize_header(F.col("raw_name")).alias("_norm")).distinct()
+    want = rules.select(*by, "column", F.lower("column").alias("_norm")).distinct()
+    return want.join(have, on=[*by, "_norm"], how="left_anti").select(*by, "column")
+
+
 def empty_rows(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """A2: rows where every listed column is missing, per file."""
     allnull = F.coalesce(*[F.col(f"`{c}`").cast("string") for c in columns]).isNull()

@@ -210,3 +210,42 @@ def first_errors(spark, sf_dir):
     """O2: the first five failed checks in (file, check) order (a head that is the feature)."""
     req = required_columns(spark, sf_dir)
     return req.where(~F.col("passed")).select("file", "check", "detail").orderBy("file", "check").limit(5)
+
+
+# --- Fixed values: rules that hold for one dataset each --------------------------
+RULES_BY_DATASET = (("lineitem", "L_Quantity", 1.0, 50.0), ("lineitem", "value", 0.0, 1.0), ("events", "Value", 0.0, 100.0),
+                    ("events", "l_quantity", 0.0, 1.0), ("lineitem", "l_tax", 0.0, 0.05))
+
+
+@query("rules_by_dataset", """
+WITH n AS (SELECT count(*) FILTER (WHERE l_quantity < 1 OR l_quantity > 50) AS q,
+                  count(*) FILTER (WHERE l_tax < 0 OR l_tax > 0.05) AS t FROM lineitem),
+e AS (SELECT count(*) FILTER (WHERE value < 0 OR value > 100) AS v FROM events),
+r AS (SELECT 'lineitem' AS dataset, 'range_L_Quantity' AS "check", q AS n, '[1.0, 50.0]' AS b FROM n
+      UNION ALL SELECT 'lineitem', 'range_l_tax', t, '[0.0, 0.05]' FROM n
+      UNION ALL SELECT 'events', 'range_Value', v, '[0.0, 100.0]' FROM e)
+SELECT dataset, "check", n = 0 AS passed,
+       CASE WHEN n > 0 THEN printf('%d values outside %s', n, b) ELSE 'All values in ' || b END AS detail FROM r
+UNION ALL SELECT * FROM (VALUES
+  ('lineitem', 'required_column_L_Quantity', true, 'Column ''L_Quantity'' found (raw: l_quantity)'),
+  ('lineitem', 'required_column_value', false, 'Column ''value'' MISSING'),
+  ('lineitem', 'required_column_l_tax', true, 'Column ''l_tax'' found (raw: l_tax)'),
+  ('events', 'required_column_Value', true, 'Column ''Value'' found (raw: value)'),
+  ('events', 'required_column_l_quantity', false, 'Column ''l_quantity'' MISSING'),
+  ('lineitem', 'unmatched_rules', false, 'value'), ('events', 'unmatched_rules', false, 'l_quantity'))
+""")
+def rules_by_dataset(spark, sf_dir):
+    """J-2 + J-3 + Q4 with rules that each hold for one dataset, by their (dataset, column)."""
+    own = ("dataset",)
+    rules = spark.createDataFrame(list(RULES_BY_DATASET), "dataset string, column string, lo double, hi double")
+    li, ev = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "events")
+    names = [("lineitem", i, c) for i, c in enumerate(li.columns)] + [("events", i, c) for i, c in enumerate(ev.columns)]
+    catalogue = spark.createDataFrame(names, "dataset string, ordinal int, raw_name string")
+    long = P.to_long(li.withColumn("dataset", F.lit("lineitem")), ["l_quantity", "l_tax"], ["dataset"]).unionByName(
+        P.to_long(ev.withColumn("dataset", F.lit("events")), ["value"], ["dataset"]))
+    cols = ("dataset", "check", "passed", "detail")
+    out = C.required_columns(catalogue, rules, ["dataset"], own).select(*cols)
+    out = out.unionByName(C.value_ranges(long, rules, ["dataset"], catalogue, own).select(*cols))
+    none = C.unmatched_rules(catalogue, rules, own).select(
+        "dataset", F.lit("unmatched_rules").alias("check"), F.lit(False).alias("passed"), F.col("column").alias("detail"))
+    return out.unionByName(none)
