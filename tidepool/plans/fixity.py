@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidepool import fixed
 from tidepool.functions.hashing import fixity_line, is_utf8, sha256_hex
 from tidepool.operators import fixity as X
 from tidepool.plans import query
-from tidepool.session import read_table
+from tidepool.session import checkpoint_dir, read_table
 
 _DOC_PATH_SQL = """
   CASE CAST(substr(source, 4) AS INTEGER) % 6 WHEN 0 THEN 'raw/' WHEN 1 THEN 'processed/' WHEN 2 THEN 'metadata/'
@@ -78,10 +80,55 @@ def fixity_verify(spark, sf_dir):
     return X.verify(_doc_manifest(spark, sf_dir), current.unionByName(added))
 
 
-@query("file_inventory")
+_AREAS = ("raw", "processed", "metadata", "docs", "logs")
+
+
+@query("file_inventory", f"""
+WITH d AS (SELECT doc_id // 100 AS block, string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id) AS body FROM documents GROUP BY 1)
+SELECT a.area || '/block_' || block || '.txt' AS path, sha256(body) AS sha256, strlen(body) AS size_bytes,
+       'text/plain' AS format, a.role
+FROM d JOIN (VALUES {', '.join(f"({i}, '{a}', '{dict(fixed.ROLES).get(a + '/', fixed.OTHER_ROLE)}')" for i, a in enumerate(_AREAS))}) AS a(k, area, role)
+  ON d.block % {len(_AREAS)} = a.k
+""")
 def file_inventory(spark, sf_dir):
-    """S4 + H1 + H3 + H4: the parquet files of the table folder as the ``raw/`` part of an archive."""
-    return X.inventory(spark, sf_dir, prefix="raw/")
+    """Documents written as text files, a hundred to a file, in the five areas of a package, and listed."""
+    block = F.floor(F.col("doc_id") / 100)
+    area = F.element_at(F.array(*(F.lit(a) for a in _AREAS)), (block % len(_AREAS) + 1).cast("int"))
+    docs = read_table(spark, sf_dir, "documents").select(area.alias("area"), block.alias("block"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    root = f"{checkpoint_dir(spark).rstrip('/')}/package-{uuid.uuid4().hex}"
+    dealt = docs.repartition("block").sortWithinPartitions("area", "block", "doc_id")
+    dealt.select("area", "block", "text").write.partitionBy("area", "block").text(root)
+    found = X.inventory(spark, root, skip=(*fixed.SKIP_FILES, "_SUCCESS"))
+    path = F.regexp_replace("path", r"^area=([^/]+)/block=(\d+)/.*$", "$1/block_$2.txt")
+    return X.manifest_rows(found.withColumn("path", path))
+
+
+@query("fixity_file", f"""
+SELECT 'SHA256 (' || {_DOC_PATH_SQL} || ') = ' || sha256(text) AS line FROM documents
+""")
+def fixity_file(spark, sf_dir):
+    """The sorted checksum lines of all documents, written and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/fixity-{uuid.uuid4().hex}"
+    X.write_fixity(_doc_manifest(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query("manifest_snapshots", """
+WITH t AS (SELECT count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS b FROM documents),
+h AS (SELECT count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS b FROM documents WHERE doc_id % 2 = 0)
+SELECT CAST(1 AS BIGINT) AS v, 'owner' AS key, 'data office' AS value
+UNION ALL SELECT 1, 'total_files', CAST(n AS VARCHAR) FROM h UNION ALL SELECT 1, 'total_bytes', CAST(b AS VARCHAR) FROM h
+UNION ALL SELECT 2, 'owner', 'data office' UNION ALL SELECT 2, 'release', 'final'
+UNION ALL SELECT 2, 'total_files', CAST(n AS VARCHAR) FROM t UNION ALL SELECT 2, 'total_bytes', CAST(b AS VARCHAR) FROM t
+""")
+def manifest_snapshots(spark, sf_dir):
+    """A manifest of half the documents, then of all; the second snapshot keeps the first one's keys."""
+    files = _doc_manifest(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/manifest-{uuid.uuid4().hex}"
+    half = files.where(F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("bigint") % 2 == 0)
+    X.write_manifest(spark, path, half, spark.createDataFrame([("owner", "data office")], "key string, value string"))
+    X.write_manifest(spark, path, files, spark.createDataFrame([("release", "final")], "key string, value string"))
+    return spark.read.parquet(f"{path}/info").select(F.col("v").cast("bigint").alias("v"), "key", "value")
 
 
 # ------------------------------------------------------------ presence -------

@@ -130,6 +130,22 @@ def top_values(spark, sf_dir):
     return P.top_values(_categorical_long(spark, sf_dir), ["dataset", "variable"], 5)
 
 
+@query("top_value_maps", f"""
+WITH long AS ({_CATEGORICAL_LONG_SQL}),
+c AS (SELECT dataset, variable, value, count(*) AS n FROM long
+      WHERE value IS NOT NULL AND trim(value) <> '' GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY dataset, variable ORDER BY n DESC, value ASC) AS rank FROM c)
+SELECT dataset, variable, string_agg(value || '=' || n, '; ' ORDER BY value) AS entries, count(*) AS size
+FROM r WHERE rank <= 5 GROUP BY dataset, variable
+""")
+def top_value_maps(spark, sf_dir):
+    """The five most frequent values of each variable as one map, shown by its sorted entries."""
+    keys = ["dataset", "variable"]
+    maps = P.top_values_map(P.top_values(_categorical_long(spark, sf_dir), keys, 5), keys)
+    entries = F.transform(F.array_sort(F.map_entries("top_values")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return maps.select(*keys, F.array_join(entries, "; ").alias("entries"), F.size("top_values").cast("bigint").alias("size"))
+
+
 # --------------------------------------------------------------- temporal ----
 @query("temporal_profile", """
 WITH long AS (

@@ -68,6 +68,23 @@ def csv_header_by_name(spark, sf_dir):
         F.sum(F.length("line")).alias("characters"), F.count(TT.CORRUPT).alias("malformed"))
 
 
+@query("csv_sink", """
+SELECT l_returnflag, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS keys, round(sum(l_extendedprice), 2) AS price,
+       count(*) FILTER (WHERE l_discount > 0.05) AS missing
+FROM lineitem GROUP BY l_returnflag
+""")
+def csv_sink(spark, sf_dir):
+    """Lineitem written as CSV with CRLF line ends and a text for missing values, and read back."""
+    li = read_table(spark, sf_dir, "lineitem")
+    discount = F.when(F.col("l_discount") <= 0.05, F.col("l_discount")).alias("l_discount")
+    path = _scratch(spark, "sink")
+    TT.write_csv(li.select("l_returnflag", "l_orderkey", "l_extendedprice", discount), path, line_ending="windows", na="NA")
+    back = TT.read_text_table(spark, path)
+    return back.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("l_orderkey").cast("bigint")).alias("keys"),
+        F.round(F.sum(F.col("l_extendedprice").cast("double")), 2).alias("price"), F.count_if(F.col("l_discount").isNull()).alias("missing"))
+
+
 @query("provenance_compact", """
 SELECT role AS action, '2024-01-01T00:00:00Z' AS timestamp,
        CASE WHEN length(d) > 100 THEN substr(d, 1, 100) || '...' ELSE d END AS detail
