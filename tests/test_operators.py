@@ -227,3 +227,16 @@ def test_export_describes_numeric_columns_only(spark, tmp_path):
     assert plan["latitude"] == "latitude" and not plan["latitude_note"]
     assert meta["latitude_note"] == {"long_name": "latitude_note"} and meta["other"]["long_name"] == "other"
     assert meta["latitude"]["valid_range"] == [-90.0, 90.0]
+
+
+def test_classes_decide_what_is_profiled(spark):
+    df = spark.createDataFrame(
+        [(1, "1.5", "2021-07-18", "2021-07-18", True, None), (2, "x", "7/19/2021", "b", False, None), (3, "2", "n/a", "c", True, None),
+         (4, "900", "2021-07-20", "d", None, None)],
+        "key int, reading string, date string, note string, update_time_flag boolean, empty string")
+    long = P.typed_long(df.withColumn("dataset", F.lit("d")), ["dataset"])
+    got = {r.variable: r["class"] for r in P.classify(long, ["dataset"]).collect()}
+    assert got == {"key": "numeric", "reading": "numeric", "date": "temporal", "note": "categorical",
+                   "update_time_flag": "categorical", "empty": "numeric"}
+    r = P.profile_files({"d": df}).first()
+    assert (r.rows, r.numeric, r.temporal, r.categorical, r.grade) == (4, 3, 1, 2, "D")

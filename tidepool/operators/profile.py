@@ -145,6 +145,61 @@ def temporal_profile(long: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+# ----------------------------------------------------------- classification --
+def typed_long(df: DataFrame, ids: list[str]) -> DataFrame:
+    """``ids + (variable, kind, value)`` of all other columns: the kind their type says, and their text."""
+    kinds = {}
+    for f in df.schema.fields:
+        kinds[f.name] = ("number" if isinstance(f.dataType, T.NumericType) else "boolean" if isinstance(f.dataType, T.BooleanType)
+                         else "time" if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)) else "text")
+    cols = [c for c in df.columns if c not in ids]
+    long = to_long(df, cols, ids, "text")
+    lookup = F.create_map(*(F.lit(x) for c in cols for x in (c, kinds[c])))
+    return long.withColumn("kind", F.element_at(lookup, F.col("variable")))
+
+
+def classify(long: DataFrame, keys: list[str]) -> DataFrame:
+    """T5 + N2: ``keys + (variable, class)`` of long data with kinds, in one aggregate over all datasets.
+
+    In this order: temporal (named like a time, no number type, more than half of the values parse, and
+    all years are plausible), numeric (by type, or every value converts, or more than half of the rows do),
+    else categorical; booleans are categorical.
+    """
+    v, name = F.col("value"), F.lower("variable")
+    named = F.lit(False)
+    for k in fixed.TIME_KEYWORDS_PROFILE:
+        named = named | name.contains(k)
+    t = F.when(named & F.col("kind").isin("text", "time"), as_timestamp(v))
+    agg = long.groupBy(*keys, "variable", "kind").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(v).alias("values"), F.count(to_number(v)).alias("numbers"),
+        F.count(t).alias("times"), F.min(F.year(t)).alias("y0"), F.max(F.year(t)).alias("y1"))
+    temporal = ((F.col("times") > 0) & (F.col("times") / F.col("values") > 0.5) & (F.col("y0") >= fixed.MIN_PLAUSIBLE_YEAR)
+                & (F.col("y1") <= fixed.MAX_PLAUSIBLE_YEAR))
+    numeric = (F.col("kind") == "number") | ((F.col("kind") == "text") & (
+        (F.col("numbers") == F.col("values")) | (F.col("numbers") / F.greatest("rows", F.lit(1)) > 0.5)))
+    verdict = F.when(temporal, "temporal").when(numeric, "numeric").otherwise("categorical")
+    return agg.select(*keys, "variable", verdict.alias("class"))
+
+
+def profile_files(datasets: dict[str, DataFrame]) -> DataFrame:
+    """§3.2 end to end: a row per dataset with its classes, completeness, duplicates, outliers and grade.
+
+    Classes are found first, over all datasets in long form; the numeric profile then takes the columns that
+    are numeric by class, whatever their type.
+    """
+    longs = files = None
+    for name, df in datasets.items():
+        df = df.withColumn("dataset", F.lit(name))
+        long, file = typed_long(df, ["dataset"]), file_profile(df, ["dataset"])
+        longs, files = (long, file) if longs is None else (longs.unionByName(long), files.unionByName(file))
+    classes = stored(classify(longs, ["dataset"]))
+    numeric = longs.join(classes.where(F.col("class") == "numeric"), ["dataset", "variable"], "left_semi")
+    numeric = numeric.select("dataset", "variable", to_number(F.col("value")).alias("value"))
+    outliers = numeric_profile(numeric, ["dataset", "variable"])
+    counts = classes.groupBy("dataset").agg(*(F.count_if(F.col("class") == c).alias(c) for c in ("numeric", "temporal", "categorical")))
+    return grade_files(files, outliers, ["dataset"]).join(counts, "dataset")
+
+
 # ------------------------------------------------------------------- files ---
 def file_profile(df: DataFrame, keys: list[str], catalogue: DataFrame | None = None) -> DataFrame:
     """A1 + A3 + A7: rows, columns, cells, missing cells, completeness, duplicate rows.
