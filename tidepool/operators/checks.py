@@ -120,7 +120,7 @@ def no_duplicates(members: DataFrame, keys: list[str], key_names: list[str], tol
         *keys,
         F.lit("no_duplicates").alias("check"),
         (~over).alias("passed"),
-        F.when(over, F.format_string("%d duplicate rows on key [%s]", F.col("duplicate_members"), F.lit(key_text)))
+        F.when(F.col("duplicate_members") > 0, F.format_string("%d duplicate rows on key [%s]", F.col("duplicate_members"), F.lit(key_text)))
         .otherwise(F.lit("No duplicates")).alias("detail"),
         F.lit(key_text).alias("matched_keys"),
         "duplicate_members",
