@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from . import query
 from .common import WHITE, keep_rows, map_rows, table, text_hash
 
@@ -122,7 +122,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     order = F.struct((-F.col("points")).alias("p"), F.isnull("id").alias("u"), F.col("id"), F.col("row"))
     sums = meta.groupBy("fp", "n_bytes").agg(F.count("*").alias("size"), F.min(order).alias("best"))
-    many = sums.where("size > 1").withColumnsRenamed({"fp": "gfp", "n_bytes": "gn"})
+    # groups are written before they are joined: a join right above their aggregate could not split a hot one
+    many = stored(sums.where("size > 1").withColumnsRenamed({"fp": "gfp", "n_bytes": "gn"}))
     same = (meta["fp"] == many["gfp"]) & (meta["n_bytes"] == many["gn"])
 
     # chunkwise comparison of each member with the text that would stay
@@ -149,7 +150,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = meta.join(odd, on, "left").withColumn("other", F.when(F.col("ofp").isNotNull(), F.col("sha")).otherwise(""))
     marked = marked.select("id", "text_hash", "points", "fp", "n_bytes", "sha", "row", "other")
     final = marked.groupBy("fp", "n_bytes", "other").agg(F.count("*").alias("group_size"), F.min(order).alias("best"))
-    final = final.withColumnsRenamed({"fp": "gfp", "n_bytes": "gn", "other": "go"})
+    final = stored(final.withColumnsRenamed({"fp": "gfp", "n_bytes": "gn", "other": "go"}))
     on = (marked["fp"] == final["gfp"]) & (marked["n_bytes"] == final["gn"]) & (marked["other"] == final["go"])
     return marked.join(final, on).select(
         F.col("id").alias(id_col), "text_hash", F.col("best.id").alias("keep_id"), "group_size",
