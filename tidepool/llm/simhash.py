@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from . import query
 from .common import keep_rows, map_rows, ship, table, text_hash
 from .components import connected_components
@@ -173,6 +173,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = named.select("fp", "least", F.coalesce("component", "fp").alias("root"))
     lowest = named.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
     by_fp = named.join(lowest, named["root"] == lowest["r"]).select(F.col("fp").alias("f"), "component_id", "root")
+    by_fp = stored(by_fp)  # a join right above an aggregate could not split the copies of a hot fingerprint
     return rows.join(by_fp, rows["fp"] == by_fp["f"]).select(
         F.col("id").alias(id_col), "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
