@@ -21,6 +21,7 @@ from .components import connected_components
 SHINGLE = 7
 BANDS, ROWS = 14, 5
 SIMILARITY = 0.8
+BITS = 1 << 26  # of the map that marks lines with a neighbour in some bucket: 8 MB
 BLOCK = 1000  # lines of a bucket that are compared in one place; larger buckets are compared block by block
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,18 +147,40 @@ def _compared(threshold: float):
     return run
 
 
+def _marked(ids: DataFrame) -> bytes:
+    """A bit map of ids (column w), BITS bits whatever their number: it only spares lines a shuffle."""
+    at = F.col("w").bitwiseAND(BITS - 1) + 1
+    maps = ids.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m"))
+    out = bytearray(BITS // 8)
+    for r in maps.collect():
+        out[(r["k"] - 1) * 4096 : r["k"] * 4096] = r["m"]
+    return bytes(out)
+
+
 def similar_links(docs: DataFrame, text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """(src, dst) links that join all lines found similar, by line id."""
     ship(docs.sparkSession)
     text = docs.select(F.col(f"`{text_col}`").alias("t"))
-    dealt = map_rows(text, _bands, "key bigint, id bigint").repartition("key").distinct()  # one shuffle
+    bands = map_rows(text, _bands, "key bigint, id bigint").where("key IS NOT NULL")  # as the join below would add to one side only
+    dealt = bands.repartition("key").distinct()  # one shuffle
     buckets = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"),
                                        F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("all"))
     buckets = buckets.where("n > 1").groupBy("n", "lo", "hi", "all").agg(F.min("key").alias("bucket"))
-    buckets = cut_lineage(buckets.select("bucket", "n"))
-    members = cut_lineage(dealt.join(buckets, F.col("key") == F.col("bucket")).select("key", "n", "id"))
+    # in one job with the counting, so that both read one shuffle of the bands
+    members = cut_lineage(dealt.join(buckets.select("bucket", "n"), F.col("key") == F.col("bucket")).select("key", "n", "id"))
     wanted = members.select(F.col("id").alias("w")).distinct()
-    lines = map_rows(text, lambda rows: ((line_id(s), s) for (t,) in rows for s in {s for _, _, s in lines_of(t)}), "lid bigint, norm string")
+    marked = _marked(wanted)
+
+    def possible(rows):
+        """Lines that may be wanted; the join below drops the few that are not."""
+        for (t,) in rows:
+            for norm in {n for _, _, n in lines_of(t)}:
+                i = line_id(norm)
+                p = i & BITS - 1
+                if marked[p >> 3] >> (p & 7) & 1:
+                    yield i, norm
+
+    lines = map_rows(text, possible, "lid bigint, norm string")
     lines = lines.join(wanted, F.col("lid") == F.col("w"), "left_semi").groupBy("lid").agg(F.min("norm").alias("norm"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
