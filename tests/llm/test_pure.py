@@ -203,6 +203,28 @@ def test_long_part_without_spaces():
     assert pieces.decode(got[0][1].tolist(), m) == pieces.decode(got[3][1].tolist(), m) == text
 
 
+@pytest.mark.parametrize("text", ("aaa1" * 50, ".....x" * 34, "#" * 1003, "-" * 20000))
+def test_paths_that_tie_are_not_all_opened(text, monkeypatch):
+    m = pieces.load()
+    pops, pop = [0], pieces.heapq.heappop
+
+    def counted(queue):
+        pops[0] += 1
+        assert pops[0] <= 100 * (len(text) + 1) * pieces.BEST  # else it would not end
+        return pop(queue)
+
+    monkeypatch.setattr(pieces.heapq, "heappop", counted)
+    (got,) = pieces.segment([text], m)
+    assert len(got) == pieces.BEST == len({ids.tobytes() for _, ids in got})
+    shown = pieces.marked(text)
+    tops = [[0.0]] + [[] for _ in shown]  # the n best sums by place, plainly
+    for j in range(1, len(tops)):
+        sums = [x + m.usable[shown[i:j]][1] for i in range(max(0, j - m.longest), j) if shown[i:j] in m.usable for x in tops[i]]
+        tops[j] = sorted(sums, reverse=True)[: pieces.BEST]
+    assert [s for s, _ in got] == tops[-1]
+    assert all(sum(m.usable[m.names[i]][1] for i in ids.tolist()) == s and pieces.decode(ids.tolist(), m) == text for s, ids in got)
+
+
 # toxicity ----------------------------------------------------------------------------------------------
 
 def test_toxicity_learns_marks_and_holds_on_odd_texts():
