@@ -148,6 +148,16 @@ def test_repeated_spans(docs, none):
     assert line_hash.repeated_spans(none).count() == line_hash.remove_repeats(none).count() == 0
 
 
+def test_short_lines_that_repeat_are_reported(spark):
+    lines = {k: " ".join(f"w{k}x{j}" for j in range(k)) + "." for k in range(1, 25)}
+    rows = [(100 * d + k, f"only {d} {k} here\n{lines[k]}") for d in (1, 2, 3) for k in lines]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = line_hash.repeated_spans(docs).collect()
+    assert {(r.doc_id, r.start, r.end) for r in got} == {(i, t.index("\n") + 1, len(t)) for i, t in rows if i > 200}
+    left = {r.doc_id: r.text for r in line_hash.remove_repeats(docs, min_words=9).collect()}
+    assert lines[8] in left[308] and lines[9] not in left[309]
+
+
 def test_line_classes(spark, docs, none):
     got = fuzzy_lines.line_classes(docs).collect()
     assert len(got) == sum(len(fuzzy_lines.lines_of(t)) for _, t in ROWS)

@@ -2,8 +2,8 @@
 
 A text is cut into units, at line breaks and (unit "sentence") after sentence ends, as a passage that moved to
 another document seldom keeps its line breaks. Units are normalised and hashed; each digest's earliest
-occurrence by (document id, text, place) stays. What repeats is taken out where it fills an unbroken run of
-units of at least MIN_WORDS words, so that stock phrases stay; offsets are those of the original text.
+occurrence by (document id, text, place) stays. Every later one is reported, whatever its length, adjoining ones
+as one run; offsets are those of the original text. A caller may leave runs of few words (stock phrases) in.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ..session import stored
 from . import query
 from .common import map_rows, ship, table, text_hash
 
-MIN_WORDS = 25
+MIN_WORDS = 1  # words of a run that is reported: all of them
 _CUTS = {"line": re.compile(r"[^\n]+"), "sentence": re.compile(r"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)")}
 _WORD = re.compile(r"\w+")
 
