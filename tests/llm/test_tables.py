@@ -1,6 +1,8 @@
 """The operators over odd tables: nulls, empty and very long texts, ties, repeats, no rows, clashing columns."""
 
 import hashlib
+import itertools
+import random
 import re
 
 import pytest
@@ -148,6 +150,30 @@ def test_repeated_spans(docs, none):
     assert line_hash.repeated_spans(none).count() == line_hash.remove_repeats(none).count() == 0
 
 
+def test_passages_planted_within_sentences_are_found(spark):
+    rnd = random.Random(5)
+    count = itertools.count()  # no word comes twice but in a passage
+    prose = lambda n: [f"{rnd.choice('bcdfgh')}{next(count)}" + rnd.choice(["", "", "", "", "", ",", "."]) for _ in range(n)]
+    wrap = lambda words, k: "\n".join(" ".join(words[j : j + k]) for j in range(0, len(words), k))
+    rows, planted = [], {}
+    for k in range(60):
+        passage, before = [w.upper() if k % 2 else w for w in prose(51 + k % 30)], prose(30 + k)
+        rows.append((k, wrap(prose(40 + k) + passage + prose(35), 9 + k % 4)))
+        rows.append((1000 + k, wrap(before + passage + prose(30), 13 + k % 5)))
+        planted[1000 + k] = (len(before), len(before) + len(passage))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {}
+    for r in line_hash.repeated_spans(docs).collect():
+        spans.setdefault(r.doc_id, []).append((r.start, r.end))
+    left = {r.doc_id: r.text for r in line_hash.remove_repeats(docs).collect()}
+    for d, t in rows:
+        at = [m.span() for m in re.finditer(r"\w+", t)]
+        hit = [any(a <= x and y <= b for a, b in spans.get(d, [])) for x, y in at]
+        a, b = planted.get(d, (0, 0))
+        assert sum(hit[a:b]) >= b - a - 2 * line_hash.STRIDE + 1 and not any(hit[:a] + hit[b:])
+        assert len(re.findall(r"\w+", left[d])) == len(at) - sum(hit)
+
+
 def test_short_lines_that_repeat_are_reported(spark):
     lines = {k: " ".join(f"w{k}x{j}" for j in range(k)) + "." for k in range(1, 25)}
     rows = [(100 * d + k, f"only {d} {k} here\n{lines[k]}") for d in (1, 2, 3) for k in lines]

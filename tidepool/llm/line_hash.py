@@ -4,13 +4,20 @@ A text is cut into units, at line breaks and (unit "sentence") after sentence en
 another document seldom keeps its line breaks. Units are normalised and hashed; each digest's earliest
 occurrence by (document id, text, place) stays. Every later one is reported, whatever its length, adjoining ones
 as one run; offsets are those of the original text. A caller may leave runs of few words (stock phrases) in.
+
+A passage seldom begins and ends with a sentence or line of the text it moved to. So texts are also cut into pieces
+at places that the words around them choose (the least hash of any STRIDE neighbours), line breaks or not, and hashed
+with the words that follow: of SHARED words that two texts share all but STRIDE - 1 at the start and STRIDE at the
+end, at most, are found, wherever they stand. Spans of the two kinds may overlap.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,12 +28,15 @@ from .common import map_rows, ship, table, text_hash
 MIN_WORDS = 1  # words of a run that is reported: all of them
 _CUTS = {"line": re.compile(r"[^\n]+"), "sentence": re.compile(r"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)")}
 _WORD = re.compile(r"\w+")
+SHARED = 51  # words of the shortest passage that is sure to be found; a shorter text has no pieces
+STRIDE = 12  # words of a piece at most, and words that its digest covers
 
 
-def units_of(text: str | None, unit: str = "sentence") -> list[tuple[int, int, str, int]]:
+def units_of(text: str | None, unit: str = "sentence") -> list[tuple[int, int, str | None, int]]:
     """(start, end, normalised, words) of the units that have words, offsets in code points.
 
     Normalised: the words in lower case, one space between them; case, punctuation and spacing do not tell.
+    With sentences, the pieces follow after a break (normalised None, which repeats nothing).
     """
     out = []
     for m in _CUTS[unit].finditer(text or ""):
@@ -34,6 +44,31 @@ def units_of(text: str | None, unit: str = "sentence") -> list[tuple[int, int, s
         if words:
             a = m.start() + len(m[0]) - len(m[0].lstrip())
             out.append((a, m.end(), " ".join(words), len(words)))
+    pieces = pieces_of(text or "") if unit == "sentence" else []
+    return out + [(len(text), len(text), None, 0)] + pieces if pieces else out
+
+
+def pieces_of(text: str) -> list[tuple[int, int, str, int]]:
+    """(start, end, what is hashed, words) of the pieces: each goes to the next chosen word, its digest covers STRIDE words."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    n = len(spans)
+    if n < SHARED:
+        return []
+    words = [text[a:b].lower() for a, b in spans]
+    h = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, n)
+    h = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)  # of two words
+    low = h >> np.uint64(32) << np.uint64(32) | np.arange(n - 1, 0, -1, dtype=np.uint64)  # of equals the last is least
+    width = 1
+    while width < STRIDE:  # the least of the next ``width``
+        step = min(width, STRIDE - width)
+        low, width = np.minimum(low[:-step], low[step:]), width + step
+    chosen = n - 1 - (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))].tolist()
+    out = []
+    for a, b in zip(chosen, chosen[1:] + [n]):
+        if a + STRIDE <= n:
+            b = min(b, a + STRIDE)
+            out.append((spans[a][0], spans[b - 1][1], "\0" + " ".join(words[a : a + STRIDE]), b - a))
     return out
 
 
@@ -44,6 +79,8 @@ def units(docs: DataFrame, id_col: str, text_col: str, unit: str) -> DataFrame:
     def run(rows):
         for i, text, h in rows:
             for k, (a, b, norm, n) in enumerate(units_of(text, unit)):
+                if norm is None:
+                    continue
                 d = hashlib.blake2b(norm.encode("utf-8", "surrogatepass"), digest_size=16).digest()
                 yield i, h, k, a, b, n, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
 
@@ -89,7 +126,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             kept, at = [], 0
             for x in sorted(out, key=lambda x: x["start"]):
                 kept.append(text[at : x["start"]])
-                at = x["end"]
+                at = max(at, x["end"])
             return "".join(kept) + text[at:]
 
         return texts.combine(spans, one)
