@@ -23,6 +23,7 @@ MODULES = (
     "fuzzy_lines",
     "pieces",
     "exact",
+    "merkle",
 )
 
 
