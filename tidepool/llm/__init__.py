@@ -24,6 +24,7 @@ MODULES = (
     "pieces",
     "exact",
     "merkle",
+    "whiten",
 )
 
 
