@@ -25,6 +25,7 @@ MODULES = (
     "exact",
     "merkle",
     "whiten",
+    "flat_graph",
 )
 
 
