@@ -43,7 +43,76 @@ def test_header_by_name_quotes_and_line_breaks(spark):
     with open(f"{path}/m.csv", "w") as f:
         f.write('a,b,c\n"l1\nl2",2,"say ""hi"""\n')
     many = TT.read_text_table(spark, f"{path}/m.csv", ["a", "b", "c"], multi_line=True).first()
-    assert (many.a, many.b, many._fields, many._expected) == ("l1\nl2", "2", 3, 3)
+    assert (many.a, many.b, many.c, many._fields, many._expected) == ("l1\nl2", "2", 'say "hi"', 3, 3)
+
+
+def test_doubled_quotes_stay_in_their_column(spark):
+    path = _dir(spark, "quotes")
+    os.makedirs(path)
+    with open(f"{path}/q.csv", "w") as f:
+        f.write('doc_id,lang,line\n1,en,"he said ""x"", and, y"\n2,de,"a\\"\n3,fr,"""all"""\n')
+    want = {("1", "en", 'he said "x", and, y'), ("2", "de", "a\\"), ("3", "fr", '"all"')}
+    for multi in (False, True):
+        rows = TT.read_text_table(spark, path, ["doc_id", "lang", "line"], multi_line=multi).collect()
+        assert {(r.doc_id, r.lang, r.line) for r in rows} == want and all(r._fields == 3 and r._corrupt_record is None for r in rows)
+
+
+def test_records_over_many_splits(spark):
+    """Quoted line breaks, doubled quotes and empty lines within quotes; splits of a few hundred bytes."""
+    import csv
+    import random
+
+    rng = random.Random(7)
+    path = _dir(spark, "splits")
+    os.makedirs(path)
+    want = set()
+    for k in range(3):
+        with open(f"{path}/{k}.csv", "w", newline="") as f:
+            w = csv.writer(f, lineterminator="\r\n" if k == 1 else "\n")
+            names = ["id", "text", "n"] if k else ["text", "n", "id"]
+            w.writerow(names)
+            for i in range(400):
+                text = "".join(rng.choice(['"', "\n", ",", "a", "b ", "\n\n", '""', "é"]) for _ in range(rng.randrange(1, 30)))
+                row = {"id": f"{k}-{i}", "text": text, "n": str(len(text))}
+                w.writerow([row[c] for c in names])
+                want.add((row["id"], text, row["n"]))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        TT.STRETCH_BITS, bits = 3, TT.STRETCH_BITS
+        df = TT.read_text_table(spark, path, ["id", "text", "n"], na_tokens=None, multi_line=True)
+        assert spark.read.text(path).rdd.getNumPartitions() > 20
+        rows = df.collect()
+    finally:
+        TT.STRETCH_BITS = bits
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert len(rows) == 1200 and {(r.id, r.text, r.n) for r in rows} == want
+    assert all(r._fields == 3 and r._corrupt_record is None for r in rows)
+
+
+def test_a_quote_that_is_never_closed(spark):
+    path = _dir(spark, "open")
+    os.makedirs(path)
+    with open(f"{path}/o.csv", "w") as f:
+        f.write("a,b\n1,2\n" + '3,"x\n' + "4,5\n" * 50)
+    got = TT.read_records(spark, path, max_lines=10).collect()
+    assert len(got) == 53 and sum(not r.closed for r in got) == 51
+    table = TT.read_text_table(spark, path, ["a", "b"], multi_line=True)  # 51 lines are one record below the default bound
+    rep = TT.parse_report(table, ["a", "b"]).first()
+    assert (rep.rows, rep.long_rows, rep.parseable) == (2, 1, False)
+
+
+def test_csv_sink_quotes_like_its_reader(spark):
+    import csv
+
+    out = _dir(spark, "sink-text")
+    rows = [("1", 'he said "x"'), ("2", "a,b"), ("3", "back\\slash"), ("4", " both ends "), ("5", "l1\nl2"), ("6", 'end\\"')]
+    TT.write_csv(spark.createDataFrame(rows, "k string, v string").coalesce(1), out)
+    part = [p for p in os.listdir(out) if p.endswith(".csv")][0]
+    with open(f"{out}/{part}", newline="") as f:
+        assert [tuple(r) for r in csv.reader(f)] == [("k", "v"), *rows]
 
 
 def test_csv_sink_crlf_and_na(spark):

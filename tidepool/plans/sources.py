@@ -85,6 +85,26 @@ def csv_sink(spark, sf_dir):
         F.round(F.sum(F.col("l_extendedprice").cast("double")), 2).alias("price"), F.count_if(F.col("l_discount").isNull()).alias("missing"))
 
 
+@query("csv_text_round_trip", """
+SELECT doc_id, lang, length(text) AS characters, sha256(text) AS text_sha256,
+       CASE WHEN doc_id % 7 > 0 THEN sha256('\\ "' || source || '", \\"') END AS note_sha256,
+       CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS breaks, true AS whole
+FROM documents
+""")
+def csv_text_round_trip(spark, sf_dir):
+    """S6 + S1 + V4: whole texts, with quotes, commas, backslashes and line breaks, written as CSV and read back in splits."""
+    d = read_table(spark, sf_dir, "documents")
+    note = F.when(F.col("doc_id") % 7 > 0, F.concat(F.lit('\\ "'), F.col("source"), F.lit('", \\"')))
+    path = _scratch(spark, "texts")
+    TT.write_csv(d.select("doc_id", "text", note.alias("note"), "lang"), path, na="NA")
+    back = TT.read_text_table(spark, path, ["doc_id", "lang", "text", "note"], multi_line=True)
+    # the default reader takes NA for missing, and so does a text of nothing
+    return back.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length("text").cast("bigint").alias("characters"),
+        F.sha2("text", 256).alias("text_sha256"), F.sha2("note", 256).alias("note_sha256"),
+        F.length(F.regexp_replace("text", "[^\n]", "")).cast("bigint").alias("breaks"), F.col(TT.CORRUPT).isNull().alias("whole"))
+
+
 @query("provenance_compact", """
 SELECT role AS action, '2024-01-01T00:00:00Z' AS timestamp,
        CASE WHEN length(d) > 100 THEN substr(d, 1, 100) || '...' ELSE d END AS detail
