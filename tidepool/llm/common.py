@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 WHITE = b" \t\n\x0b\x0c\r"  # the characters [\x20\x09-\x0D]
 
 
@@ -23,15 +25,23 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col
     """The rows of ``docs`` whose (id, text) is in ``kept(id, text_hash)``, one of each, all their columns.
 
     A null id or text matches a null one. ``text_hash`` is xxhash64(text), null for a null text. Rows that
-    repeat id and text are one row; which of them stays shows only in other columns. The join and the
-    row_number share one shuffle by (id, hash), and no key gathers more than such repeats.
+    repeat id and text are one row; which of them stays shows only in other columns.
+
+    Whole rows are shuffled once and stream past a hash table of the keys, so no text is ever sorted. Only rows that
+    repeat both id and text, if the table has any, go on to a window, whose key gathers no more than such repeats.
     """
     left = docs.withColumns({"_tp_id": F.col(f"`{id_col}`"), "_tp_hash": text_hash(text_col)})
-    right = kept.select(F.col(id_col).alias("_tk_id"), F.col("text_hash").alias("_tk_hash"))
+    right = kept.select(F.col(id_col).alias("_tk_id"), F.col("text_hash").alias("_tk_hash")).distinct()
     on = left["_tp_id"].eqNullSafe(right["_tk_id"]) & left["_tp_hash"].eqNullSafe(right["_tk_hash"])
-    one = Window.partitionBy("_tp_id", "_tp_hash").orderBy("_tp_hash")
-    found = left.join(right, on, "left_semi").withColumn("_tp_n", F.row_number().over(one))
-    return found.where("_tp_n = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    found = left.join(right.hint("shuffle_hash"), on, "left_semi")
+    again = left.groupBy(F.col("_tp_id").alias("_tr_id"), F.col("_tp_hash").alias("_tr_hash")).agg(F.count("*").alias("_tr_n"))
+    again = stored(again.where("_tr_n > 1").drop("_tr_n"))
+    if not again.isEmpty():
+        on = found["_tp_id"].eqNullSafe(again["_tr_id"]) & found["_tp_hash"].eqNullSafe(again["_tr_hash"])
+        one = Window.partitionBy("_tp_id", "_tp_hash").orderBy("_tp_hash")
+        repeats = found.join(again, on, "left_semi").withColumn("_tp_n", F.row_number().over(one)).where("_tp_n = 1").drop("_tp_n")
+        found = found.join(again, on, "left_anti").unionAll(repeats)
+    return found.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def text_hash(text_col: str) -> Column:
@@ -41,12 +51,17 @@ def text_hash(text_col: str) -> Column:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the executors, once a session: they may have no copy of their own."""
+    """Send this package's modules to the executors, once a session: they may have no copy of their own.
+
+    Arrow batches, where the session says nothing of their size, are cut at 8 MB, as a Python worker holds some of them.
+    """
     import os
     import tempfile
     import zipfile
 
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     if _SHIPPED.get("to") is sc:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -65,7 +80,7 @@ _SHIPPED: dict = {}
 
 
 def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
-    """``rows`` over each partition as Python tuples, in Arrow batches both ways (64 MB at most a batch in)."""
+    """``rows`` over each partition as Python tuples, in Arrow batches both ways."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

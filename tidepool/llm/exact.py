@@ -136,8 +136,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .otherwise(F.array(F.pmod(F.xxhash64("id", "text_hash"), F.col("salts")).cast("int"))).alias("salts"),
     ).where("gn > 0").distinct()
     on = picked["id"].eqNullSafe(wanted["wid"]) & picked["text_hash"].eqNullSafe(wanted["wh"])
-    pieces = map_rows(
-        picked.join(wanted, on).select("text_hash", "text", "gfp", "gn", "salts", "chosen"), _pieces,
+    pieces = map_rows(  # texts stream past the keys of those that are wanted; they are not sorted
+        picked.join(wanted.hint("shuffle_hash"), on).select("text_hash", "text", "gfp", "gn", "salts", "chosen"), _pieces,
         "gfp string, salt int, k bigint, h bigint, chosen boolean, data binary")
     ours = pieces.where("not chosen").select(F.col("gfp").alias("f"), F.col("salt").alias("s"), F.col("k").alias("i"), "h", F.col("data").alias("d"))
     theirs = pieces.where("chosen").select("gfp", "salt", "k", "data").distinct()
