@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,17 +76,41 @@ def _try_layout(s: Column, java: str) -> Column:
     return t
 
 
-def parse_timestamp(c: Column, fmt: str | None = None, formats=AUTO_FORMATS) -> Column:
-    """T1 (explicit format) / T2, T3 (``auto``: ISO first, then each layout in order).
+# what a run of one pattern letter looks like in text
+_LOOKS = {"yyyy": r"\d{4}", "yy": r"\d{2}", "MMMM": "[A-Za-z]{3,9}", "MMM": "[A-Za-z]{3}", "a": "[AaPp][Mm]"}
+#: ISO-8601 with a four-digit year and a month; what follows the day (clock, offset, zone) is left to the parser
+ISO_SHAPE = r"^\d{4}-\d{1,2}(-\d{1,2}([T ].*)?)?$"
+SLASHED_MONTH_FIRST = "M/d/yyyy"
+
+
+def shape_of(java: str) -> str:
+    """The regular expression of texts that a Java pattern can parse, made from the pattern letter by letter."""
+    out = []
+    for quoted, run, _letter, other in re.findall(r"'([^']*)'|(([A-Za-z])\3*)|([^A-Za-z'])", java):
+        if run:
+            out.append(_LOOKS.get(run) or (r"\d{1,2}" if len(run) == 1 else rf"\d{{{len(run)}}}"))
+        else:
+            out.append(re.escape(quoted or other))
+    return f"^{''.join(out)}$"
+
+
+def parse_timestamp(c: Column, fmt: str | None = None, formats=AUTO_FORMATS, day_first: Column | None = None) -> Column:
+    """T1 (explicit format) / T2, T3 (``auto``: by the shape of each text).
 
-    Bad values become null; text with an offset is converted to UTC.
+    A layout is tried only on texts that look like it, so a text costs one or two parses, and none if it looks
+    like no layout (bare years, six digits, clock times). Bad values become null; text with an offset is converted
+    to UTC. ``day_first`` (a condition, see ``operators.dates``) reads ``1/2/2021`` as the first of February.
     """
     s = strip_ws(c.cast("string"))
     if fmt and fmt != "auto":
         java = strptime_to_java(fmt) if "%" in fmt else fmt
         return _try_layout(s, java)
-    iso = F.when(~s.rlike(r"^T?\d{1,2}(:|$)"), F.try_to_timestamp(s))  # a clock time alone is no date
-    tries = [iso] + [_try_layout(s, f) for f in formats]
+    tries = [F.when(s.rlike(ISO_SHAPE), F.try_to_timestamp(s))]
+    for f in formats:
+        parsed = _try_layout(s, f)
+        if day_first is not None and f.startswith(SLASHED_MONTH_FIRST):
+            parsed = F.when(day_first, _try_layout(s, f.replace("M/d", "d/M", 1))).otherwise(parsed)
+        tries.append(F.when(s.rlike(shape_of(f)), parsed))
     return F.coalesce(*tries)
 
 

@@ -9,6 +9,7 @@ from tidepool.functions.numeric import fill_number, to_number
 from tidepool.functions.routing import route_format
 from tidepool.functions.temporal import iso_utc, parse_timestamp
 from tidepool.functions.text import clean_text, fill_text
+from tidepool.operators import dates as DT
 from tidepool.operators import profile as P
 from tidepool.plans import query
 from tidepool.session import read_table
@@ -161,6 +162,35 @@ def timestamp_rejects(spark, sf_dir):
     )
 
 
+_VOTED_SQL = """
+WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS TIMESTAMP) AS t FROM orders),
+x AS (SELECT 'eu' AS variable, t, day(t) > 12 AS d, false AS m, true AS s FROM o
+      UNION ALL SELECT 'us', t, false, day(t) > 12, true FROM o
+      UNION ALL SELECT 'iso', t, false, false, false FROM o
+      UNION ALL SELECT 'digits', NULL, false, false, false FROM o
+      UNION ALL SELECT 'mostly_eu', CASE WHEN k % 10 > 0 THEN t WHEN day(t) <= 12 THEN make_timestamp(year(t), day(t), month(t), 0, 0, 0) END,
+                       k % 10 > 0 AND day(t) > 12, k % 10 = 0 AND day(t) > 12, true FROM o),
+v AS (SELECT variable, count(*) AS rows, count(*) FILTER (WHERE s) AS slashed, count(*) FILTER (WHERE d) > count(*) FILTER (WHERE m) AS day_first,
+             count(t) AS parsed, min(t) AS a, max(t) AS b, CAST(sum(epoch(t)) AS BIGINT) AS seconds FROM x GROUP BY variable)
+SELECT variable, rows, slashed, day_first, parsed, strftime(a, '%Y-%m-%dT%H:%M:%SZ') AS earliest, strftime(b, '%Y-%m-%dT%H:%M:%SZ') AS latest, seconds FROM v
+"""
+
+
+@query("timestamps_by_vote", _VOTED_SQL)
+def timestamps_by_vote(spark, sf_dir):
+    """Order dates in columns of both orders; each column's values settle its own, digits that are no date cost no parse."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").cast("date").alias("t"))
+    us, eu = F.date_format("t", "M/d/yyyy"), F.date_format("t", "d/M/yyyy")
+    wide = o.select(eu.alias("eu"), us.alias("us"), F.date_format("t", "yyyy-MM-dd").alias("iso"), F.date_format("t", "yyyyMM").alias("digits"),
+                    F.when(F.col("o_orderkey") % 10 == 0, us).otherwise(eu).alias("mostly_eu"))
+    long = wide.unpivot([], wide.columns, "variable", "value")
+    votes = DT.order_votes(long, ["variable"]).select("variable", "slashed")
+    parsed = DT.parse_by_vote(long, ["variable"]).groupBy("variable", "day_first").agg(
+        F.count("*").alias("rows"), F.count("ts").alias("parsed"), iso_utc(F.min("ts")).alias("earliest"),
+        iso_utc(F.max("ts")).alias("latest"), F.sum(F.unix_timestamp("ts")).alias("seconds"))
+    return parsed.join(votes, "variable")
+
+
 @query("timestamp_explicit_format", """
 SELECT o_orderkey, strftime(try_strptime(raw_text, '%m/%d/%Y %H:%M'), '%Y-%m-%dT%H:%M:%SZ') AS iso
 FROM (SELECT o_orderkey, strftime(o_orderdate, '%m/%d/%Y %H:%M') AS raw_text FROM orders)
