@@ -12,7 +12,7 @@ from tidepool.functions.text import clean_text, fill_text
 from tidepool.operators import dates as DT
 from tidepool.operators import profile as P
 from tidepool.plans import query
-from tidepool.session import read_table
+from tidepool.session import read_table, stored
 
 # DuckDB twins of the library expressions, used by the oracles only.
 SQL_WS = r"[\t\n\x0B\f\r\x{85}\pZ]"
@@ -183,7 +183,7 @@ def timestamps_by_vote(spark, sf_dir):
     us, eu = F.date_format("t", "M/d/yyyy"), F.date_format("t", "d/M/yyyy")
     wide = o.select(eu.alias("eu"), us.alias("us"), F.date_format("t", "yyyy-MM-dd").alias("iso"), F.date_format("t", "yyyyMM").alias("digits"),
                     F.when(F.col("o_orderkey") % 10 == 0, us).otherwise(eu).alias("mostly_eu"))
-    long = wide.unpivot([], wide.columns, "variable", "value")
+    long = stored(wide.unpivot([], wide.columns, "variable", "value"))  # read by the votes and by the parse
     votes = DT.order_votes(long, ["variable"]).select("variable", "slashed")
     parsed = DT.parse_by_vote(long, ["variable"]).groupBy("variable", "day_first").agg(
         F.count("*").alias("rows"), F.count("ts").alias("parsed"), iso_utc(F.min("ts")).alias("earliest"),
