@@ -158,9 +158,11 @@ def typed_long(df: DataFrame, ids: list[str]) -> DataFrame:
     return long.withColumn("kind", F.element_at(lookup, F.col("variable")))
 
 
-def classify(long: DataFrame, keys: list[str]) -> DataFrame:
+def classify(long: DataFrame, keys: list[str], totals: DataFrame | None = None) -> DataFrame:
     """T5 + N2: ``keys + (variable, class)`` of long data with kinds, in one aggregate over all datasets.
 
+    ``totals`` (``keys + rows``) tells how many rows there are where long data lacks cells.
+
     In this order: temporal (named like a time, no number type, more than half of the values parse, and
     all years are plausible), numeric (by type, or every value converts, or more than half of the rows do),
     else categorical; booleans are categorical.
@@ -173,6 +175,9 @@ def classify(long: DataFrame, keys: list[str]) -> DataFrame:
     agg = long.groupBy(*keys, "variable", "kind").agg(
         F.count(F.lit(1)).alias("rows"), F.count(v).alias("values"), F.count(to_number(v)).alias("numbers"),
         F.count(t).alias("times"), F.min(F.year(t)).alias("y0"), F.max(F.year(t)).alias("y1"))
+    if totals is not None:
+        known = totals.select(*(F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)), F.col("rows").alias("_rows"))
+        agg = agg.join(known, [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]).withColumn("rows", F.col("_rows"))
     temporal = ((F.col("times") > 0) & (F.col("times") / F.col("values") > 0.5) & (F.col("y0") >= fixed.MIN_PLAUSIBLE_YEAR)
                 & (F.col("y1") <= fixed.MAX_PLAUSIBLE_YEAR))
     numeric = (F.col("kind") == "number") | ((F.col("kind") == "text") & (
@@ -194,7 +199,7 @@ def profile_files(datasets: dict[str, DataFrame]) -> DataFrame:
         longs, files = (long, file) if longs is None else (longs.unionByName(long), files.unionByName(file))
     classes = stored(classify(longs, ["dataset"]))
     numeric = longs.join(classes.where(F.col("class") == "numeric"), ["dataset", "variable"], "left_semi")
-    numeric = numeric.select("dataset", "variable", to_number(F.col("value")).alias("value"))
+    numeric = stored(numeric.select("dataset", "variable", to_number(F.col("value")).alias("value")))  # texts are read once
     outliers = numeric_profile(numeric, ["dataset", "variable"])
     counts = classes.groupBy("dataset").agg(*(F.count_if(F.col("class") == c).alias(c) for c in ("numeric", "temporal", "categorical")))
     return grade_files(files, outliers, ["dataset"]).join(counts, "dataset")
