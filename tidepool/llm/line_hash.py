@@ -28,6 +28,7 @@ from .common import ship, table, text_hash
 
 MIN_WORDS = 1  # words of a run that is reported: all of them
 STRIDE = 12  # words of a piece at most, and words that its digest covers
+GROUP = 1 << 18  # characters of short texts that are cut together
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # multipliers of the two halves of a digest
 _CACHE: dict = {}
 
@@ -73,13 +74,22 @@ def _ranges(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cut(text: str | None, sentences: bool = True) -> tuple[np.ndarray, ...] | None:
-    """(place, start, end, words, d1, d2) of a text's units, or None without words; offsets in code points.
+    """``cut_all`` of one text, without the first column; None if it has no words."""
+    found = cut_all([text], sentences)
+    return found and found[1:]
 
-    Lines, paragraphs, then (unless only lines and paragraphs are asked for) sentences and pieces; places count on, and
-    leave one out between kinds, so that runs do not go over. A digest tells the lower-case words in order; case,
-    punctuation, spacing and kind do not tell, but pieces have digests of their own.
+
+def cut_all(texts: list[str | None], sentences: bool = True) -> tuple[np.ndarray, ...] | None:
+    """(number of the text, place, start, end, words, d1, d2) of the texts' units; offsets in code points.
+
+    Lines, paragraphs, then (unless only lines and paragraphs are asked for) sentences and pieces; places count on within
+    a text and a kind, and leave some out between kinds, so that runs do not go over. A digest tells the lower-case words
+    in order; case, punctuation, spacing and kind do not tell, but pieces have digests of their own. The texts are
+    laid out one after another, two line breaks between them, so that many short ones cost few array operations.
     """
-    cp = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4")
+    texts = [t or "" for t in texts]
+    opens = np.cumsum([0, *(len(t) + 2 for t in texts)])
+    cp = np.frombuffer("\n\n".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     is_word, is_space, low = _characters()
     word = is_word[cp]
     edge = np.flatnonzero(np.concatenate(([False], word)) != np.concatenate((word, [False])))
@@ -106,7 +116,7 @@ def cut(text: str | None, sentences: bool = True) -> tuple[np.ndarray, ...] | No
     line = np.searchsorted(breaks, starts)
     a, b = _ranges(line)
     at = solid[first_solid[line[a]]]
-    out, place = [(np.arange(len(a)), at, stop[line[a]], a, b)], len(a) + 1
+    out = [(np.zeros(len(a), np.int64), at, stop[line[a]], a, b)]
 
     # paragraphs: lines without a blank one between; those of one line with words are that line
     text_lines = np.flatnonzero(shown)
@@ -119,8 +129,7 @@ def cut(text: str | None, sentences: bool = True) -> tuple[np.ndarray, ...] | No
         pa, pb = pa[several], pb[several]
         member = group[text_lines]
         top, last = np.searchsorted(member, of_word[pa]), np.searchsorted(member, of_word[pa], "right") - 1
-        out.append((place + np.arange(len(pa)), solid[first_solid[text_lines[top]]], stop[text_lines[last]], pa, pb))
-        place += len(pa) + 1
+        out.append((np.full(len(pa), 1), solid[first_solid[text_lines[top]]], stop[text_lines[last]], pa, pb))
 
     if sentences:
         point = (cp[:-1] == 46) | (cp[:-1] == 33) | (cp[:-1] == 63)
@@ -134,64 +143,69 @@ def cut(text: str | None, sentences: bool = True) -> tuple[np.ndarray, ...] | No
             left = np.concatenate(([0], cuts))[k]
             right = np.concatenate((cuts, [len(cp) + 1]))[k]
             right = np.minimum(right, stop[line[sa]])  # not the line break itself
-            out.append((place + np.arange(len(sa)), solid[np.searchsorted(solid, left)], right, sa, sb))
-            place += len(sa) + 1
+            out.append((np.full(len(sa), 2), solid[np.searchsorted(solid, left)], right, sa, sb))
     units = [np.concatenate(x) for x in zip(*out)]
-    d = digests(units[3], units[4])
-    found = [units[0], units[1], units[2], units[4] - units[3], *d]
-    if sentences and n >= STRIDE:
+    found = [units[0], units[1], units[2], units[4] - units[3], *digests(units[3], units[4])]
+    if sentences and n > STRIDE:
         h = hashes[0]
         h = (h[:-1] * np.uint64(_ODD[0]) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)  # of two words
         least = h >> np.uint64(32) << np.uint64(32) | np.arange(n - 1, 0, -1, dtype=np.uint64)  # of equals the last is least
-        width, most = 1, min(STRIDE, n - 1)
-        while width < most:  # the least of the next ``width``
-            step = min(width, most - width)
+        width = 1
+        while width < STRIDE:  # the least of the next ``width``
+            step = min(width, STRIDE - width)
             least, width = np.minimum(least[:-step], least[step:]), width + step
-        chosen = n - 1 - (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))]
-        nxt = np.concatenate((chosen[1:], [n]))
-        chosen, nxt = chosen[chosen + STRIDE <= n], nxt[chosen + STRIDE <= n]
-        nxt = np.minimum(nxt, chosen + STRIDE)
-        more = (place + np.arange(len(chosen)), starts[chosen], ends[nxt - 1], nxt - chosen, *digests(chosen, chosen + STRIDE, 1))
+        own = np.searchsorted(opens, starts, "right")
+        inside = own[: len(least)] == own[STRIDE:]  # windows within one text
+        chosen = n - 1 - (least[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        chosen = chosen[np.diff(chosen, prepend=-1) != 0]
+        until = np.searchsorted(own, own[chosen], "right")  # the end of the text
+        nxt = np.minimum(np.concatenate((chosen[1:], [n])), np.minimum(until, chosen + STRIDE))
+        fits = chosen + STRIDE <= until
+        chosen, nxt = chosen[fits], nxt[fits]
+        more = (np.full(len(chosen), 3), starts[chosen], ends[nxt - 1], nxt - chosen, *digests(chosen, chosen + STRIDE, 1))
         found = [np.concatenate(x) for x in zip(found, more)]
-    return tuple(found)
+    kind, at, to = found[:3]
+    text = np.searchsorted(opens, at, "right") - 1
+    first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (kind[1:] != kind[:-1]))))
+    rank = np.arange(len(text)) - np.repeat(first, np.diff(np.concatenate((first, [len(text)]))))
+    return text, (kind << 29) + rank, at - opens[text], to - opens[text], *found[3:]
 
 
 def units(docs: DataFrame, id_col: str, text_col: str, unit: str) -> DataFrame:
-    """(id, text_hash, idx, at, to, words, d1, d2): a row for each unit, its digest of 128 bits in two numbers."""
+    """(id, text_hash, spot, mark, d1, d2): a row for each unit; spot packs start and end, mark the place and the words."""
     import pyarrow as pa
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, text_hash bigint, idx int, at int, to int, words int, d1 bigint, d2 bigint"
-    names = ["id", "text_hash", "idx", "at", "to", "words", "d1", "d2"]
     if unit not in ("line", "sentence"):
         raise ValueError(f"unit {unit}")
     ship(docs.sparkSession)
 
-    def batch(part, rows, held):
-        of = np.repeat(rows, [len(x[0]) for x in held])
-        cols = [np.concatenate(x) for x in zip(*held)]
-        arrays = [pa.array(c.astype(np.int32)) for c in cols[:4]] + [pa.array(c.astype(np.int64, copy=False)) for c in cols[4:]]
-        own = [part.column(k).take(pa.array(of)) for k in (0, 2)]
-        return pa.RecordBatch.from_arrays([*own, *arrays], names=names)
+    def rows(part, first, texts):
+        found = cut_all(texts, unit == "sentence")
+        if not found:
+            return
+        of, place, at, to, words, d1, d2 = found
+        for k in range(0, len(of), 1 << 17):
+            s = slice(k, k + (1 << 17))
+            own = [part.column(c).take(pa.array(of[s] + first)) for c in (0, 2)]
+            cols = [at[s] << 32 | to[s], place[s] << 32 | words[s], d1[s], d2[s]]
+            yield pa.RecordBatch.from_arrays([*own, *map(pa.array, cols)], names=["id", "text_hash", "spot", "mark", "d1", "d2"])
 
     def run(batches):
         for part in batches:
-            rows, held, weight = [], [], 0
+            first, held, weight = 0, [], 0
             for k in range(part.num_rows):
-                found = cut(part.column(1)[k].as_py(), unit == "sentence")
-                if found:
-                    rows.append(k)
-                    held.append(found)
-                    weight += len(found[0])
-                if weight > 1 << 17:
-                    yield batch(part, rows, held)
-                    rows, held, weight = [], [], 0
+                text = part.column(1)[k].as_py()
+                if held and weight + len(text or "") > GROUP:
+                    yield from rows(part, first, held)
+                    first, held, weight = k, [], 0
+                held.append(text)
+                weight += len(text or "")
             if held:
-                yield batch(part, rows, held)
+                yield from rows(part, first, held)
 
     picked = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), text_hash(text_col))
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(run, f"id {kind}, text_hash bigint, spot bigint, mark bigint, d1 bigint, d2 bigint")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
@@ -206,11 +220,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     digest on the other side, which adaptive execution splits; what remains is grouped by document.
     """
     own = units(docs, id_col, text_col, unit)
-    place = F.struct(F.isnull("id").alias("u"), F.col("id"), F.col("text_hash"), F.col("at"))
+    place = F.struct(F.isnull("id").alias("u"), F.col("id"), F.col("text_hash"), F.col("spot"))
     first = own.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     first = stored(first.select(F.col("d1").alias("f1"), F.col("d2").alias("f2"), "first"))  # so that the join can split
     met = own.join(first, (F.col("d1") == F.col("f1")) & (F.col("d2") == F.col("f2")))
-    again = met.where(~F.col("first").eqNullSafe(place))
+    low = F.lit((1 << 32) - 1)
+    again = met.where(~F.col("first").eqNullSafe(place)).select(
+        "id", "text_hash", "first", F.shiftright("spot", 32).cast("int").alias("at"), F.col("spot").bitwiseAND(low).cast("int").alias("to"),
+        F.shiftright("mark", 32).cast("int").alias("idx"), F.col("mark").bitwiseAND(low).alias("words"))
     doc = Window.partitionBy("id", "text_hash").orderBy("idx")
     runs = again.withColumn("run", F.col("idx") - F.dense_rank().over(doc)).groupBy("id", "text_hash", "run").agg(
         F.min("at").alias("start"), F.max("to").alias("end"), (F.max("idx") - F.min("idx") + 1).cast("bigint").alias("n_units"),
