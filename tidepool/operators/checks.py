@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.headers import normalize_header
 from tidepool.functions.numeric import out_of_range, to_number
+from tidepool.session import stored
 
 def _fmt_bound(c: Column) -> Column:
     return c.cast("double").cast("string")
@@ -155,6 +156,37 @@ def report(checks: DataFrame, keys: list[str], file_col: str = "file") -> DataFr
     )
 
 
+FILES_A_ROW = 1000  # files in one row of a nested report
+
+
+def file_verdicts(checks: DataFrame, keys: list[str], file_col: str = "file") -> DataFrame:
+    """A17 per file: ``keys, file, passed, checks``, the checks in report order as an array (as long as the rules are many)."""
+    one = F.struct(_seq(F.col("check")).alias("seq"), "check", "passed", "detail")
+    listed = F.transform(F.array_sort(F.collect_list(one)), lambda x: F.struct(x["check"].alias("check"), x["passed"].alias("passed"), x["detail"].alias("detail")))
+    return checks.groupBy(*keys, file_col).agg(F.bool_and("passed").alias("passed"), listed.alias("checks"))
+
+
+def nested_report(checks: DataFrame, keys: list[str], file_col: str = "file", files_a_row: int = FILES_A_ROW) -> DataFrame:
+    """A17 + S7: ``keys, part, summary, all_passed, files``, the report of a dataset with its files and their checks nested.
+
+    A dataset of more than ``files_a_row`` files has a row for each part of about so many, dealt by the file's name, so no row
+    grows with a dataset; summary and verdict are the whole dataset's in each. Files stand in order of name.
+    """
+    files = file_verdicts(checks, keys, file_col)
+    totals = stored(report(checks, keys, file_col).select(*(F.col(k).alias(f"_r_{k}") for k in keys), F.col("files").alias("_files"), "summary", "all_passed"))
+    both = files.join(totals, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    part = F.pmod(F.xxhash64(file_col), F.ceil(F.col("_files") / files_a_row)).cast("int")
+    nested = F.array_sort(F.collect_list(F.struct(F.col(file_col).alias("file"), F.col("passed"), F.col("checks"))))
+    return both.groupBy(*keys, part.alias("part"), "summary", "all_passed").agg(nested.alias("files"))
+
+
+def flat_report(nested: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, file, file_passed, place, check, passed, detail`` of a nested report."""
+    files = nested.select(*keys, F.explode("files").alias("f"))
+    rows = files.select(*keys, F.col("f.file").alias("file"), F.col("f.passed").alias("file_passed"), F.posexplode("f.checks").alias("place", "c"))
+    return rows.select(*keys, "file", "file_passed", "place", "c.check", "c.passed", "c.detail")
+
+
 # --- Fixed values: check order in a file's report ----------------------------
 CHECK_ORDER = ("file_exists", "encoding", "utf8_readable", "parseable", "no_empty_rows", "required_column_",
                "range_", "no_duplicates")

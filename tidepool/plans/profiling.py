@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators import profile as P
-from tidepool.plans import query
+from tidepool.plans import query, sql_over
 from tidepool.session import read_table
 
 LINEITEM_NUMS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -55,6 +55,24 @@ def numeric_profile(spark, sf_dir):
     return P.numeric_profile(_numeric_long(spark, sf_dir), ["dataset", "variable"])
 
 
+_INFINITE = """SELECT l_returnflag, CASE WHEN l_orderkey % 97 = 0 THEN CAST('Infinity' AS DOUBLE)
+  WHEN l_orderkey % 101 = 0 THEN CAST('-Infinity' AS DOUBLE) ELSE l_extendedprice END AS price FROM lineitem"""
+
+
+@query("numeric_profile_with_inf", f"""
+WITH t AS ({_INFINITE}),
+q AS (SELECT l_returnflag, quantile_cont(price, 0.25) AS a, quantile_cont(price, 0.5) AS m, quantile_cont(price, 0.75) AS b FROM t GROUP BY l_returnflag)
+SELECT l_returnflag, count(*) AS total, count(price) AS valid, min(price) AS min, round(a, 4) AS p25, round(m, 4) AS median, round(b, 4) AS p75,
+       max(price) AS max, round(b - a, 4) AS iqr, count(*) FILTER (WHERE price < a - 1.5 * (b - a) OR price > b + 1.5 * (b - a)) AS outliers
+FROM t JOIN q USING (l_returnflag) GROUP BY l_returnflag, a, m, b
+""")
+def numeric_profile_with_inf(spark, sf_dir):
+    """A8 + P9 of prices with infinities of both signs: they count, rank and are outliers, and leave the quartiles finite."""
+    t = sql_over(spark, sf_dir, _INFINITE, ["lineitem"])
+    out = P.numeric_profile(P.to_long(t, ["price"], ["l_returnflag"]), ["l_returnflag"])
+    return out.select("l_returnflag", "total", "valid", "min", "p25", "median", "p75", "max", "iqr", "outliers")
+
+
 # ------------------------------------------------------------ by group -------
 @query("numeric_profile_by_group", """
 WITH s AS (
@@ -208,6 +226,16 @@ def gap_analysis_by_group(spark, sf_dir):
     return ga(ev, ["user_id"], F.col("ts"))
 
 
+@query("gap_analysis_sentinel", _gap_sql(None, "CASE event_id % 1000 WHEN 0 THEN -2208988800000000 WHEN 1 THEN 32503680000000000 ELSE epoch_us(ts) END"))
+def gap_analysis_sentinel(spark, sf_dir):
+    """W1 + A11 with stray dates of 1900 and 3000 among the times: two great gaps, all others as they were."""
+    from tidepool.operators.gaps import gap_analysis as ga
+
+    k, ts = F.col("event_id") % 1000, F.col("ts").cast("timestamp")
+    stray = F.when(k == 0, F.timestamp_micros(F.lit(-2208988800000000))).when(k == 1, F.timestamp_micros(F.lit(32503680000000000)))
+    return ga(read_table(spark, sf_dir, "events"), [], F.coalesce(stray, ts))
+
+
 @query("gap_analysis_ties", _gap_sql(None, "CAST(floor(epoch_us(ts) / 600000000.0) * 600000000 AS BIGINT)"))
 def gap_analysis_ties(spark, sf_dir):
     """W1 + A11 with times floored to 10 minutes (many repeats, median gap 0)."""

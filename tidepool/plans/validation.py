@@ -202,6 +202,33 @@ def validation_report(spark, sf_dir):
 
 
 
+@query("nested_report", f"""
+WITH req AS ({_REQUIRED_SQL}), rng AS ({_RANGE_SQL}),
+checks AS (SELECT 'conversations' AS dataset, CAST(file AS VARCHAR) AS file, "check", passed, detail FROM req
+           UNION ALL SELECT 'lineitem', file, "check", passed, detail FROM rng),
+t AS (SELECT dataset, printf('%d/%d checks passed across %d files', count(*) FILTER (WHERE passed), count(*), count(DISTINCT file)) AS summary,
+             bool_and(passed) AS all_passed FROM checks GROUP BY dataset)
+SELECT dataset, file, bool_and(passed) OVER (PARTITION BY dataset, file) AS file_passed,
+       CAST(row_number() OVER (PARTITION BY dataset, file ORDER BY "check") - 1 AS INT) AS place, "check", passed, detail, summary, all_passed
+FROM checks JOIN t USING (dataset)
+""")
+def nested_report(spark, sf_dir):
+    """A17 + S7: checks in files in datasets, written as JSON by dataset, read back and flattened."""
+    import uuid
+
+    from tidepool.session import checkpoint_dir
+    from tidepool.sources.text_tables import write_json_report
+
+    req = required_columns(spark, sf_dir).select(F.lit("conversations").alias("dataset"), F.col("file").cast("string").alias("file"), "check", "passed", "detail")
+    rng = value_ranges(spark, sf_dir).select(F.lit("lineitem").alias("dataset"), "file", "check", "passed", "detail")
+    nested = C.nested_report(req.unionByName(rng), ["dataset"])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    write_json_report(nested, path, partition_by=["dataset"])
+    back = spark.read.schema(nested.schema).json(path)
+    totals = back.select("dataset", "summary", "all_passed").distinct()
+    return C.flat_report(back, ["dataset"]).join(totals, "dataset")
+
+
 @query("first_errors", f"""
 WITH req AS ({_REQUIRED_SQL})
 SELECT file, "check", detail FROM req WHERE NOT passed ORDER BY file, "check" LIMIT 5

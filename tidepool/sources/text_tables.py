@@ -194,6 +194,7 @@ def write_csv(df: DataFrame, path: str, line_ending: str = "unix", na: str = "",
     w.csv(path)
 
 
-def write_json_report(df: DataFrame, path: str) -> None:
+def write_json_report(df: DataFrame, path: str, partition_by=None) -> None:
     """Nested report rows as JSON lines (Parquet stays the primary form)."""
-    df.write.mode("overwrite").json(path)
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).json(path)
