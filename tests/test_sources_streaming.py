@@ -166,3 +166,22 @@ def test_stream_validation_report(spark):
     q.awaitTermination(120)
     got = {r.file: (r.rows, r.short_rows, r.long_rows, r.parseable) for r in spark.read.parquet(out).collect()}
     assert got == {"good.csv": (2, 0, 0, True), "ragged.csv": (2, 1, 1, False)}
+
+
+def test_stream_by_each_files_header(spark):
+    from tidepool.streaming.cleaning import start_cleaning_by_name
+
+    landing, out, name = _dir(spark, "landing-n"), _dir(spark, "clean-n"), uuid.uuid4().hex
+    os.makedirs(landing)
+    with open(f"{landing}/a.csv", "w") as f:
+        f.write('Station,Note,Date\nS1,"said ""x"", and\nmore",7/18/2021\n')
+    with open(f"{landing}/b.csv", "w") as f:
+        f.write("Date,Station\n2021-07-19,S2\n")
+    run = lambda: start_cleaning_by_name(spark, landing, ["Station", "Note", "Date"], out, name, max_files_per_trigger=1).awaitTermination(120)
+    run()
+    with open(f"{landing}/c.csv", "w") as f:
+        f.write("Note,Date,Station\nn,07/20/2021,S3\n")
+    run()  # only the new file
+    got = {(r.station, r.note or None, r.date) for r in spark.read.parquet(out).collect()}
+    assert got == {("S1", 'said "x", and\nmore', "2021-07-18T00:00:00Z"), ("S2", None, "2021-07-19T00:00:00Z"), ("S3", "n", "2021-07-20T00:00:00Z")}
+    assert spark.read.parquet(out).count() == 3
