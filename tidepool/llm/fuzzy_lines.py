@@ -23,6 +23,8 @@ BANDS, ROWS = 14, 5
 SIMILARITY = 0.8
 BITS = 1 << 26  # of the map that marks lines with a neighbour in some bucket: 8 MB
 BLOCK = 1000  # lines of a bucket that are compared in one place; larger buckets are compared block by block
+STRETCH = 1 << 17  # characters that are hashed at once
+REMEMBERED = 1 << 19  # lines after which a task forgets those that it has banded; equal ones then go twice
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,7 +57,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, line) of every shingle of some lines; a line shorter than a shingle is one."""
+    """(hash, line) of every shingle of some lines, line by line; a line shorter than a shingle is one."""
     size = np.array([len(s) for s in lines])
     pad = np.maximum(size, SHINGLE)
     chars = np.frombuffer("".join(s.ljust(SHINGLE, "\0") for s in lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -63,54 +65,83 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     n = len(chars) - SHINGLE + 1
     h = np.zeros(n, np.uint64)
     for k in range(SHINGLE):
-        h = h * np.uint64(0x100000001B3) + chars[k : k + n]
+        h *= np.uint64(0x100000001B3)
+        h += chars[k : k + n]
     inside = owner[:n] == owner[SHINGLE - 1 :]
     return _mixed(h[inside]), owner[:n][inside]
 
 
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The different shingle hashes of each line, ascending; all lines are hashed at once."""
+    h, owner = shingle_hashes(lines)
+    at = np.searchsorted(owner, np.arange(len(lines) + 1)).tolist()
+    out = []
+    for a, b in zip(at, at[1:]):
+        x = np.sort(h[a:b])
+        out.append(x[np.concatenate(([True], x[1:] != x[:-1]))])
+    return out
+
+
 def band_keys(lines: list[str]) -> np.ndarray:
     """A row of BANDS keys for each line."""
     bins = BANDS * ROWS
     h, owner = shingle_hashes(lines)
     none = np.uint64(0xFFFFFFFFFFFFFFFF)
     least = np.full(len(lines) * bins, none)
-    np.minimum.at(least, owner * bins + (h % np.uint64(bins)).astype(np.int64), h)
+    slot = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    slot += owner * bins
+    np.minimum.at(least, slot, h)
     least = least.reshape(len(lines), bins)
-    for _ in range(bins):  # an empty bin takes what the next one has, and how far it lies
-        empty = least == none
-        if not empty.any():
-            break
-        nxt = np.roll(least, -1, axis=1)
-        least = np.where(empty & (nxt != none), _mixed(nxt + np.uint64(1)), least)
+    # an empty bin takes what the next full one has, and how far it lies
+    short = np.flatnonzero((least == none).any(axis=1))
+    if len(short):
+        part = least[short]
+        place = np.where(part == none, 2 * bins, np.arange(bins))
+        ahead = np.concatenate((place, place + bins), axis=1)
+        ahead = np.minimum.accumulate(ahead[:, ::-1], axis=1)[:, ::-1][:, :bins]
+        steps = (ahead - np.arange(bins)).astype(np.uint64)
+        borrowed = np.take_along_axis(part, ahead % bins, axis=1)
+        least[short] = np.where(steps > 0, _mixed(borrowed + steps), borrowed)
     key = np.zeros((len(lines), BANDS), np.uint64)
     for k in range(ROWS):
         key = _mixed(key * np.uint64(0x100000001B3) + least[:, k::ROWS])
     return (key + np.arange(BANDS, dtype=np.uint64) * _MUL).view(np.int64)
 
 
-def _bands(rows):
+def _bands(batches):
+    """Arrow batches of (key, id): the bands of every line, once for equal lines as long as a task remembers them."""
+    import pyarrow as pa
+
     def out(group):
-        ids = list(group)
-        keys = band_keys([group[i] for i in ids])
-        for i, row in zip(ids, keys.tolist()):
-            for k in row:
-                yield k, i
-
-    held, size = {}, 0
-    for (text,) in rows:
-        for _, _, norm in lines_of(text):
-            held[line_id(norm)] = norm
-            size += len(norm)
-        if size > 1 << 19:
-            yield from out(held)
-            held, size = {}, 0
+        ids = np.fromiter(group, np.int64, len(group))
+        keys = band_keys(list(group.values()))
+        return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, BANDS))], ["key", "id"])
+
+    seen, held, size = set(), {}, 0
+    for batch in batches:
+        for text in batch.column(0):
+            for _, _, norm in lines_of(text.as_py()):
+                i = line_id(norm)
+                if i in seen:
+                    continue
+                seen.add(i)
+                held[i] = norm
+                size += len(norm)
+                if size > STRETCH:
+                    yield out(held)
+                    held, size = {}, 0
+            if len(seen) > REMEMBERED:
+                seen.clear()
     if held:
-        yield from out(held)
+        yield out(held)
 
 
 def link_lines(lines: list[tuple[int, str]], threshold: float) -> list[tuple[int, int]]:
     """Links that join what is similar in one bucket of different lines, searching on from each line found."""
-    sets = {i: np.unique(shingle_hashes([s])[0]) for i, s in lines}
+    return _linked(dict(zip((i for i, _ in lines), shingle_sets([s for _, s in lines]))), threshold)
+
+
+def _linked(sets: dict, threshold: float) -> list[tuple[int, int]]:
     left, links = list(sets), []
     while len(left) > 1:
         todo, left = [left[0]], left[1:]
@@ -135,14 +166,26 @@ def link_lines(lines: list[tuple[int, str]], threshold: float) -> list[tuple[int
 
 def _compared(threshold: float):
     def run(rows):
-        """Sorted by bucket; one bucket (or pair of blocks) is held at a time."""
-        now, held = None, []
+        """Sorted by bucket; whole buckets (or pairs of blocks) are held until they fill a stretch, and hashed together."""
+
+        def links(buckets):
+            norms = {i: norm for bucket in buckets for i, norm in bucket}
+            sets = dict(zip(norms, shingle_sets(list(norms.values()))))
+            for bucket in buckets:
+                yield from _linked({i: sets[i] for i, _ in bucket}, threshold)
+
+        now, buckets, size = None, [], 0
         for key, p, q, i, norm in rows:
             if (key, p, q) != now:
-                yield from link_lines(held, threshold)
-                now, held = (key, p, q), []
-            held.append((i, norm))
-        yield from link_lines(held, threshold)
+                if size > STRETCH:
+                    yield from links(buckets)
+                    buckets, size = [], 0
+                now = key, p, q
+                buckets.append([])
+            buckets[-1].append((i, norm))
+            size += len(norm)
+        if buckets:
+            yield from links(buckets)
 
     return run
 
@@ -161,13 +204,16 @@ def similar_links(docs: DataFrame, text_col: str = "text", threshold: float = SI
     """(src, dst) links that join all lines found similar, by line id."""
     ship(docs.sparkSession)
     text = docs.select(F.col(f"`{text_col}`").alias("t"))
-    bands = map_rows(text, _bands, "key bigint, id bigint").where("key IS NOT NULL")  # as the join below would add to one side only
-    dealt = bands.repartition("key").distinct()  # one shuffle
-    buckets = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"),
-                                       F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("all"))
-    buckets = buckets.where("n > 1").groupBy("n", "lo", "hi", "all").agg(F.min("key").alias("bucket"))
-    # in one job with the counting, so that both read one shuffle of the bands
-    members = cut_lineage(dealt.join(buckets.select("bucket", "n"), F.col("key") == F.col("bucket")).select("key", "n", "id"))
+    dealt = text.mapInArrow(_bands, "key bigint, id bigint").where("key IS NOT NULL")  # as the join below would add to one side only
+    dealt = dealt.repartition("key")  # one shuffle, read by the aggregate and by the join; a task sends a line's bands once
+    several = dealt.groupBy(F.col("key").alias("bucket")).agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    # an inner join: under a semi join Spark plans a second, different shuffle of the bands
+    members = dealt.join(several.select("bucket").hint("shuffle_hash"), F.col("key") == F.col("bucket"))
+    members = cut_lineage(members.groupBy("key", "id").agg(F.lit(1).alias("one")).drop("one"))
+    buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"),
+                                         F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("all"))
+    buckets = stored(buckets.groupBy("n", "lo", "hi", "all").agg(F.min("key").alias("bucket")))
+    members = cut_lineage(members.join(buckets.select("bucket", "n"), F.col("key") == F.col("bucket")).select("key", "n", "id"))
     wanted = members.select(F.col("id").alias("w")).distinct()
     marked = _marked(wanted)
 
@@ -209,7 +255,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield i, h, k, a, b, line_id(norm)
 
     picked = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), text_hash(text_col))
-    lines = map_rows(picked, run, f"id {kind}, text_hash bigint, line_no int, start int, end int, lid bigint")
+    lines = stored(map_rows(picked, run, f"id {kind}, text_hash bigint, line_no int, start int, end int, lid bigint"))  # numbers alone
     place = F.struct(F.isnull("id").alias("u"), F.col("id"), F.col("text_hash"), F.col("line_no"))
     # each different line's earliest place, then each class's; both combine before they shuffle
     firsts = cut_lineage(lines.groupBy("lid").agg(F.min(place).alias("first")))
