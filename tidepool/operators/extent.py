@@ -61,3 +61,17 @@ def coverage(df: DataFrame, keys: list[str], lat: str | None, lon: str | None, d
     agg = df.groupBy(*keys).agg(*aggs)
     return agg.select(*keys, *[c for c in agg.columns if c.startswith("geospatial")],
                       iso_utc(F.col("_t0")).alias("time_coverage_start"), iso_utc(F.col("_t1")).alias("time_coverage_end"))
+
+
+# --- Fixed values: units of the coverage attributes ---
+COVERAGE_UNITS = {
+    "geospatial_lat": {"units": "degrees_north"},
+    "geospatial_lon": {"units": "degrees_east"},
+    "geospatial_vertical": {"units": "m", "positive": "down"},
+}
+
+
+def with_units(covered: DataFrame) -> DataFrame:
+    """The units of each axis that :func:`coverage` found a range for, and which way depth counts."""
+    return covered.withColumns({f"{axis}_{k}": F.when(F.col(f"{axis}_min").isNotNull(), F.lit(v))
+                                for axis, attrs in COVERAGE_UNITS.items() for k, v in attrs.items()})

@@ -142,3 +142,70 @@ def write_manifest(spark: SparkSession, path: str, files: DataFrame, info: DataF
     snap = os.path.join(path, "files", f"v={version}")
     files.write.mode("overwrite").parquet(snap)
     return snap
+
+
+class SnapshotConflict(RuntimeError):
+    """Another writer published the same version first."""
+
+
+def _published(spark: SparkSession, path: str) -> dict[int, str]:
+    """Version -> folder of each published snapshot: one small file a version, its first line names the folder."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        marks = spark.read.text(f"{path}/published").select(F.col("_metadata.file_name").alias("v"), "value").collect()
+    except AnalysisException:
+        return {}
+    return {int(r["v"]): r["value"] for r in marks if r["v"].isdigit()}
+
+
+def _publish(spark: SparkSession, path: str, version: int, folder: str) -> None:
+    """Create the version's file; creating it without leave to overwrite is the one step that decides who wins."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/published/{version}")
+    fs = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(mark, False)
+    except Exception as e:  # the gateway wraps whatever the file system raises
+        if fs.exists(mark):
+            raise SnapshotConflict(f"version {version} of {path} is published already") from e
+        raise
+    out.write(bytearray(folder.encode()))
+    out.close()
+
+
+def publish_manifest(spark: SparkSession, path: str, files: DataFrame, info: DataFrame | None = None,
+                     base: int | None = None) -> int:
+    """S10, atomic: write a snapshot apart, then publish it under the next version; returns the version.
+
+    Keys of the snapshot it follows (``base``, by default the newest) are kept unless ``info`` has them; ``files`` is replaced, totals
+    are added. ``files`` and ``info`` go to a folder of their own; readers see them only through the version's
+    file, which is made last, so a failure in between leaves nothing to see. Of two writers that follow
+    the same snapshot one publishes and the other gets :class:`SnapshotConflict`, and may try again.
+    """
+    import uuid
+
+    done = _published(spark, path)
+    base = max(done, default=0) if base is None else base
+    folder = f"snapshot-{uuid.uuid4().hex}"
+    files.write.parquet(f"{path}/{folder}/files")
+    written = spark.read.parquet(f"{path}/{folder}/files")
+    tot = totals(written)
+    kv = tot.select(F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.coalesce(F.col(c), F.lit(0)).cast("string").alias("value"))
+                                        for c in tot.columns])).alias("kv")).select("kv.*")
+    new = kv if info is None else info.select("key", "value").unionByName(kv)
+    if base:
+        old = spark.read.parquet(f"{path}/{done[base]}/info")
+        new = new.unionByName(old.join(new.select("key"), "key", "left_anti"))
+    new.write.parquet(f"{path}/{folder}/info")
+    _publish(spark, path, base + 1, folder)
+    return base + 1
+
+
+def read_manifest(spark: SparkSession, path: str, version: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(files, info)`` of a published snapshot, the newest unless ``version`` is given."""
+    done = _published(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no snapshot is published in {path}")
+    folder = f"{path}/{done[max(done) if version is None else version]}"
+    return spark.read.parquet(f"{folder}/files"), spark.read.parquet(f"{folder}/info")

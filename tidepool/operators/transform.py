@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from tidepool.functions.headers import keyword_columns, normalized_names
 from tidepool.functions.numeric import to_number
 from tidepool.functions.temporal import iso_utc, parse_timestamp
 from tidepool.functions.text import clean_text
+from tidepool.sources.text_tables import read_text_table, write_csv
 
 
 @dataclass(frozen=True)
@@ -52,3 +53,50 @@ def transform(df: DataFrame, cfg: TransformConfig = TransformConfig()) -> tuple[
     if cfg.na_representation is not None:
         out = {c: F.coalesce(e.cast("string"), F.lit(cfg.na_representation)) for c, e in out.items()}
     return df.select(*[e.alias(c) for c, e in out.items()]), mapping
+
+
+class RowsLost(RuntimeError):
+    """A cleaned file holds other rows or values than were sent to it."""
+
+
+def _filled(df: DataFrame, prefix: str) -> list[Column]:
+    """How many values of each column are there; texts are missing when blank or ``nan``."""
+    out = [F.count(F.lit(1)).alias("rows")]
+    for k, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        text = isinstance(f.dataType, T.StringType)
+        out.append(F.count_if(F.coalesce(clean_text(c), F.lit("")) != "" if text else c.isNotNull()).alias(f"{prefix}{k}"))
+    return out
+
+
+def transform_to_csv(raw: DataFrame, path: str, cfg: TransformConfig = TransformConfig(), line_ending: str = "unix") -> DataFrame:
+    """§3.1 + J-9: clean ``raw``, write it as CSV, read it back; the transform summary, one row a column.
+
+    ``rows_in`` and ``filled_in`` are observed on the raw side of the write itself, ``rows_out`` and ``filled_out`` on
+    its cleaned side, so raw data is read once; ``rows_back`` and ``filled_back`` come from the written files.
+    ``rejected`` counts values that were there and that the cleaning could not read. ``ok``: no row was lost on
+    the way and every value sent is in the files. The step has no shuffle, so a task that is run again counts once.
+    """
+    before, after = Observation(), Observation()
+    watched = raw.observe(before, *_filled(raw, "c"))
+    cleaned, mapping = transform(watched, cfg)
+    names = cleaned.columns
+    write_csv(cleaned.observe(after, *_filled(cleaned, "c")), path, line_ending, cfg.na_representation or "")
+    a, b = before.get, after.get
+    written = read_text_table(raw.sparkSession, path, names, multi_line=True).select(*[F.col(f"`{c}`") for c in names])
+    back = written.agg(*_filled(written, "c"))
+    rows = [F.struct(
+        F.lit(c).alias("column"), F.lit(mapping[c]).alias("header"), F.lit(c != mapping[c]).alias("renamed"),
+        F.lit(a["rows"]).alias("rows_in"), F.lit(b["rows"]).alias("rows_out"), F.col("rows").alias("rows_back"),
+        F.lit(a[f"c{k}"]).alias("filled_in"), F.lit(b[f"c{k}"]).alias("filled_out"), F.col(f"c{k}").alias("filled_back"),
+        F.lit(a[f"c{k}"] - b[f"c{k}"]).alias("rejected"),
+        ((F.col("rows") == F.lit(b["rows"])) & F.lit(a["rows"] == b["rows"]) & (F.col(f"c{k}") == F.lit(b[f"c{k}"]))).alias("ok"),
+    ) for k, c in enumerate(raw.columns)]
+    return back.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def raise_if_lost(summary: DataFrame) -> None:
+    """Raise :class:`RowsLost` naming the columns of a transform summary that are not ``ok`` (one row a column)."""
+    bad = [f"{r['header']}: {r['rows_in']} in, {r['rows_out']} out, {r['rows_back']} read back" for r in summary.where("NOT ok").collect()]
+    if bad:
+        raise RowsLost("; ".join(bad))

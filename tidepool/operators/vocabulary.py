@@ -91,12 +91,42 @@ def verify_export(spark: SparkSession, source: DataFrame, path: str, keys: list[
                     (F.coalesce(F.col("rows_written"), F.lit(0)) == F.col("rows_source")).alias("ok"))
 
 
+class ExportFailed(RuntimeError):
+    """Some output of an export is missing, empty or short."""
+
+
+def raise_if_failed(verified: DataFrame, keys: list[str], shown: int = 20) -> None:
+    """Raise :class:`ExportFailed` if any output of :func:`verify_export` is not ``ok``; the message names ``shown`` of them."""
+    bad = verified.where("NOT ok")
+    some = bad.orderBy(*keys).limit(shown).collect()
+    if some:
+        text = "; ".join(f"{', '.join(str(r[k]) for k in keys)}: {r['rows_written']} of {r['rows_source']} rows" for r in some)
+        raise ExportFailed(f"{bad.count()} outputs failed: {text}")
+
+
+def column_attributes(spark: SparkSession, path: str) -> DataFrame:
+    """S12 read back: ``(column, attribute, value)`` of the columns of a written export, lists as JSON. O(columns)."""
+    import json
+
+    rows = [(f.name, k, v if isinstance(v, str) else json.dumps(v))
+            for f in spark.read.parquet(path).schema.fields for k, v in (f.metadata or {}).items()]
+    return spark.createDataFrame(rows, "column string, attribute string, value string")
+
+
+def global_attributes(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """P13 + A16 as rows ``keys + (attribute, value)``: every other column of ``rows`` that is not null."""
+    names = [c for c in rows.columns if c not in keys]
+    pairs = F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in names])
+    return rows.select(*keys, F.explode(pairs).alias("a")).select(*keys, "a.*").where("value IS NOT NULL")
+
+
 # --- Fixed values: global attributes written with every export --------------
 GLOBAL_ATTRIBUTE_DEFAULTS = {
     "Conventions": "CF-1.8, ACDD-1.3",
     "title": "Untitled Dataset",
     "summary": "",
     "id": "",
+    "naming_authority": "",
     "source": "in-situ observations",
     "processing_level": "quality-controlled",
     "creator_type": "person",
@@ -114,7 +144,7 @@ GLOBAL_ATTRIBUTE_DEFAULTS = {
 def dataset_attributes(rows: DataFrame) -> DataFrame:
     """P13 + J1: one flat attribute row per dataset, configured values or defaults.
 
-    Input columns (optional): ``title, abstract, doi, organisation, contact_name,
+    Input columns (optional): ``title, abstract, doi, naming_authority, organisation, contact_name,
     contact_email, publisher_name, publisher_url, project, version,
     license_name, theme_keywords, place_keywords``. Clock values (creation and
     history stamps) are left to the writer, never part of compared output.
@@ -137,6 +167,7 @@ def dataset_attributes(rows: DataFrame) -> DataFrame:
         cfg("title", d["title"]).alias("title"),
         cfg("abstract", d["summary"]).alias("summary"),
         cfg("doi", d["id"]).alias("id"),
+        cfg("naming_authority", d["naming_authority"]).alias("naming_authority"),
         F.lit(d["source"]).alias("source"),
         F.lit(d["processing_level"]).alias("processing_level"),
         cfg("organisation", "").alias("institution"),

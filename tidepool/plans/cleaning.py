@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidepool.functions.headers import file_slug, normalize_header
@@ -12,7 +14,7 @@ from tidepool.functions.text import clean_text, fill_text
 from tidepool.operators import dates as DT
 from tidepool.operators import profile as P
 from tidepool.plans import query
-from tidepool.session import read_table, stored
+from tidepool.session import checkpoint_dir, read_table, stored
 
 # DuckDB twins of the library expressions, used by the oracles only.
 SQL_WS = r"[\t\n\x0B\f\r\x{85}\pZ]"
@@ -412,3 +414,36 @@ def transform_table(spark, sf_dir):
     )
     cleaned, _ = transform(t)
     return cleaned
+
+
+_SUMMARY_ROWS = (
+    ("Order  Key", "order_key", "n", "n"), ("Date/Time", "datetime", "n", "dates"), ("Priority-Code", "priority_code", "codes", "codes"),
+    ("Total Price (USD)", "total_price_usd", "n", "n"), ("Latitude (°N)", "latitude_n", "n", "lats"),
+)
+
+
+@query("transform_summary", f"""
+WITH c AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE {_PARSE_SQL} IS NOT NULL) AS dates,
+         count(*) FILTER (WHERE o_orderkey % 5 <> 0) AS codes, count(*) FILTER (WHERE o_orderkey % 11 <> 0) AS lats
+  FROM ({_RENDERED_SQL}))
+{" UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{h}' AS header, true AS renamed, n AS rows_in, n AS rows_out, n AS rows_back, {i} AS filled_in, {o} AS filled_out, {o} AS filled_back, {i} - {o} AS rejected, true AS ok FROM c" for c, h, i, o in _SUMMARY_ROWS)}
+""")
+def transform_summary(spark, sf_dir):
+    """§3.1 + J-9: raw CSV files scanned, cleaned and written; rows, values and rejects seen by the write itself and in what was written."""
+    from tidepool.operators.transform import raise_if_lost, transform_to_csv
+    from tidepool.sources.text_tables import read_text_table, write_csv
+
+    key = F.col("o_orderkey")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    t = _rendered(spark, sf_dir, corrupt=True).join(o, "o_orderkey").select(
+        key.alias("Order  Key"), F.col("raw_text").alias("Date/Time"),
+        F.when(key % 5 == 0, F.lit("nan")).otherwise(F.concat(F.lit("  "), F.col("o_orderpriority"))).alias("Priority-Code"),
+        F.col("o_totalprice").alias("Total Price (USD)"),
+        F.when(key % 11 == 0, F.lit("off the chart")).otherwise(((key * 37) % 180 - 90).cast("string")).alias("Latitude (°N)"))
+    home = f"{checkpoint_dir(spark).rstrip('/')}/transform-{uuid.uuid4().hex}"
+    write_csv(t, f"{home}/raw")
+    raw = read_text_table(spark, f"{home}/raw", t.columns).select(*[F.col(f"`{c}`") for c in t.columns])
+    summary = transform_to_csv(raw, f"{home}/processed")
+    raise_if_lost(summary)
+    return summary

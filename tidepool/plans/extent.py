@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tidepool import fixed
 from tidepool.functions.headers import normalize_header
 from tidepool.operators import extent as E
 from tidepool.operators import vocabulary as V
@@ -178,3 +179,72 @@ def export_verify(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
     V.export_observations(obs, path, partition_by=["event_type"])
     return V.verify_export(spark, obs, path, ["event_type"])
+
+
+@query("export_failures", """
+WITH e AS (SELECT event_type, event_id, dense_rank() OVER (ORDER BY event_type) AS k FROM events)
+SELECT event_type, count(*) AS rows_source, count(*) FILTER (WHERE k > 2 OR (k = 2 AND event_id % 7 <> 0)) AS rows_written,
+       count(*) = count(*) FILTER (WHERE k > 2 OR (k = 2 AND event_id % 7 <> 0)) AS ok
+FROM e GROUP BY event_type
+""")
+def export_failures(spark, sf_dir):
+    """An export that lacks all rows of the first event type and every seventh id of the second."""
+    obs = _observations(spark, sf_dir)
+    first, second = (r[0] for r in obs.select("event_type").distinct().orderBy("event_type").limit(2).collect())  # two names
+    kept = obs.where((F.col("event_type") != first) & ((F.col("event_type") != second) | (F.col("obs_id") % 7 != 0)))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    V.export_observations(kept, path, partition_by=["event_type"])
+    return V.verify_export(spark, obs, path, ["event_type"])
+
+
+def _sql(v):
+    return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)"
+
+
+_OBS_COLUMNS = (("obs_id", True), ("latitude", True), ("longitude", True), ("depth_m", True), ("time", False), ("temperature_c", True), ("comment_text", False))
+_ATTRIBUTES_SQL = f"""
+WITH v(k, key, standard_name, long_name, units, lo, hi, axis, positive, comment) AS
+  (VALUES {", ".join("(" + str(i) + ", " + ", ".join(_sql(x) for x in row) + ")" for i, row in enumerate(fixed.VOCABULARY))}),
+c(name, numeric) AS (VALUES {", ".join(f"('{n}', {'true' if b else 'false'})" for n, b in _OBS_COLUMNS)}),
+hit AS (SELECT c.name, c.numeric, v.* FROM c LEFT JOIN v ON c.numeric AND contains(c.name, v.key)
+        QUALIFY row_number() OVER (PARTITION BY c.name ORDER BY v.k) = 1),
+a AS (
+  SELECT name AS "column", 'long_name' AS attribute, coalesce(long_name, name) AS value FROM hit
+  UNION ALL SELECT name, 'standard_name', standard_name FROM hit UNION ALL SELECT name, 'units', units FROM hit
+  UNION ALL SELECT name, 'axis', axis FROM hit UNION ALL SELECT name, 'positive', positive FROM hit
+  UNION ALL SELECT name, 'comment', comment FROM hit
+  UNION ALL SELECT name, 'valid_min', CAST(lo AS VARCHAR) FROM hit UNION ALL SELECT name, 'valid_max', CAST(hi AS VARCHAR) FROM hit
+  UNION ALL SELECT name, 'valid_range', '[' || lo || ', ' || hi || ']' FROM hit
+  UNION ALL SELECT name, '_FillValue', '-999.0' FROM hit WHERE numeric),
+g AS (SELECT * FROM ({_COVERAGE_SQL})),
+w AS (
+  SELECT event_type, 'geospatial_lat_min' AS attribute, CAST(geospatial_lat_min AS VARCHAR) AS value FROM g
+  UNION ALL SELECT event_type, 'geospatial_lat_max', CAST(geospatial_lat_max AS VARCHAR) FROM g
+  UNION ALL SELECT event_type, 'geospatial_lat_units', 'degrees_north' FROM g
+  UNION ALL SELECT event_type, 'geospatial_lon_min', CAST(geospatial_lon_min AS VARCHAR) FROM g
+  UNION ALL SELECT event_type, 'geospatial_lon_max', CAST(geospatial_lon_max AS VARCHAR) FROM g
+  UNION ALL SELECT event_type, 'geospatial_lon_units', 'degrees_east' FROM g
+  UNION ALL SELECT event_type, 'geospatial_vertical_min', CAST(geospatial_vertical_min AS VARCHAR) FROM g
+  UNION ALL SELECT event_type, 'geospatial_vertical_max', CAST(geospatial_vertical_max AS VARCHAR) FROM g
+  UNION ALL SELECT event_type, 'geospatial_vertical_units', 'm' FROM g
+  UNION ALL SELECT event_type, 'geospatial_vertical_positive', 'down' FROM g
+  UNION ALL SELECT event_type, 'time_coverage_start', time_coverage_start FROM g
+  UNION ALL SELECT event_type, 'time_coverage_end', time_coverage_end FROM g)
+SELECT event_type, "column", attribute, value FROM a, (SELECT DISTINCT event_type FROM events) WHERE value IS NOT NULL
+UNION ALL SELECT event_type, '', attribute, value FROM w WHERE value IS NOT NULL
+"""
+
+
+@query("export_attributes", _ATTRIBUTES_SQL)
+def export_attributes(spark, sf_dir):
+    """S12 + P16 + A16 read back: every column attribute of the written export and every coverage attribute written beside it."""
+    obs = _observations(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    V.export_observations(obs, f"{path}/data", partition_by=["event_type"])
+    covered = E.with_units(E.coverage(obs, ["event_type"], "latitude", "longitude", "depth_m", "time"))
+    V.global_attributes(covered, ["event_type"]).write.parquet(f"{path}/attributes")
+    of_columns = [F.struct(*[F.lit(r[c]).alias(c) for c in ("column", "attribute", "value")])
+                  for r in V.column_attributes(spark, f"{path}/data").collect()]  # some a column
+    files = spark.read.parquet(f"{path}/data").select("event_type").distinct()
+    rows = files.select("event_type", F.explode(F.array(*of_columns)).alias("a")).select("event_type", "a.*")
+    return rows.unionByName(spark.read.parquet(f"{path}/attributes").withColumn("column", F.lit("")))

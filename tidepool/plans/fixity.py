@@ -244,3 +244,29 @@ def ingest_inventory(spark, sf_dir):
     present = d.where(arrived).select(path.alias("source_path"), F.octet_length("text").cast("long").alias("size_bytes"),
                                       sha256_hex(F.col("text")).alias("sha256"))
     return X.ingest_inventory(expected, present)
+
+
+# ------------------------------------------------------- published snapshots ---
+@query("manifest_published", """
+WITH t AS (SELECT count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS b FROM documents),
+h AS (SELECT count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS b FROM documents WHERE doc_id % 2 = 0)
+SELECT CAST(1 AS BIGINT) AS v, 'owner' AS key, 'data office' AS value, h.n AS files FROM h
+UNION ALL SELECT 1, 'total_files', CAST(n AS VARCHAR), n FROM h UNION ALL SELECT 1, 'total_bytes', CAST(b AS VARCHAR), n FROM h
+UNION ALL SELECT 2, 'owner', 'data office', n FROM t UNION ALL SELECT 2, 'release', 'final', n FROM t
+UNION ALL SELECT 2, 'total_files', CAST(n AS VARCHAR), n FROM t UNION ALL SELECT 2, 'total_bytes', CAST(b AS VARCHAR), n FROM t
+""")
+def manifest_published(spark, sf_dir):
+    """Snapshots of half the documents, then of all, with a write between that is never published; each read back."""
+    files = _doc_manifest(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    kv = "key string, value string"
+    half = files.where(F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("bigint") % 2 == 0)
+    X.publish_manifest(spark, path, half, spark.createDataFrame([("owner", "data office")], kv))
+    files.write.parquet(f"{path}/snapshot-{uuid.uuid4().hex}/files")  # a writer that was lost before it could publish
+    X.publish_manifest(spark, path, files, spark.createDataFrame([("release", "final")], kv))
+    out = None
+    for v in (1, 2):
+        members, info = X.read_manifest(spark, path, v)
+        part = info.select(F.lit(v).cast("bigint").alias("v"), "key", "value", F.lit(members.count()).alias("files"))
+        out = part if out is None else out.unionByName(part)
+    return out

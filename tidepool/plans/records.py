@@ -210,7 +210,7 @@ def audit_score(spark, sf_dir):
 WITH s AS ({_SOURCES_SQL})
 SELECT source AS dataset_id, 'CF-1.8, ACDD-1.3' AS Conventions, 'Text collection ' || source AS title,
        printf('%d documents, %d characters, languages: %s', n_docs, chars, array_to_string(langs, ' ')) AS summary,
-       CASE snum % 3 WHEN 1 THEN 'PENDING' WHEN 2 THEN '10.5555/' || source ELSE '' END AS id,
+       CASE snum % 3 WHEN 1 THEN 'PENDING' WHEN 2 THEN '10.5555/' || source ELSE '' END AS id, '' AS naming_authority,
        'in-situ observations' AS source, 'quality-controlled' AS processing_level,
        CASE WHEN snum % 4 <> 0 THEN 'Data Office' ELSE '' END AS institution,
        'Curator ' || source AS creator_name, '' AS creator_email, 'person' AS creator_type,

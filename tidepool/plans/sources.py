@@ -202,3 +202,43 @@ def validate_submission(spark, sf_dir):
     keys = D.matched_keys(spark, cols, list(SUBMISSION_KEYS))
     dup = C.no_duplicates(D.duplicate_members(df, ["file"], keys), ["file"], keys)
     return C.validate_files(presence, enc, parse, [empty, req, rng, dup])
+
+
+_CONFIG_JSON = """'{"dataset":{"files":[' || files || '],"license":{"name":' || lic || ',"url":null},"title":"Texts of ' || source
+  || '"},"rules":{"max_chars":"' || hi || '","min_chars":"' || lo || '"},"version":' || n || '}'"""
+
+
+@query("config_fingerprints", f"""
+WITH f AS (SELECT source, lang, count(*) AS n, min(n_chars) AS lo, max(n_chars) AS hi FROM documents GROUP BY source, lang),
+s AS (SELECT source, string_agg('{{"format":"csv","name":"' || lang || '.csv"}}', ',' ORDER BY lang) AS files, CAST(sum(n) AS BIGINT) AS n,
+             min(lo) AS lo, max(hi) AS hi, CASE WHEN sum(n) % 2 = 0 THEN '"CC-BY-4.0"' ELSE 'null' END AS lic FROM f GROUP BY source)
+SELECT source, left(sha256({_CONFIG_JSON}), 16) AS fingerprint, true AS order_free, true AS told_apart FROM s
+""")
+def config_fingerprints(spark, sf_dir):
+    """H2: nested configurations of every source; the order of fields and map keys does not matter, any value does."""
+    d = read_table(spark, sf_dir, "documents")
+    by_lang = d.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.min("n_chars").alias("lo"), F.max("n_chars").alias("hi"))
+    g = by_lang.groupBy("source").agg(F.array_sort(F.collect_list("lang")).alias("langs"),  # one a language
+                                      F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    lic, title = F.when(F.col("n") % 2 == 0, F.lit("CC-BY-4.0")), F.concat(F.lit("Texts of "), F.col("source"))
+    nul = F.lit(None).cast("string")
+    lo, hi = F.col("lo").cast("string"), F.col("hi").cast("string")
+
+    def config(files, bounds, flip, version):
+        def struct(*fields):
+            return F.struct(*(reversed(fields) if flip else fields))
+
+        dataset = struct(title.alias("title"), struct(lic.alias("name"), nul.alias("url")).alias("license"),
+                         F.transform("langs", files).alias("files"))
+        return struct(version.alias("version"), dataset.alias("dataset"), F.create_map(*bounds).alias("rules"))
+
+    csv = F.lit("csv")
+    one = [F.lit("min_chars"), lo, F.lit("max_chars"), hi]
+    two = [F.lit("max_chars"), hi, F.lit("min_chars"), lo]
+    rows = g.select(
+        "source",
+        config(lambda x: F.struct(F.concat(x, F.lit(".csv")).alias("name"), csv.alias("format")), one, False, F.col("n")).alias("a"),
+        config(lambda x: F.struct(csv.alias("format"), F.concat(x, F.lit(".csv")).alias("name")), two, True, F.col("n")).alias("b"),
+        config(lambda x: F.struct(csv.alias("format"), F.concat(x, F.lit(".csv")).alias("name")), two, True, F.col("n") + 1).alias("c"))
+    a, b, c = (PV.canonical_fingerprint(rows, x) for x in "abc")
+    return rows.select("source", a.alias("fingerprint"), (a == b).alias("order_free"), (a != c).alias("told_apart"))
