@@ -148,22 +148,25 @@ class SnapshotConflict(RuntimeError):
     """Another writer published the same version first."""
 
 
-def _published(spark: SparkSession, path: str) -> dict[int, str]:
-    """Version -> folder of each published snapshot: one small file a version, its first line names the folder."""
-    from pyspark.errors import AnalysisException
+def _mark(spark: SparkSession, path: str, name: str):
+    """(file system, path) of a file that publishes a version, or of the folder that holds them."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/published", name) if name else \
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/published")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), mark
 
-    try:
-        marks = spark.read.text(f"{path}/published").select(F.col("_metadata.file_name").alias("v"), "value").collect()
-    except AnalysisException:
+
+def _published(spark: SparkSession, path: str) -> dict[int, str]:
+    """Version -> folder of each published snapshot: one small file a version, its only line names the folder."""
+    fs, home = _mark(spark, path, "")
+    if not fs.exists(home):
         return {}
+    marks = spark.read.text(f"{path}/published").select(F.col("_metadata.file_name").alias("v"), "value").collect()
     return {int(r["v"]): r["value"] for r in marks if r["v"].isdigit()}
 
 
 def _publish(spark: SparkSession, path: str, version: int, folder: str) -> None:
     """Create the version's file; creating it without leave to overwrite is the one step that decides who wins."""
-    jvm = spark.sparkContext._jvm
-    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/published/{version}")
-    fs = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, mark = _mark(spark, path, str(version))
     try:
         out = fs.create(mark, False)
     except Exception as e:  # the gateway wraps whatever the file system raises
@@ -181,7 +184,8 @@ def publish_manifest(spark: SparkSession, path: str, files: DataFrame, info: Dat
     Keys of the snapshot it follows (``base``, by default the newest) are kept unless ``info`` has them; ``files`` is replaced, totals
     are added. ``files`` and ``info`` go to a folder of their own; readers see them only through the version's
     file, which is made last, so a failure in between leaves nothing to see. Of two writers that follow
-    the same snapshot one publishes and the other gets :class:`SnapshotConflict`, and may try again.
+    the same snapshot one publishes and the other gets :class:`SnapshotConflict`, and may try again. A writer lost
+    within the last step leaves an empty version file, which readers pass over; removing it frees the version.
     """
     import uuid
 

@@ -19,6 +19,7 @@ from tidepool.functions.headers import keyword_columns, normalized_names
 from tidepool.functions.numeric import to_number
 from tidepool.functions.temporal import iso_utc, parse_timestamp
 from tidepool.functions.text import clean_text
+from tidepool.session import stored
 from tidepool.sources.text_tables import read_text_table, write_csv
 
 
@@ -85,14 +86,17 @@ def transform_to_csv(raw: DataFrame, path: str, cfg: TransformConfig = Transform
     a, b = before.get, after.get
     written = read_text_table(raw.sparkSession, path, names, multi_line=True).select(*[F.col(f"`{c}`") for c in names])
     back = written.agg(*_filled(written, "c"))
+    def seen(n):
+        return F.lit(n).cast("bigint")
+
     rows = [F.struct(
         F.lit(c).alias("column"), F.lit(mapping[c]).alias("header"), F.lit(c != mapping[c]).alias("renamed"),
-        F.lit(a["rows"]).alias("rows_in"), F.lit(b["rows"]).alias("rows_out"), F.col("rows").alias("rows_back"),
-        F.lit(a[f"c{k}"]).alias("filled_in"), F.lit(b[f"c{k}"]).alias("filled_out"), F.col(f"c{k}").alias("filled_back"),
-        F.lit(a[f"c{k}"] - b[f"c{k}"]).alias("rejected"),
+        seen(a["rows"]).alias("rows_in"), seen(b["rows"]).alias("rows_out"), F.col("rows").alias("rows_back"),
+        seen(a[f"c{k}"]).alias("filled_in"), seen(b[f"c{k}"]).alias("filled_out"), F.col(f"c{k}").alias("filled_back"),
+        seen(a[f"c{k}"] - b[f"c{k}"]).alias("rejected"),
         ((F.col("rows") == F.lit(b["rows"])) & F.lit(a["rows"] == b["rows"]) & (F.col(f"c{k}") == F.lit(b[f"c{k}"]))).alias("ok"),
     ) for k, c in enumerate(raw.columns)]
-    return back.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return stored(back.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))  # the files are read once
 
 
 def raise_if_lost(summary: DataFrame) -> None:

@@ -267,6 +267,6 @@ def manifest_published(spark, sf_dir):
     out = None
     for v in (1, 2):
         members, info = X.read_manifest(spark, path, v)
-        part = info.select(F.lit(v).cast("bigint").alias("v"), "key", "value", F.lit(members.count()).alias("files"))
+        part = info.select(F.lit(v).cast("bigint").alias("v"), "key", "value", F.lit(members.count()).cast("bigint").alias("files"))
         out = part if out is None else out.unionByName(part)
     return out
