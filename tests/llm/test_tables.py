@@ -48,6 +48,21 @@ def test_exact_groups(docs, none):
     assert exact.exact_groups(none).count() == exact.drop_exact_copies(none).count() == 0
 
 
+def test_long_texts_are_hashed_by_pieces(spark):
+    body = "".join(chr(97 + k * k % 26) + ("é" if k % 97 == 0 else "") for k in range(2_500_000))
+    spaced = " " * 700_000 + body[:900_000] + "\n\t" + body[900_000:]
+    rows = [(5, body), (3, spaced), (3, spaced), (None, body), (7, body[:-1] + "!"), (8, "x")]
+    got = sorted(((r.doc_id is None, r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in exact.exact_groups(
+        spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()), key=str)
+    sha = [hashlib.sha256(exact.normalised(t)).hexdigest() for t in (body, rows[4][1], "x")]
+    assert got == sorted([(False, 5, 3, 4, sha[0]), (False, 3, 3, 4, sha[0]), (False, 3, 3, 4, sha[0]), (True, None, 3, 4, sha[0]),
+                          (False, 7, 7, 1, sha[1]), (False, 8, 8, 1, sha[2])], key=str)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id AS id", "text", "xxhash64(text) AS text_hash")
+    pairs = {r.key.id: (r.n_bytes, r.fp) for r in exact._long_pairs(docs).collect()}
+    want = exact._pair(exact.normalised(body))
+    assert pairs == {5: want, 3: want, None: want, 7: exact._pair(exact.normalised(rows[4][1]))}
+
+
 def test_exact_groups_despite_equal_fingerprints(spark, monkeypatch):
     monkeypatch.setattr(exact, "PRIME", 257)  # collisions are common; also where workers are forked from here
     rows = [(k, f"{k % 40:03d}") for k in range(400)]
@@ -258,6 +273,15 @@ def test_encode_and_decode(docs, none):
     assert pieces.encode_documents(none).count() == 0
 
 
+def test_toxicity_sample_holds_one_text_an_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {k:04d}") for k in range(2000)] + [(2, None), (2, "b")], "doc_id bigint, text string")
+    held = docs.select(toxicity.fold_of("doc_id").alias("f"), "doc_id").where("f = 1").select("doc_id").distinct()
+    labels = spark.createDataFrame([(k, 0) for k in (1, 2) if k not in {r.doc_id for r in held.collect()}], "doc_id bigint, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda rows: rows)
+    got = toxicity.train(docs, labels)
+    assert sorted(got) == sorted([("text 0000", 0), ("b", 0)][k - 1] for k in [r.doc_id for r in labels.collect()])
+
+
 def test_toxicity_tables(spark, docs, none):
     labels = spark.createDataFrame([(1, 0), (2, 1), (None, 1), (6, None), (6, 1), (6, 0)], "doc_id bigint, toxic int")
     model = toxicity.train(docs, labels)

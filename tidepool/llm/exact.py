@@ -1,9 +1,9 @@
 """Exact dedup by polynomial fingerprints that compose.
 
 The fingerprint of bytes b is the sum of b[i] * 256^(n-1-i) modulo a prime of about 127 bits. For a text
-cut in chunks it composes: fp(x + y) = fp(x) * 256^len(y) + fp(y), so chunks of a huge document are hashed
-apart, in any task, and joined afterwards (``combine``, ``combine_pieces``). Texts with equal length and
-fingerprint are then compared chunk by chunk with one text of their group, as rows of Spark, so neither
+cut in chunks it composes: fp(x + y) = fp(x) * 256^len(y) + fp(y), so texts of more than PIECE characters are cut
+in pieces that are hashed apart, in any task, and joined afterwards (``combine``, ``combine_pieces``); only the SHA-256
+of a text, which does not compose, runs over it from end to end. Texts with equal length and fingerprint are then compared chunk by chunk with one text of their group, as rows of Spark, so neither
 a group nor a text pair is ever gathered in one task.
 """
 
@@ -19,6 +19,7 @@ from . import query
 from .common import WHITE, keep_rows, map_rows, table, text_hash
 
 CHUNK = 1 << 16  # bytes hashed, and compared, at a time
+PIECE = 1 << 20  # code points of a text that are hashed in one task
 SALT_ROWS = 128  # members of a group that share one copy of the text they are compared with
 
 
@@ -58,11 +59,13 @@ def combine_pieces(pieces: DataFrame, key: str, order: str, data: str) -> DataFr
     """(key, n_bytes, fp) of documents given as many rows of pieces, hashed in parallel.
 
     ``order`` sorts a document's pieces, ``data`` holds their bytes (null: none). One small (length,
-    fingerprint) pair a piece is gathered, in order; the pieces' bytes never are.
+    fingerprint) pair a piece is gathered, in order; the pieces' bytes never are. Pieces that repeat key, order and
+    bytes count once.
     """
     parts = map_rows(pieces.select(key, order, data),
                      lambda rows: ((k, o, *_pair(d or b"")) for k, o, d in rows),
                      f"_k {pieces.schema[key].dataType.simpleString()}, _o {pieces.schema[order].dataType.simpleString()}, _n bigint, _fp string")
+    parts = parts.distinct()
     lists = parts.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_o", "_n", "_fp"))).alias("_l"))
 
     def fold(rows):
@@ -86,8 +89,19 @@ def normalised(text: str | None) -> bytes:
 
 def _described(rows):
     for doc_id, text, h in rows:
-        data = normalised(text)
-        yield doc_id, h, len(text or ""), *_pair(data), hashlib.sha256(data).hexdigest()
+        data, points = normalised(text), len(text or "")
+        pair = _pair(data) if points <= PIECE else (None, None)
+        yield doc_id, h, points, *pair, hashlib.sha256(data).hexdigest()
+
+
+def _long_pairs(picked: DataFrame) -> DataFrame:
+    """(key, n_bytes, fp) of the texts longer than PIECE, from pieces dealt out over all tasks; key: (id, text_hash)."""
+    size = F.length("text")
+    at = F.explode(F.sequence(F.lit(0), F.floor((size - 1) / PIECE).cast("int"))).alias("k")
+    cut = picked.where(size > PIECE).select(F.struct("id", "text_hash").alias("key"), "text", at)
+    cut = cut.select("key", "k", F.substring("text", F.col("k") * PIECE + 1, F.lit(PIECE)).alias("piece"))
+    cut = cut.repartition("key", "k")
+    return combine_pieces(cut.withColumn("data", F.translate("piece", WHITE.decode(), "").cast("binary")), "key", "k", "data")
 
 
 def _pieces(rows):
@@ -118,7 +132,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                          text_hash(text_col).alias("text_hash"))
     meta = map_rows(picked.select("id", "text", "text_hash"), _described,
                     f"id {kind}, text_hash bigint, points bigint, n_bytes bigint, fp string, sha string")
-    meta = cut_lineage(meta.withColumn("row", F.monotonically_increasing_id()))
+    meta = meta.withColumn("row", F.monotonically_increasing_id())
+    long = _long_pairs(picked).withColumnsRenamed({"n_bytes": "ln", "fp": "lfp"})
+    on = F.col("n_bytes").isNull() & F.col("id").eqNullSafe(F.col("key.id")) & F.col("text_hash").eqNullSafe(F.col("key.text_hash"))
+    meta = cut_lineage(meta.join(stored(long), on, "left").select(
+        "id", "text_hash", "points", F.coalesce("n_bytes", "ln").alias("n_bytes"), F.coalesce("fp", "lfp").alias("fp"), "sha", "row"))
 
     order = F.struct((-F.col("points")).alias("p"), F.isnull("id").alias("u"), F.col("id"), F.col("row"))
     sums = meta.groupBy("fp", "n_bytes").agg(F.count("*").alias("size"), F.min(order).alias("best"))
