@@ -24,7 +24,6 @@ from . import query
 from .common import map_rows, ship, table, text_hash
 
 SAMPLE = {1: 1200, 0: 3000}  # labelled rows of each class that are sampled at most
-SAMPLE_CHARS = 20_000  # of a sampled text, from a place chosen by its id
 THRESHOLD = 0.7
 WINDOW, STEP = 128, 112  # bytes
 GRAM = 4
@@ -123,7 +122,7 @@ def fit(rows: list[tuple[str | None, int]]) -> Model:
     if not toxic:
         return Model(b"", b"", (), (), ())
     plain = list(dict.fromkeys(w for d, y in learn if not y for w in windows(d)))
-    plain = sorted(plain, key=zlib.crc32)[:30_000]
+    plain.sort(key=zlib.crc32)
     ordinary, toxic = _dictionary(ORDINARY_BYTES, plain) if plain else b"", _dictionary(TOXIC_BYTES, toxic)
     held = [r for k, r in enumerate(rows) if k % 5 >= 3] or rows
     x = np.array([features(t, ordinary, toxic) for t, _ in held])
@@ -147,17 +146,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most SAMPLE labelled rows of a class, chosen by hash of their ids, none of them held out.
 
     Null ids and labels are passed over, and an id with both labels counts as toxic. The sampled ids, a
-    bounded number, are broadcast to one scan of the texts; of each text at most SAMPLE_CHARS come back.
+    bounded number, are broadcast to one scan of the texts; one whole text an id comes back, the least of an id that repeats.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & (fold_of(id_col) != 1))
     known = known.groupBy(F.col(id_col).alias("_l_id")).agg(F.max(label).cast("int").alias("y"))
     by = F.xxhash64("_l_id")
     picked = known.where("y = 1").orderBy(by).limit(SAMPLE[1]).unionAll(known.where("y = 0").orderBy(by).limit(SAMPLE[0]))
-    start = F.pmod(by, F.greatest(F.length("t") - SAMPLE_CHARS, F.lit(0)) + 1).cast("int") + 1
     texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"))
-    rows = texts.join(F.broadcast(picked), F.col("i") == F.col("_l_id")).select(
-        by.alias("h"), F.substring("t", start, F.lit(SAMPLE_CHARS)).alias("t"), "y").collect()
-    rows = sorted(((r["h"], r["t"] or "", r["y"]) for r in rows))[: sum(SAMPLE.values())]  # ids may repeat in docs
+    found = texts.join(F.broadcast(picked), F.col("i") == F.col("_l_id")).groupBy("_l_id").agg(F.min("t").alias("t"), F.max("y").alias("y"))
+    rows = sorted((r["h"], r["t"] or "", r["y"]) for r in found.select(by.alias("h"), "t", "y").collect())
     return fit([(t, y) for _, t, y in rows])
 
 
