@@ -99,7 +99,7 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]],
         held, weight = [], 0
         for r in rows(tuples()):
             held.append(r)
-            weight += 64 + sum(len(v) for v in r if isinstance(v, (str, bytes, list)))
+            weight += 64 + sum(getattr(v, "nbytes", 0) or len(v) for v in r if hasattr(v, "__len__"))
             if len(held) >= 5000 or weight > 1 << 23:
                 yield _batch(pa, held, out)
                 held, weight = [], 0
