@@ -273,6 +273,24 @@ def test_encode_and_decode(docs, none):
     assert pieces.encode_documents(none).count() == 0
 
 
+def test_all_segmentations_are_returned_and_decoded(docs):
+    model = pieces.load()
+    rows = pieces.encode_documents(docs).collect()
+    for r in rows:
+        cuts = [r.ids, *r.alternatives]
+        assert len(cuts) == len(r.scores) and len({tuple(c) for c in cuts}) == len(cuts)
+        assert [hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in c)).hexdigest() for c in cuts] == r.ids_sha256
+        assert r.round_trip and len({pieces.decode(c, model) for c in cuts}) == 1
+    assert max(len(r.alternatives) for r in rows) == pieces.BEST - 1
+
+
+def test_one_wrong_segmentation_is_no_round_trip(spark, monkeypatch):
+    segment = pieces.segment
+    monkeypatch.setattr(pieces, "segment", lambda texts, model, n: [[*best[:-1], (best[-1][0], best[-1][1][:-1])] for best in segment(texts, model, n)])
+    row = pieces.encode_documents(spark.createDataFrame([(1, "Alpha beta gamma.")], "doc_id bigint, text string")).first()
+    assert row.round_trip is False and pieces.decode(row.ids, pieces.load()) == "Alpha beta gamma."
+
+
 def test_toxicity_sample_holds_one_text_an_id(spark, monkeypatch):
     docs = spark.createDataFrame([(1, f"text {k:04d}") for k in range(2000)] + [(2, None), (2, "b")], "doc_id bigint, text string")
     held = docs.select(toxicity.fold_of("doc_id").alias("f"), "doc_id").where("f = 1").select("doc_id").distinct()

@@ -41,6 +41,7 @@ class Pieces:
     names: list[str]
     usable: dict[str, tuple[int, float]]  # pieces that text may be cut into: id, score
     byte_ids: np.ndarray
+    is_byte: np.ndarray  # by id: whether it stands for a byte
     unknown: float  # score of a character that is no piece
     longest: int
     classes: np.ndarray  # by code point; 0: in no piece
@@ -65,7 +66,7 @@ def load(path: str = MODEL) -> Pieces:
     found = {names[i]: i for i in range(n) if m.is_byte(i)}
     byte_ids = np.array([found.get(f"<0x{b:02X}>", m.unk_id()) for b in range(256)])
     unknown = min(s for _, s in usable.values()) - UNKNOWN_PENALTY
-    return Pieces(names, usable, byte_ids, unknown, max(map(len, usable)), *_trie(usable))
+    return Pieces(names, usable, byte_ids, np.isin(np.arange(n), byte_ids), unknown, max(map(len, usable)), *_trie(usable))
 
 
 def _trie(usable: dict[str, tuple[int, float]]) -> tuple[np.ndarray, ...]:
@@ -315,7 +316,11 @@ def decode(ids, model: Pieces) -> str:
     if at is None:
         at = model.memory[("bytes",)] = {int(i): b for b, i in enumerate(model.byte_ids)}
     names = model.names
-    if at.keys().isdisjoint(ids):
+    if isinstance(ids, np.ndarray):
+        bare, ids = not model.is_byte[ids].any(), ids.tolist()
+    else:
+        bare = at.keys().isdisjoint(ids)
+    if bare:
         whole = "".join([names[i] for i in ids])
     else:
         whole = b"".join([bytes((at[i],)) if i in at else names[i].encode() for i in ids]).decode("utf-8", "replace")
@@ -336,11 +341,11 @@ def _groups(rows):
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = BEST,
                      model_path: str = MODEL) -> DataFrame:
-    """(id, n_tokens, score, ids, scores, ids_sha256, round_trip) for each row: one scan, no shuffle.
+    """(id, n_tokens, score, ids, scores, ids_sha256, round_trip, alternatives) for each row: one scan, no shuffle.
 
-    score and ids are of the best segmentation; scores and ids_sha256 (of the ids as little-endian 32-bit
-    numbers) of the n best, best first. round_trip: decoding ids gives the text back (a text that holds the space
-    mark U+2581 does not). Null counts as empty: no ids, score 0. Repeated rows each get their row; an empty
+    score and ids are of the best segmentation, alternatives holds the ids of the others; scores and ids_sha256 (of
+    the ids as little-endian 32-bit numbers) are of the n best, best first. round_trip: decoding each of the n best gives
+    the text back (for a text that holds the space mark U+2581 none does). Null counts as empty: no ids, score 0. Repeated rows each get their row; an empty
     table gives an empty one; other columns are not looked at.
     """
     model = load(model_path)
@@ -349,13 +354,14 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def run(rows):
         for group in _groups(rows):
             for (i, text), best in zip(group, segment([t for _, t in group], model, n)):
-                ids = best[0][1].view("<i4")  # an array until it is sent: a list takes nine times its memory
+                ids, *others = (x.view("<i4") for _, x in best)  # arrays until they are sent: a list takes nine times its memory
+                whole = all(decode(x, model) == (text or "") for x in (ids, *others))
                 yield (i, len(ids), best[0][0], ids, [s for s, _ in best],
-                       [hashlib.sha256(x.tobytes()).hexdigest() for _, x in best], decode(ids.tolist(), model) == (text or ""))
+                       [hashlib.sha256(x.tobytes()).hexdigest() for _, x in best], whole, others)
 
     return map_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), run,
                     f"`{id_col}` {kind}, n_tokens bigint, score double, ids array<int>, scores array<double>, "
-                    "ids_sha256 array<string>, round_trip boolean")
+                    "ids_sha256 array<string>, round_trip boolean, alternatives array<array<int>>")
 
 
 def decode_documents(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model_path: str = MODEL) -> DataFrame:
@@ -368,5 +374,5 @@ def decode_documents(encoded: DataFrame, id_col: str = "doc_id", ids_col: str =
 
 @query("op9_sentencepiece_nbest")
 def op9_sentencepiece_nbest(spark, sf_dir):
-    """The four best segmentations of every whole text of documents."""
+    """The four best segmentations of every whole text of documents, each decoded again."""
     return encode_documents(table(spark, sf_dir, "documents"))
