@@ -44,6 +44,20 @@ def test_required_and_ranges(spark):
                    "range_longitude": (False, 1, "1 values outside [-180.0, -92.0]")}
 
 
+def test_rules_meet_values_without_a_shuffle_by_variable(spark):
+    long = spark.range(10).select((F.col("id") % 2).cast("string").alias("file"), F.element_at(F.array(F.lit("x"), F.lit("y")), F.when(F.col("id") < 8, 1).otherwise(2)).alias("variable"), F.col("id").cast("double").alias("value"))
+    rr = spark.createDataFrame([("X", 0.0, 5.0), ("x", 0.0, 9.0)], "column string, lo double, hi double")
+    out = C.value_ranges(long, rr, ["file"], ["x"])
+    assert {(r.file, r.check, r.out_of_range) for r in out.collect()} == {
+        ("0", "range_X", 1), ("0", "range_x", 0), ("1", "range_X", 1), ("1", "range_x", 0)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(variable" not in plan
+    cat = spark.createDataFrame([("f", 0, "X"), ("g", 1, "y")], "file string, ordinal int, raw_name string")
+    req = C.required_columns(cat, rr.select("column").limit(1), ["file"])
+    assert {(r.file, r.passed) for r in req.collect()} == {("f", True), ("g", False)}
+    assert "hashpartitioning(_norm" not in req._jdf.queryExecution().executedPlan().toString()
+
+
 def test_duplicates_partial_keys_and_report(spark):
     df = _station(spark)
     keys = D.matched_keys(spark, df.columns, ["station", "Cast", "depth_m"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions.headers import normalize_header
 from tidepool.functions.numeric import out_of_range, to_number
@@ -27,7 +28,8 @@ def required_columns(catalogue: DataFrame, rules: DataFrame, keys: list[str], by
     the dataset) that ``rules`` carries too; a rule then holds for the files of its own keys.
     """
     cat = catalogue.select(*keys, "ordinal", "raw_name", normalize_header(F.col("raw_name")).alias("_norm"))
-    r = rules.select(*by, F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"))
+    # written, so that the planner sees how small it is: few names may hold nearly all columns, and must not meet in one task
+    r = stored(rules.select(*by, F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm")))
     hits = cat.join(r, on=[*by, "_norm"]).groupBy(*keys, "_target").agg(
         F.min_by("raw_name", "ordinal").alias("matched")
     )
@@ -69,10 +71,13 @@ def value_ranges(long: DataFrame, rules: DataFrame, keys: list[str], columns: li
         *by, F.col("column").alias("_target"), F.lower(F.col("column")).alias("_norm"),
         F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"),
     )
-    resolved = cat.join(r, on=[*by, "_norm"]).groupBy(*by, "_target", "lo", "hi").agg(
+    # written, so that the planner sees how small it is: a few variables hold all values, which a shuffle by variable would
+    # bring to as few tasks
+    resolved = stored(cat.join(r, on=[*by, "_norm"]).groupBy(*by, "_target", "lo", "hi").agg(
         F.min_by("variable", "ordinal").alias("variable")
-    )
-    x = to_number(F.col("value"))
+    ))
+    kind = long.schema["value"].dataType
+    x = to_number(F.col("value"), kind if isinstance(kind, T.DoubleType) else None)  # doubles need not go through text
     j = long.join(resolved, on=[*by, "variable"])
     agg = j.groupBy(*keys, "_target", "lo", "hi").agg(
         F.count(x).alias("numeric_values"),
