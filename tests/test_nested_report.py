@@ -33,3 +33,16 @@ def test_a_dataset_of_many_files_has_rows_of_bounded_length(spark):
     rows = C.nested_report(checks, ["dataset"], files_a_row=100).collect()
     assert len(rows) == 30 and max(len(r.files) for r in rows) < 160 and sum(len(r.files) for r in rows) == 3000
     assert all(r.summary == "2999/3000 checks passed across 3000 files" and not r.all_passed for r in rows)
+
+
+def test_checks_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def passed(x):
+        made.add(1)
+        return x
+
+    checks = spark.createDataFrame(ROWS, SCHEMA).withColumn("passed", passed.asNondeterministic()("passed"))
+    assert C.nested_report(checks, ["dataset"]).count() == 3  # files and totals both read it
+    assert made.value == len(ROWS)

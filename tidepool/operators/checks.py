@@ -177,6 +177,7 @@ def nested_report(checks: DataFrame, keys: list[str], file_col: str = "file", fi
     A dataset of more than ``files_a_row`` files has a row for each part of about so many, dealt by the file's name, so no row
     grows with a dataset; summary and verdict are the whole dataset's in each. Files stand in order of name.
     """
+    checks = stored(checks)  # read by files and by datasets
     files = file_verdicts(checks, keys, file_col)
     totals = stored(report(checks, keys, file_col).select(*(F.col(k).alias(f"_r_{k}") for k in keys), F.col("files").alias("_files"), "summary", "all_passed"))
     both = files.join(totals, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
