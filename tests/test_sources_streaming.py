@@ -124,6 +124,15 @@ def test_csv_sink_crlf_and_na(spark):
     assert text == b"k,v\r\nx,NA\r\ny,2\r\n"
 
 
+def test_header_lines_are_found_without_sorting_the_files(spark):
+    out = _dir(spark, "heads")
+    TT.write_csv(spark.range(100, numPartitions=3).selectExpr("id AS k", "2 * id AS v"), out)
+    heads = TT.header_lines(spark, out)
+    assert [r.names for r in heads.collect()] == [["k", "v"]] * 3
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+
+
 def test_provenance_append_and_compact(spark):
     path = _dir(spark, "prov")
     e1 = spark.createDataFrame([("validate", "x" * 150)], "action string, note string")

@@ -43,7 +43,9 @@ def header_lines(spark: SparkSession, path: str, delimiter: str = ",", quote: st
     lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
         F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"),
         F.monotonically_increasing_id().alias("n"))
-    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    # the set makes Spark hash by file: least texts alone would be found by sorting all lines of a file's first split
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"), F.collect_set(F.lit(True)).alias("seen"))
+    first = first.where(F.size("seen") > 0)
     sep, line = re.escape(delimiter), F.regexp_replace("line", "^\ufeff|\r$", "")
     if not quote:
         return first.select("file", F.split(line, sep, -1).alias("names"))
