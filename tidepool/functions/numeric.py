@@ -14,6 +14,8 @@ from tidepool.functions.text import strip_ws
 # ``0x10``, ``1_000``, ``28,5``, blanks, booleans) is missing.
 NUMBER_PATTERN = r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
 
+BARE_NUMBER = NUMBER_PATTERN.removesuffix("$") + r"\z"  # not before a last line break
+
 
 def to_number(c: Column, dtype: T.DataType | None = None) -> Column:
     """Coerce to double; unparsable text and NaN become null."""
@@ -22,8 +24,10 @@ def to_number(c: Column, dtype: T.DataType | None = None) -> Column:
         return F.when(~F.isnan(d), d)
     if dtype is not None and isinstance(dtype, T.BooleanType):
         return F.lit(None).cast("double")
-    s = strip_ws(c.cast("string"))
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    raw = c.cast("string")
+    s = strip_ws(raw)
+    # most numbers have no white space about them and need no stripping
+    return F.when(raw.rlike(BARE_NUMBER), raw.try_cast("double")).when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
 
 
 def round4(c: Column) -> Column:

@@ -173,7 +173,8 @@ def classify(long: DataFrame, keys: list[str], totals: DataFrame | None = None)
         named = named | name.contains(k)
     t = F.when(named & F.col("kind").isin("text", "time"), as_timestamp(v))
     agg = long.groupBy(*keys, "variable", "kind").agg(
-        F.count(F.lit(1)).alias("rows"), F.count(v).alias("values"), F.count(to_number(v)).alias("numbers"),
+        F.count(F.lit(1)).alias("rows"), F.count(v).alias("values"),
+        F.count(F.when(F.col("kind") == "text", to_number(v))).alias("numbers"),  # asked of text alone
         F.count(t).alias("times"), F.min(F.year(t)).alias("y0"), F.max(F.year(t)).alias("y1"))
     if totals is not None:
         known = totals.select(*(F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)), F.col("rows").alias("_rows"))
@@ -199,7 +200,9 @@ def profile_files(datasets: dict[str, DataFrame]) -> DataFrame:
         longs, files = (long, file) if longs is None else (longs.unionByName(long), files.unionByName(file))
     classes = stored(classify(longs, ["dataset"]))
     numeric = longs.join(classes.where(F.col("class") == "numeric"), ["dataset", "variable"], "left_semi")
-    numeric = stored(numeric.select("dataset", "variable", to_number(F.col("value")).alias("value")))  # texts are read once
+    typed = F.col("value").try_cast("double")  # a number's own text needs no pattern
+    number = F.when(F.col("kind") == "number", F.when(~F.isnan(typed), typed)).otherwise(to_number(F.col("value")))
+    numeric = stored(numeric.select("dataset", "variable", number.alias("value")))  # texts are read once
     outliers = numeric_profile(numeric, ["dataset", "variable"])
     counts = classes.groupBy("dataset").agg(*(F.count_if(F.col("class") == c).alias(c) for c in ("numeric", "temporal", "categorical")))
     return grade_files(files, outliers, ["dataset"]).join(counts, "dataset")
