@@ -284,6 +284,18 @@ def test_all_segmentations_are_returned_and_decoded(docs):
     assert max(len(r.alternatives) for r in rows) == pieces.BEST - 1
 
 
+def test_segmentations_decode_alike_as_their_texts_are_equal():
+    import numpy as np
+
+    model, rng = pieces.load(), random.Random(5)
+    some = [pieces.segment([t], model)[0] for t in ("aaa aaa", "aaa  aab", "é\n\nx", "ab", "")]
+    cuts = [ids.view("<i4") for found in some for _, ids in found]
+    few = [int(i) for c in cuts for i in c] + [int(i) for i in model.byte_ids[[0xC3, 0xA9, 0x80, 0xFF]]]
+    cuts += [np.array(rng.choices(few, k=rng.randrange(5)), "<i4") for _ in range(60)]
+    for a, b in itertools.product(cuts, cuts):
+        assert pieces.decode_alike(a, b, model) == (pieces.decode(a, model) == pieces.decode(b, model))
+
+
 def test_one_wrong_segmentation_is_no_round_trip(spark, monkeypatch):
     segment = pieces.segment
     monkeypatch.setattr(pieces, "segment", lambda texts, model, n: [[*best[:-1], (best[-1][0], best[-1][1][:-1])] for best in segment(texts, model, n)])

@@ -41,7 +41,6 @@ class Pieces:
     names: list[str]
     usable: dict[str, tuple[int, float]]  # pieces that text may be cut into: id, score
     byte_ids: np.ndarray
-    is_byte: np.ndarray  # by id: whether it stands for a byte
     unknown: float  # score of a character that is no piece
     longest: int
     classes: np.ndarray  # by code point; 0: in no piece
@@ -66,7 +65,7 @@ def load(path: str = MODEL) -> Pieces:
     found = {names[i]: i for i in range(n) if m.is_byte(i)}
     byte_ids = np.array([found.get(f"<0x{b:02X}>", m.unk_id()) for b in range(256)])
     unknown = min(s for _, s in usable.values()) - UNKNOWN_PENALTY
-    return Pieces(names, usable, byte_ids, np.isin(np.arange(n), byte_ids), unknown, max(map(len, usable)), *_trie(usable))
+    return Pieces(names, usable, byte_ids, unknown, max(map(len, usable)), *_trie(usable))
 
 
 def _trie(usable: dict[str, tuple[int, float]]) -> tuple[np.ndarray, ...]:
@@ -310,23 +309,35 @@ def _alternatives(part: str, model: Pieces, n: int) -> list:
     return known
 
 
+def _joined(ids, model: Pieces) -> bytes:
+    """The pieces of ids in UTF-8, one after the other; byte pieces as their bytes."""
+    raw = model.memory.get(("bytes",))
+    if raw is None:
+        raw = [x.encode() for x in model.names]
+        for b, i in enumerate(model.byte_ids):
+            raw[i] = bytes((b,))
+        model.memory[("bytes",)] = raw
+    return b"".join([raw[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])
+
+
 def decode(ids, model: Pieces) -> str:
     """The text of ids: pieces joined, byte pieces as UTF-8 (what is none as U+FFFD), marks as spaces."""
-    at = model.memory.get(("bytes",))
-    if at is None:
-        at = model.memory[("bytes",)] = {int(i): b for b, i in enumerate(model.byte_ids)}
-    names = model.names
-    if isinstance(ids, np.ndarray):
-        bare, ids = not model.is_byte[ids].any(), ids.tolist()
-    else:
-        bare = at.keys().isdisjoint(ids)
-    if bare:
-        whole = "".join([names[i] for i in ids])
-    else:
-        whole = b"".join([bytes((at[i],)) if i in at else names[i].encode() for i in ids]).decode("utf-8", "replace")
+    whole = _joined(ids, model).decode("utf-8", "replace")
     return whole.replace(SPACE, " ")[1:] if whole.startswith(SPACE) else whole.replace(SPACE, " ")
 
 
+def decode_alike(a: np.ndarray, b: np.ndarray, model: Pieces) -> bool:
+    """Whether two segmentations decode to one text; what they share at both ends is not joined again."""
+    n = min(len(a), len(b))
+    apart = np.flatnonzero(a[:n] != b[:n])
+    head = int(apart[0]) if len(apart) else n
+    n -= head
+    apart = np.flatnonzero(a[len(a) - n :] != b[len(b) - n :])
+    tail = n - 1 - int(apart[-1]) if len(apart) else n
+    x, y = (_joined(c[head : len(c) - tail], model) for c in (a, b))
+    return x == y or decode(a, model) == decode(b, model)  # broken bytes may decode alike
+
+
 def _groups(rows):
     held, size = [], 0
     for r in rows:
@@ -355,7 +366,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for group in _groups(rows):
             for (i, text), best in zip(group, segment([t for _, t in group], model, n)):
                 ids, *others = (x.view("<i4") for _, x in best)  # arrays until they are sent: a list takes nine times its memory
-                whole = all(decode(x, model) == (text or "") for x in (ids, *others))
+                whole = decode(ids, model) == (text or "") and all(decode_alike(ids, x, model) for x in others)
                 yield (i, len(ids), best[0][0], ids, [s for s, _ in best],
                        [hashlib.sha256(x.tobytes()).hexdigest() for _, x in best], whole, others)
 
