@@ -143,6 +143,31 @@ def test_band_recall_and_exact_links():
     assert fuzzy_lines.band_keys(["x"]).shape == (1, fuzzy_lines.BANDS)
 
 
+def test_lines_are_taken_apart_only_where_white_space_has_to_go(monkeypatch):
+    rnd = random.Random(3)
+    odd = "aB \n\t\r\x1c\x85\xa0\u1680\u2003\u2019\u2028\u205f\u3000\u0130\u03a3\u00e9"
+    texts = ["".join(rnd.choice(odd) for _ in range(rnd.randrange(14))) for _ in range(3000)] + [f"a{c}b {c}" for c in odd]
+    for t in texts:
+        assert [n for _, _, n in fuzzy_lines.lines_of(t)] == [n for n in (" ".join(x.lower().split()) for x in t.split("\n")) if n]
+        assert all(" ".join(t[a:b].lower().split()) == n for a, b, n in fuzzy_lines.lines_of(t))
+    calls = []
+    monkeypatch.setattr(fuzzy_lines, "normalised", lambda line: calls.append(line) or " ".join(line.lower().split()))
+    plain = "One line\nanother \u2019LINE\u2019\n\n"
+    assert [n for _, _, n in fuzzy_lines.lines_of(plain)] == ["one line", "another \u2019line\u2019"] and not calls
+    assert [n for _, _, n in fuzzy_lines.lines_of(" x\ny  z\nv w")] == ["x", "y z", "v w"] and calls == [" x", "y  z"]
+
+
+def test_lines_that_buckets_share_are_hashed_and_linked_once(monkeypatch):
+    near = {k: "abcdefghijklmnopqrstuvwxyz" * 3 + str(k) for k in range(6)}
+    far = {k: str(k) * 9 + "".join(random.Random(k).choice("abcdefgh ") for _ in range(200)) for k in range(6, 20)}
+    rows = [(0, 0, 0, key, i, norm) for key in range(4) for i, norm in (near | far).items() if i < 2 or (i + key) % 3]
+    hashed, sets = [], fuzzy_lines.shingle_sets
+    monkeypatch.setattr(fuzzy_lines, "shingle_sets", lambda lines: hashed.extend(lines) or sets(lines))
+    links = [*fuzzy_lines._compared(0.8)(iter(rows))]
+    assert sorted(hashed) == sorted({r[5] for r in rows}) and len(links) == 5
+    assert set(_classes(near, links).values()) == {0} and {i for link in links for i in link} == set(near)
+
+
 # chat --------------------------------------------------------------------------------------------------
 
 def _brute(roles):
